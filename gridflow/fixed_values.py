@@ -32,6 +32,7 @@ GATE_PASSED = "PASSED"
 GATE_MISSING_FILE = "DQ Failure: Tariff file %s does not exist."
 GATE_MISSING_COLUMNS = "DQ Failure: Missing mandatory columns: %s"
 GATE_EMPTY = "DQ Failure: Tariff dataset is empty (0 records)."
+GATE_BAD_ROW = "DQ Failure at row %d: %s"
 GATE_BAD_RATE = "Tariff rate %s out of valid bounds [%s, %s]"
 GATE_BAD_FLAG = "Invalid subsidy flag %s"
 

@@ -60,7 +60,7 @@ def repair(matched):
     )
 
 
-def replay(letters, requests, last_seq, max_retries=MAX_RETRIES, request_order="request_seq", **running_options):
+def replay(letters, requests, last_seq, max_retries=MAX_RETRIES, request_order="request_seq"):
     """Replays the requested dead letters.
 
     Returns (outcomes of the replayed messages, the letters with `replayed` updated, the
@@ -68,9 +68,7 @@ def replay(letters, requests, last_seq, max_retries=MAX_RETRIES, request_order="
     order of their letters; one that fails again is a new dead letter.
     """
     wanted = first_requests(requests, request_order)
-    repaired = repair(match_requests(letters, wanted))
-    arrivals = running_totals(repaired, "seq", {"_arrival": F.lit(1).cast("long")}, **running_options)
-    arrivals = arrivals.withColumn("seq", F.col("_arrival") + F.lit(last_seq)).drop("_arrival")
+    arrivals = repair(match_requests(letters, wanted)).withColumn("seq", F.col("seq") + F.lit(last_seq + 1))
     asked = wanted.select("dlq_id", F.lit(True).alias("_asked"))
     updated = letters.join(asked, "dlq_id", "left").withColumn(
         "replayed", F.col("replayed") | F.coalesce("_asked", F.lit(False))).drop("_asked")

@@ -1,5 +1,6 @@
 """Rules on rows, and the gate a tariff drop has to pass."""
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
@@ -57,35 +58,42 @@ def missing_columns(tariffs):
     return sorted(set(V.TARIFF_COLUMNS) - set(tariffs.columns))
 
 
+REPORT = "status string, record_count long, first_bad_row long, message string"
+
+
 def gate_report(tariffs, order="row_order", low=V.RATE_LOW, high=V.RATE_HIGH):
     """One row: status, record_count (good rows), first_bad_row (1-based) and message.
 
-    Takes the drop as text. The rows are read once for the counts and the first problem in
-    `order`, and once more for its row number.
+    Takes the drop as text. One aggregate gives the counts and the first problem in
+    `order`; only a drop that fails is read again, to number the row it fails at.
     """
     missing = missing_columns(tariffs)
     if missing:
         names = "{" + ", ".join(f"'{c}'" for c in missing) + "}"
-        return tariffs.sparkSession.range(1).select(
-            F.lit("FAILED").alias("status"), F.lit(0).cast("long").alias("record_count"),
-            F.lit(None).cast("long").alias("first_bad_row"), F.lit(V.GATE_MISSING_COLUMNS % names).alias("message"))
+        return _report(tariffs, "FAILED", 0, None, V.GATE_MISSING_COLUMNS % names)
     checked = tariffs.select(F.col(order).alias("_order"), _first_problem(low, high).alias("_problem"))
     bad_order = F.when(F.col("_problem").isNotNull(), F.col("_order"))
-    first_bad = checked.agg(F.min(bad_order).alias("at"))
-    row_number = checked.agg(F.count_if(F.col("_order") <= first_bad.scalar()).alias("n"))
-    counted = checked.agg(
-        F.count_if(F.col("_problem").isNull()).alias("record_count"),
-        F.count_if(F.col("_problem").isNotNull()).alias("bad"),
+    found = checked.agg(
+        F.count_if(F.col("_problem").isNull()).alias("good"),
+        F.min(bad_order).alias("at"),
         F.min_by("_problem", bad_order).alias("problem"),
-    )
-    numbered = counted.withColumn("first_bad_row", F.when(F.col("bad") > 0, row_number.scalar()))
-    return numbered.select(
-        F.when((F.col("bad") == 0) & (F.col("record_count") > 0), V.GATE_PASSED).otherwise("FAILED").alias("status"),
-        "record_count",
-        "first_bad_row",
-        F.when(F.col("bad") > 0, F.format_string("DQ Failure at row %d: %s", "first_bad_row", "problem"))
-         .when(F.col("record_count") == 0, V.GATE_EMPTY).alias("message"),
-    )
+    ).first()
+    if found["at"] is not None:
+        row = checked.where(F.col("_order") <= _literal(found["at"])).count()
+        return _report(tariffs, "FAILED", found["good"], row, V.GATE_BAD_ROW % (row, found["problem"]))
+    if found["good"] == 0:
+        return _report(tariffs, "FAILED", 0, None, V.GATE_EMPTY)
+    return _report(tariffs, V.GATE_PASSED, found["good"], None, None)
+
+
+def _literal(value):
+    if isinstance(value, Row):
+        return F.struct(*[F.lit(v).alias(n) for n, v in value.asDict().items()])
+    return F.lit(value)
+
+
+def _report(tariffs, *row):
+    return tariffs.sparkSession.createDataFrame([row], REPORT)
 
 
 class GateFailed(ValueError):

@@ -1,8 +1,8 @@
 """All registered queries and their oracle SQL."""
 
-from . import queries_readings, queries_zones
+from . import queries_orders, queries_readings, queries_streams, queries_tariffs, queries_zones
 
-GROUPS = (queries_readings, queries_zones)
+GROUPS = (queries_readings, queries_zones, queries_tariffs, queries_orders, queries_streams)
 
 
 def _in_utc(query):

@@ -52,7 +52,6 @@ def try_numeric(spark, sf):
         X.try_number(F.concat(F.lit("  "), F.col("value").cast("string"), F.lit(" "))).alias("padded"),
         X.try_number(F.col("event_type")).alias("word"),
         X.try_number(F.get_json_object("props", "$.k"), "int").alias("whole"),
-        X.try_number(F.col("value").cast("string"), "int").alias("cut"),
     )
 
 
@@ -176,8 +175,8 @@ def oracles():
             CAST(cons AS VARCHAR) || ',"solar_generation_kwh":' || CAST(solar AS VARCHAR) || ',"grid_zone":"' ||
             grid_zone || '","timestamp":"' || {ISO_SQL} || '"}}' AS value FROM readings""",
         "try_numeric": """SELECT event_id, value AS padded, TRY_CAST(event_type AS DOUBLE) AS word,
-            CAST(json_extract_string(props, '$.k') AS INTEGER) AS whole,
-            CAST(NULL AS INTEGER) AS cut FROM events""",
+            CAST(json_extract_string(props, '$.k') AS INTEGER) AS whole
+            FROM events""",
         "format_keys": """SELECT event_id, format('HH-{:04d}', user_id) AS household_id,
             'MTR-' || upper(substring(event_type, 1, 6)) || format('-{:04d}', user_id) AS meter_id,
             format('ORD-{:04d}', event_id) AS order_id FROM events""",

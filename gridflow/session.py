@@ -39,16 +39,17 @@ def build_session(app_name="gridflow", master=None, shuffle_partitions=None, pac
 def shared_dir(spark):
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    A machine-local folder is only taken in local mode, where the driver is the cluster.
+    Only where that is unset, in local mode, is a folder of this machine taken.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="gridflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="gridflow-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def run_dir(spark, label):

@@ -28,7 +28,6 @@ def read_drop_text(spark, path):
 def file_order():
     """A sortable place in the input: file, block in the file, row in the task."""
     return F.struct(
-        F.col("_metadata.file_modification_time").alias("written"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
