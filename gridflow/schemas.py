@@ -24,8 +24,6 @@ TARIFF = T.StructType([
     T.StructField("subsidy_flag", T.IntegerType()),
 ])
 
-TARIFF_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in TARIFF.fields])
-
 TARIFF_HISTORY = T.StructType(TARIFF.fields + [
     T.StructField("simulated_day_date", T.DateType()),
     T.StructField("effective_timestamp", T.TimestampType()),

@@ -1,19 +1,27 @@
 """Tariff drops: one file, the archive of past drops, and the drop in force."""
 
+import logging
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import storage
-from ..functions import label_time
-from ..schemas import TARIFF, TARIFF_TEXT
+from ..functions import label_time, try_number
+from ..schemas import TARIFF
+
+log = logging.getLogger(__name__)
 
 
 def read_drop(spark, path, schema=TARIFF):
-    """A tariff CSV. Columns are matched by name; unreadable cells become null."""
-    return (
-        spark.read.schema(schema)
-        .option("header", "true").option("enforceSchema", "false").option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    """A tariff CSV. Columns are taken by name, others are left out, unreadable cells become null.
+
+    With a schema Spark takes CSV columns by position, so the cells are read as text.
+    """
+    cells = spark.read.option("header", "true").csv(path)
+    return cells.select(*[
+        (F.col(f.name) if isinstance(f.dataType, T.StringType) else try_number(F.col(f.name), f.dataType.simpleString()))
+        .alias(f.name) for f in schema.fields
+    ])
 
 
 def read_drop_text(spark, path):
@@ -35,7 +43,10 @@ def file_order():
 
 
 def read_history(spark, path):
-    """All archived drops below `path`; the time of each is the label in its name."""
+    """All archived drops below `path`; the time of each is the label in its name.
+
+    Their headers have to agree; a file with other columns fails the read.
+    """
     rows = (
         spark.read.schema(TARIFF)
         .option("header", "true").option("enforceSchema", "false")
@@ -72,10 +83,11 @@ class CurrentTariffs:
         """Row count of the drop now in force, 0 if there never was one."""
         labels = drop_labels(self.spark, self.root)
         if labels and labels[-1] != self.label:
-            frame = read_drop(self.spark, f"{self.root}/drop={labels[-1]}")
             try:
+                frame = read_drop(self.spark, f"{self.root}/drop={labels[-1]}")
                 rows = frame.count()
-            except Exception:  # an unreadable drop must not stop the stream
+            except Exception as error:  # an unreadable drop must not stop the stream
+                log.warning("drop %s not taken: %s", labels[-1], error)
                 return self.rows
             self.label, self.rows, self._frame = labels[-1], rows, frame
         return self.rows

@@ -53,7 +53,7 @@ class OrderOutcomes:
         resolved = with_audit_trail(resolve(orders, self.max_retries, PRICE_TYPE)).drop("_permanent")
         numbered = with_running_average(resolved, **self._prior(batch_id))
         return numbered.withColumns({
-            "accepted": is_accepted(),
+            "accepted": is_accepted().cast("int"),  # a folder name; booleans are read back as text
             "dlq_id": F.when(~is_accepted(), padded_key(F.lit("DLQ-"), F.col("total_rejects"))),
             "replayed": F.when(~is_accepted(), F.lit(False)),
             "processed_at": F.current_timestamp(),
@@ -64,10 +64,10 @@ class OrderOutcomes:
 
     def accepted(self):
         """Reads the accepted folders only."""
-        return self.read().where("accepted")
+        return self.read().where("accepted = 1")
 
     def rejected(self):
-        return self.read().where("NOT accepted")
+        return self.read().where("accepted = 0")
 
 
 def start_orders(orders, outcomes, checkpoint, trigger=V.TRIGGER_INTERVAL):

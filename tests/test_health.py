@@ -1,0 +1,45 @@
+"""Freshness of the serving table and the heartbeat log."""
+
+import json
+
+import pytest
+
+from gridflow.operators import health
+from gridflow.plans.jobs import log_freshness
+
+UPDATED = "2026-01-01 00:00:00"
+
+
+def table(spark, *updated):
+    rows = [(u, u) for u in updated]
+    return spark.createDataFrame(rows, "window_end string, updated_at string").selectExpr(
+        "cast(window_end as timestamp) window_end", "cast(updated_at as timestamp) updated_at")
+
+
+@pytest.mark.parametrize("now, status", [
+    ("2026-01-01 00:05:00", "HEALTHY"), ("2026-01-01 00:05:01", "DEGRADED"), ("2025-12-31 23:59:00", "HEALTHY")])
+def test_age(spark, now, status):
+    row = health.freshness(table(spark, "2025-12-01 00:00:00", UPDATED), now).first()
+    assert (row.status, row.total_rows) == (status, 2)
+    details = json.loads(row.details)
+    assert details["latest_update"] == UPDATED and details["lag_seconds"] == row.lag_seconds
+
+
+def test_no_update_yet(spark):
+    row = health.freshness(table(spark), UPDATED).first()
+    assert row.status == "INITIALIZING"
+    assert json.loads(row.details) == {"total_metrics_records": 0, "latest_window_end": None, "latest_update": None}
+
+
+def test_log(spark, tmp_path):
+    path = str(tmp_path / "health")
+
+    def broken():
+        raise OSError("no table")
+
+    assert log_freshness(spark, lambda: table(spark, UPDATED), path, "2026-01-01 00:01:00") == "HEALTHY"
+    assert log_freshness(spark, broken, path, "2026-01-01 00:02:00") == "UNAVAILABLE"
+    rows = {r.status: r for r in spark.read.parquet(path).collect()}
+    assert set(rows) == {"HEALTHY", "UNAVAILABLE"}
+    assert json.loads(rows["UNAVAILABLE"].details) == {"error": "no table"}
+    assert rows["HEALTHY"].component == "PYSPARK_STREAM_SINK" and rows["HEALTHY"].latency_ms == 0

@@ -73,7 +73,7 @@ def test_readings_are_aggregated_before_they_are_copied(spark, plan_of):
     names = [line.split(" ")[0] for line in lines]
     # Top down: the copying step stands above the first aggregation and its shuffle.
     assert names.index("Expand") < len(names) - 1 - names[::-1].index("Exchange")
-    assert "Python" not in plan
+    assert "EvalPython" not in plan and "MapInPandas" not in plan
     assert "PushedFilters: [IsNotNull(ts)]" in plan
     assert "event_id" not in plan.split("ReadSchema")[1].splitlines()[0]
 
