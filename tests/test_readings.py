@@ -38,6 +38,18 @@ def test_one_bad_field_leaves_the_others(spark):
     assert row.power_consumption_kwh is None and row.household_id == "H1" and row.solar_generation_kwh == 1.0
 
 
+def test_record_without_a_value(spark):
+    rows = spark.createDataFrame([(None, None, None)], "key binary, value binary, timestamp timestamp")
+    assert decode.decode_telemetry(rows).first().error_reason == "not a JSON reading"
+
+
+def test_records_are_parsed_once(spark, plan_of):
+    decoded = decode.decode_telemetry(raw(spark, GOOD))
+    for rows in (decode.good_readings(decoded), decode.quarantined_readings(decoded)):
+        tree = plan_of(rows)
+        assert sum(line.count("from_json(") for line in tree.splitlines() if not line.startswith("Input")) == 1
+
+
 def test_encode_decode_round_trip(spark):
     parsed = decode.parse_json(raw(spark, GOOD)).drop("raw_value")
     sent = decode.encode_keyed_json(parsed)
