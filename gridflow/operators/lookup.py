@@ -23,9 +23,10 @@ def lookup(facts, dim, key, max_broadcast_bytes=BROADCAST_BYTES, hot_share=HOT_S
     """`facts` left-joined to `dim`, which holds at most one row per `key`.
 
     * A dimension measured below the limit is broadcast: no shuffle of the facts.
-    * A larger one is shuffled to the facts. Rows with a hot key, and rows without a key,
-      would all land in one task, so they take a broadcast of just the hot keys' rows;
-      there are at most 1 / `hot_share` of those whatever the data.
+    * A larger one is shuffled with the facts, into hash tables, so the facts are not
+      sorted. Rows with a hot key, and rows without a key, would all land in one task; they
+      stay where they are and take a broadcast of just the hot keys' dimension rows, at most
+      1 / `hot_share` of them whatever the data.
     * On a stream frequent keys cannot be counted ahead, so the key is salted instead.
     """
     if measured_bytes(dim) <= max_broadcast_bytes:
@@ -39,12 +40,11 @@ def _hot_split(facts, dim, key, share):
     # freqItems holds at most 1/share keys and misses none that is more frequent than that.
     frequent = facts.stat.freqItems([key], share).select(F.explode(F.col(f"{key}_freqItems")).alias(key))
     frequent = F.broadcast(frequent.where(F.col(key).isNotNull()))
-    hot_dim = F.broadcast(dim.join(frequent, key, "left_semi"))
+    theirs = F.broadcast(dim.join(frequent, key, "left_semi"))
     flagged = facts.join(frequent.withColumn("_hot", F.lit(True)), key, "left")
     aside = F.col("_hot").isNotNull() | F.col(key).isNull()
-    hot = flagged.where(aside).drop("_hot").join(hot_dim, key, "left")
-    # The cold rows keep Catalyst's own choice: it broadcasts nothing it has not sized.
-    cold = flagged.where(~aside).drop("_hot").join(dim, key, "left")
+    hot = flagged.where(aside).drop("_hot").join(theirs, key, "left")
+    cold = flagged.where(~aside).drop("_hot").join(dim.hint("shuffle_hash"), key, "left")
     return hot.unionByName(cold)
 
 

@@ -44,14 +44,33 @@ def test_size_decides(spark, plan_of):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
-    assert "SortMergeJoin" in large and "collect_frequent_items" in large.lower()
+    assert "ShuffledHashJoin" in large and "SortMergeJoin" not in large
+    assert "collect_frequent_items" in large.lower()
 
 
-def test_hot_key_avoids_the_shuffle(spark):
-    """Only keys below the share are left to the shuffled side."""
-    left, right = facts(spark), dimension(spark)
-    frequent = left.stat.freqItems(["household_id"], 0.2).first()[0]
-    assert "hot" in frequent and len(frequent) <= 5
+def test_hot_rows_are_spread(spark):
+    """With a third of the rows on one key no task of the join gets much more than its share."""
+    left, right = facts(spark, 30000), dimension(spark)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def largest_task(df):
+            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        plain = left.join(right.hint("shuffle_hash"), "household_id", "left")
+        assert largest_task(plain) > 12000
+        assert largest_task(lookup(left, right, "household_id", max_broadcast_bytes=0)) < 9000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_hot_key_without_a_dimension_row(spark):
+    left, right = facts(spark), dimension(spark).where("household_id <> 'hot'")
+    assert rows_of(lookup(left, right, "household_id", max_broadcast_bytes=0)) == \
+        rows_of(left.join(right, "household_id", "left"))
 
 
 def test_salted_stream_lookup(spark, tmp_path):
