@@ -129,10 +129,11 @@ def with_running_average(resolved, prior_orders=0, prior_total=0, prior_rejects=
 
 
 def with_fallback_names(outcomes):
-    """Outcomes show a placeholder where the message has no id or product."""
+    """Outcomes show a placeholder where the message lacks its id, product or price."""
     return outcomes.withColumns({
         "orderId": F.coalesce("orderId", F.lit(V.UNKNOWN_ORDER)),
         "product": F.coalesce("product", F.lit(V.UNKNOWN_PRODUCT)),
+        "price": F.coalesce("price", F.lit(0).cast(outcomes.schema["price"].dataType)),
     })
 
 

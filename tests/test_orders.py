@@ -76,6 +76,7 @@ def test_running_average_and_placeholders(spark):
     assert [r.total_orders for r in rows] == [1, 2, 2, 3]
     assert rows[1].product == "Unknown" and rows[1].status == "SUCCESS"
     assert rows[2].orderId == "UNKNOWN" and rows[2].status == "DLQ_QUARANTINED"
+    assert O.process_orders(events(spark, (1, "A", "I", None, 0, None))).first().price == "0"
 
 
 def test_no_accepted_order(spark):
