@@ -209,11 +209,18 @@ def oracles():
             CASE {FAULT} WHEN 3 THEN 'not a JSON reading' WHEN 4 THEN 'missing grid_zone' ELSE 'unreadable timestamp' END
               AS error_reason
             FROM readings WHERE {FAULT} IN (3, 4, 6)""",
-        "dq_telemetry_violations": f"""WITH {READINGS} SELECT CASE WHEN {FAULT} <> 3 THEN household_id END AS household_id,
-            CASE WHEN {FAULT} IN (4, 5) THEN ts END AS event_timestamp,
-            CAST(CASE WHEN {FAULT} = 5 THEN -cons WHEN {FAULT} <> 3 THEN cons END AS DOUBLE) AS power_consumption_kwh,
-            CASE {FAULT} WHEN 3 THEN 'household_id,meter_id,event_timestamp,power_consumption_kwh,solar_generation_kwh,grid_zone'
-              WHEN 4 THEN 'grid_zone' WHEN 5 THEN 'power_consumption_kwh' ELSE 'event_timestamp' END AS violations
-            FROM readings WHERE {FAULT} IN (3, 4, 5, 6)""",
+        "dq_telemetry_violations": f"""WITH {READINGS}, decoded AS (
+            SELECT CASE WHEN {FAULT} <> 3 THEN household_id END AS household_id,
+              CASE WHEN {FAULT} NOT IN (3, 6) THEN ts END AS event_timestamp,
+              CASE WHEN {FAULT} = 5 THEN -cons WHEN {FAULT} <> 3 THEN cons END AS cons,
+              CASE WHEN {FAULT} <> 3 THEN solar END AS solar,
+              CASE WHEN {FAULT} NOT IN (3, 4) THEN grid_zone END AS grid_zone FROM readings),
+            judged AS (SELECT household_id, event_timestamp, CAST(cons AS DOUBLE) AS power_consumption_kwh, concat_ws(',',
+              CASE WHEN household_id IS NULL THEN 'household_id,meter_id' END,
+              CASE WHEN event_timestamp IS NULL THEN 'event_timestamp' END,
+              CASE WHEN cons IS NULL OR cons <= 0 THEN 'power_consumption_kwh' END,
+              CASE WHEN solar IS NULL OR solar < 0 THEN 'solar_generation_kwh' END,
+              CASE WHEN grid_zone IS NULL THEN 'grid_zone' END) AS violations FROM decoded)
+            SELECT * FROM judged WHERE violations <> ''""",
         "volume_counters": """SELECT count(*) AS total_events, count(DISTINCT CAST(ts AS DATE)) AS batch_count FROM events""",
     }
