@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.001
-STREAM_SALTS = 64
+STREAM_SALTS = 8
 
 
 def measured_bytes(df):
@@ -23,17 +23,21 @@ def lookup(facts, dim, key, max_broadcast_bytes=BROADCAST_BYTES, hot_share=HOT_S
     """`facts` left-joined to `dim`, which holds at most one row per `key`.
 
     * A dimension measured below the limit is broadcast: no shuffle of the facts.
-    * A larger one is shuffled with the facts, into hash tables, so the facts are not
-      sorted. Rows with a hot key, and rows without a key, would all land in one task; they
+    * A larger one is shuffled with the facts; while a task's share of it stays below the
+      limit it goes into hash tables, so the facts need no sort. Rows with a hot key, and rows without a key, would all land in one task; they
       stay where they are and take a broadcast of just the hot keys' dimension rows, at most
       1 / `hot_share` of them whatever the data.
-    * On a stream frequent keys cannot be counted ahead, so the key is salted instead.
+    * On a stream frequent keys cannot be counted ahead, so the key is salted instead. That
+      copies the dimension `salts` times per micro-batch; for a very large one enrich inside
+      `foreachBatch`, where each batch is a table.
     """
-    if measured_bytes(dim) <= max_broadcast_bytes:
+    size = measured_bytes(dim)
+    if size <= max_broadcast_bytes:
         return facts.join(F.broadcast(dim), key, "left")
     if facts.isStreaming:
         return _salted(facts, dim, key, salts)
-    return _hot_split(facts, dim, key, hot_share)
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _hot_split(facts, dim.hint("shuffle_hash") if size / tasks <= max_broadcast_bytes else dim, key, hot_share)
 
 
 def _hot_split(facts, dim, key, share):
@@ -44,7 +48,7 @@ def _hot_split(facts, dim, key, share):
     flagged = facts.join(frequent.withColumn("_hot", F.lit(True)), key, "left")
     aside = F.col("_hot").isNotNull() | F.col(key).isNull()
     hot = flagged.where(aside).drop("_hot").join(theirs, key, "left")
-    cold = flagged.where(~aside).drop("_hot").join(dim.hint("shuffle_hash"), key, "left")
+    cold = flagged.where(~aside).drop("_hot").join(dim, key, "left")
     return hot.unionByName(cold)
 
 
