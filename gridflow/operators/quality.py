@@ -9,8 +9,10 @@ from ..functions import try_number
 
 def violations(df, rules):
     """Adds `violations`, the names of the rules (name -> column true when broken) a row breaks."""
-    names = [F.when(F.coalesce(broken, F.lit(True)), F.lit(name)) for name, broken in rules.items()]
-    return df.withColumn("violations", F.array_compact(F.array(*names)))
+    none = F.array().cast("array<string>")
+    names = [F.when(F.coalesce(broken, F.lit(True)), F.array(F.lit(name))).otherwise(none)
+             for name, broken in rules.items()]
+    return df.withColumn("violations", F.concat(*names))
 
 
 def failing(checked):
