@@ -17,11 +17,13 @@ def classify(orders, price_type=PRICE_TYPE):
 
     The first rule that fails gives the reason. Prices that are not finite are refused:
     one of them would spoil every average after it.
+
+    Both come out of `inline`, through which the optimizer moves no filter: it would
+    otherwise repeat the parsing and the rules in every condition on the outcome.
     """
-    as_double = try_number(F.col("price"))
     value = try_number(F.col("price"), price_type)
-    return orders.withColumns({"price_value": value, "_double": as_double}).withColumn(
-        "error_reason", _error(F.col("_double"), F.col("price_value"))).drop("_double")
+    reason = _error(try_number(F.col("price")), value)
+    return orders.select("*", F.inline(F.array(F.struct(value.alias("price_value"), reason.alias("error_reason")))))
 
 
 def _error(as_double: Column, value: Column) -> Column:
