@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import storage
+from ..fixed_values import GATE_MISSING_FILE
 from ..functions import label_time, try_number
 from ..schemas import TARIFF
 
@@ -29,6 +30,8 @@ def read_drop_text(spark, path):
 
     The columns are those of the file, so that a missing one can be reported.
     """
+    if not storage.exists(spark, path):
+        raise FileNotFoundError(GATE_MISSING_FILE % path)
     rows = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
     return rows.select("*", file_order().alias("row_order"))
 

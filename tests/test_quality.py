@@ -40,6 +40,11 @@ def test_first_bad_row_is_named(spark, tmp_path, line, problem):
         Q.require_passed(Q.gate_report(read_drop_text(spark, str(tmp_path))))
 
 
+def test_missing_drop(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="does not exist"):
+        read_drop_text(spark, str(tmp_path / "nowhere.csv"))
+
+
 def test_empty_and_incomplete_drops(spark, tmp_path):
     assert report(spark, drop(spark, tmp_path)).message == "DQ Failure: Tariff dataset is empty (0 records)."
     path = drop(spark, tmp_path, "H1,T", header="household_id,billing_tier", name="short.csv")
