@@ -1,14 +1,10 @@
 """Spark session and the shared folder that jobs may write to."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
-AVRO_PACKAGE = "org.apache.spark:spark-avro_2.13:4.1.2"
-POSTGRES_PACKAGE = "org.postgresql:postgresql:42.7.3"
 
 
 def build_session(app_name="gridflow", master=None, shuffle_partitions=None, packages=(), extra=None):
@@ -39,14 +35,12 @@ def build_session(app_name="gridflow", master=None, shuffle_partitions=None, pac
 def shared_dir(spark):
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    Only where that is unset, in local mode, is a folder of this machine taken.
+    Where that is unset, a folder in the session's warehouse, which executors share as well.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="gridflow-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_runs"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
