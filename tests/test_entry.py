@@ -12,6 +12,7 @@ from conftest import ROOT
 sys.path.insert(0, str(ROOT))
 
 import __spark_entry__ as contract  # noqa: E402
+from gridflow.plans import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -38,10 +39,11 @@ def rows_of(frame):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(catalog.oracles()) == set(catalog.queries())
+    assert set(catalog.queries()) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, tables, name):
     found = contract.queries()[name](spark, SF).toPandas()
     wanted = tables.execute(contract.oracle_sql()[name]).df()
