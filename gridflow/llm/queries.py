@@ -1,6 +1,8 @@
 """The registered queries of this subpackage, each an operator applied to its whole table, and their SQL."""
 
-from . import chunks, grammar, packing
+from pyspark.sql import functions as F
+
+from . import blocks, chunks, grammar, jaccard, packing, pii, secrets, shuffling, toxicity
 from .common import Scratch
 from .tokens import default_path
 
@@ -9,6 +11,13 @@ def documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_markov_secrets(spark, sf_dir):
+    """Secrets of all documents by base rules and by models trained on samples that those rules label."""
+    docs = documents(spark, sf_dir)
+    samples = Scratch(spark, "op1").save(secrets.labelled_runs(docs), "samples")
+    return secrets.scan(docs, secrets.train(samples))
+
+
 def op2_repair_tokens(spark, sf_dir):
     """Token ids of all documents, written as Re-Pair shards and read back."""
     shards = grammar.encode_shards(documents(spark, sf_dir), default_path("byte_bpe_50k.json"), end_id=0, base=50257)
@@ -16,17 +25,62 @@ def op2_repair_tokens(spark, sf_dir):
     return grammar.read_documents(written).drop("shard")
 
 
+def op3_bilstm_pii(spark, sf_dir):
+    """Personal data of all documents by base rules and by a network trained on spans that those rules label."""
+    docs = documents(spark, sf_dir)
+    windows = Scratch(spark, "op3").save(pii.labelled_windows(docs), "windows")
+    return pii.scan(docs, pii.train(windows))
+
+
+def op5_external_shuffle(spark, sf_dir):
+    """All documents in 40 shards whose counts differ by one at most."""
+    shuffled = shuffling.external_shuffle(documents(spark, sf_dir), shards=40)
+    text = F.coalesce("record.text", F.lit(""))
+    return shuffled.select(
+        "record.doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "bucket")
+
+
+def op6_segment_jaccard(spark, sf_dir):
+    """Classes of documents whose 4-word shingle sets link at a Jaccard similarity of 0.85."""
+    return jaccard.jaccard_join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_chunked_bpe(spark, sf_dir):
     """Ids of all documents by content-defined chunks, and their decoded texts."""
     return chunks.encode_chunked(documents(spark, sf_dir), default_path("byte_bpe_50k.json"))
 
 
+def op8_block_naming(spark, sf_dir):
+    """Equal texts by names of their blocks; the largest doc_id of each group stays."""
+    scratch = Scratch(spark, "op8")
+    return blocks.duplicates(blocks.name_documents(documents(spark, sf_dir), scratch=scratch), scratch).drop("row")
+
+
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+       sha256(norm) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY norm)
+"""
+
+
+def op9_chained_toxicity(spark, sf_dir):
+    """Probabilities of the toxicity categories and the verdict for all documents."""
+    docs = documents(spark, sf_dir)
+    scorer = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.flag(docs, scorer)
+
+
 def op10_tiered_packing(spark, sf_dir):
     """All documents in sequences of 512 to 4096 tokens."""
     return packing.pack(documents(spark, sf_dir), default_path("word_bpe_49k.json"), end_id=2)
 
 
-ALL = (op2_repair_tokens, op7_chunked_bpe, op10_tiered_packing)
+ALL = (op1_markov_secrets, op2_repair_tokens, op3_bilstm_pii, op5_external_shuffle, op6_segment_jaccard, op7_chunked_bpe,
+       op8_block_naming, op9_chained_toxicity, op10_tiered_packing)
 
 
 def queries():
@@ -34,4 +88,4 @@ def queries():
 
 
 def oracles():
-    return {}
+    return {"op8_block_naming": OP8_SQL}
