@@ -1,16 +1,47 @@
-"""A corpus made ready for training, stage by stage; every stage is written and read again as the next one's documents."""
+"""A corpus made ready for training, stage by stage; every stage is written and read again as the next one's documents.
 
-from gridflow.llm import packing
-from gridflow.llm.common import Scratch
+Documents are known by their doc_id: rows that share one go or stay together, and rows without one are never removed as
+duplicates. An empty table passes through all stages as an empty table.
+"""
+
+from gridflow.llm import blocks, jaccard, packing, secrets, toxicity
+from gridflow.llm.common import Scratch, without
 from gridflow.llm.tokens import default_path
 
 
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the classifier chain, trained on the labels, does not call toxic."""
+    scorer = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.without_toxic(docs, scorer)
+
+
+def drop_copies(spark, docs, sf_dir):
+    """Of equal texts (A-Z lower-cased), the document with the largest doc_id."""
+    scratch = Scratch(spark, "copies")
+    found = blocks.duplicates(blocks.name_documents(docs, scratch=scratch), scratch)
+    return without(docs, scratch.save(found.where("not kept and doc_id <> keep_id").select("doc_id"), "gone"))
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """One document, that with the smallest doc_id, of each class linked by a Jaccard similarity of 0.85."""
+    scratch = Scratch(spark, "near-copies")
+    found = jaccard.jaccard_join(docs, scratch)
+    return without(docs, scratch.save(found.where("not kept and doc_id <> component_id").select("doc_id"), "gone"))
+
+
+def mask_secrets(spark, docs, sf_dir):
+    """All documents, with the secrets in their texts masked."""
+    samples = Scratch(spark, "secrets").save(secrets.labelled_runs(docs), "samples")
+    return secrets.mask(docs, secrets.train(samples))
+
+
 def pack_sequences(spark, docs, sf_dir):
     """Sequences of 512 to 4096 tokens; one row per piece, with its ids."""
     return packing.pack(docs, default_path("word_bpe_49k.json"), end_id=2, with_ids=True)
 
 
-STAGES = [("packing", pack_sequences)]
+STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("near dedup", drop_near_copies),
+          ("secrets", mask_secrets), ("packing", pack_sequences)]
 
 #: Learned models and a tokenizer decide, which SQL cannot express; tests compare with a brute-force version.
 ORACLE_SQL = None
@@ -19,7 +50,10 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     """All stages over documents; each result is written as Parquet and read again."""
     scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        docs = scratch.save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            scratch.drop(before)
+        before = docs
     return docs

@@ -56,6 +56,19 @@ def texts_of(frame, *columns):
     return frame.select(*columns, F.coalesce("text", F.lit("")).alias("text"))
 
 
+#: Ids up to which a set of them is broadcast; beyond, both sides are shuffled.
+BROADCAST_IDS = 1_000_000
+
+
+def without(docs, gone):
+    """docs without the doc_ids in `gone` (a written table). Documents that share a doc_id go or stay together, and those
+    without one stay."""
+    ids = gone.select("doc_id").where("doc_id is not null").distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+
+
 def rows_out(schema, columns):
     """A record batch of the given Arrow schema from a list of columns."""
     return pa.RecordBatch.from_arrays(

@@ -20,9 +20,9 @@ NOT_DIGIT = re.compile(r"[^0-9]")
 #: What every kind contains: no stretch without one of these characters can hold personal data.
 TRIGGER = re.compile(r"[0-9@]+")
 #: Characters of a window, and how far one begins after the other.
-WINDOW, STRIDE = 96, 48
-#: Documents whose labelled spans train the network, windows of each kind of content, hidden units a direction, rounds.
-SAMPLE_DOCS, WINDOWS, HIDDEN, ROUNDS = 20_000, 800, 20, 6
+WINDOW, STRIDE = 64, 32
+#: Documents whose labelled spans train the network, windows of each kind of content, hidden units a direction, steps.
+SAMPLE_DOCS, WINDOWS, HIDDEN, STEPS = 20_000, 800, 20, 400
 #: Tags: outside, then begin and inside of each kind.
 TAGS = 1 + 2 * len(KINDS)
 #: Character codes: 0 padding, 1 any other, 2 a letter beyond ASCII, then ASCII.
@@ -112,11 +112,6 @@ def window_starts(length):
     return range(0, max(1, length - WINDOW + STRIDE), STRIDE)
 
 
-def log_sum(x, axis):
-    top = x.max(axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
-
-
 def sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
@@ -156,19 +151,23 @@ class Tagger:
         return (out, tape) if keep else out
 
     def run_back(self, x, d, tape, grad, into):
-        """Gradients of one direction, added to `into`; grad is (time, batch, h)."""
-        h = self.h
-        back = self.w["re" + d]
+        """Gradients of one direction, put into `into`; grad is (time, batch, h)."""
+        back, at, dzs = self.w["re" + d].T, [], []
         d_state, d_cell = np.zeros_like(grad[0]), np.zeros_like(grad[0])
-        for t, i, f, o, new, before, squashed, was in reversed(tape):
+        for t, i, f, o, new, before, squashed, _ in reversed(tape):
             ds = grad[t] + d_state
-            dc = d_cell + ds * o * (1 - squashed ** 2)
+            dc = d_cell + ds * o * (1 - squashed * squashed)
             dz = np.concatenate([dc * new * i * (1 - i), dc * before * f * (1 - f), ds * squashed * o * (1 - o),
-                                 dc * i * (1 - new ** 2)], axis=1)
-            np.add.at(into["in" + d], x[:, t], dz)
-            into["re" + d] += was.T @ dz
-            into["bi" + d] += dz.sum(0)
-            d_state, d_cell = dz @ back.T, dc * f
+                                 dc * i * (1 - new * new)], axis=1)
+            at.append(t)
+            dzs.append(dz)
+            d_state, d_cell = dz @ back, dc * f
+        flat = np.concatenate(dzs)
+        seen = np.zeros((len(flat), CODES))
+        seen[np.arange(len(flat)), x[:, at].T.ravel()] = 1
+        into["in" + d] = seen.T @ flat
+        into["re" + d] = np.concatenate([step[7] for step in reversed(tape)]).T @ flat
+        into["bi" + d] = flat.sum(0)
 
     def emissions(self, x):
         """Scores of the tags (batch, time, tags)."""
@@ -176,48 +175,44 @@ class Tagger:
         return (both @ self.w["out"] + self.w["out_b"]).transpose(1, 0, 2)
 
     def gradients(self, x, tags, real):
-        """Loss and gradients of the CRF's negative log-likelihood; `real` marks characters that are no padding."""
+        """Loss and gradients of the CRF's negative log-likelihood, by the scaled forward and backward pass; `real`
+        marks characters that are no padding, which only stands at a window's end."""
         (hf, tf), (hb, tb) = self.run(x, "f", True), self.run(x, "b", True)
         both = np.concatenate([hf, hb], axis=2)
         e = both @ self.w["out"] + self.w["out_b"]
-        steps, n = x.shape[1], len(x)
-        move, rows = self.w["move"], np.arange(n)
-        alpha, beta = np.zeros((steps, n, TAGS)), np.zeros((steps, n, TAGS))
-        alpha[0] = self.w["start"] + e[0]
-        for t in range(1, steps):
-            step = log_sum(alpha[t - 1][:, :, None] + move, 1) + e[t]
-            alpha[t] = np.where(real[:, t, None], step, alpha[t - 1])
-        for t in range(steps - 2, -1, -1):
-            step = log_sum(move[None] + (e[t + 1] + beta[t + 1])[:, None, :], 2)
-            beta[t] = np.where(real[:, t + 1, None], step, beta[t + 1])
-        total = log_sum(alpha[-1], 1)
-        g = {k: np.zeros_like(v) for k, v in self.w.items()}
-        de = np.zeros_like(e)
-        gold = self.w["start"][tags[:, 0]] + e[0, rows, tags[:, 0]]
+        steps, n, rows, on = x.shape[1], len(x), np.arange(len(x)), real.T
+        top = e.max(2, keepdims=True)
+        local, move, start = np.exp(e - top), np.exp(self.w["move"]), np.exp(self.w["start"])
+        alpha, beta, scale = np.zeros_like(e), np.ones_like(e), np.ones((steps, n))
         for t in range(steps):
-            on = real[:, t]
-            de[t] = np.exp(alpha[t] + beta[t] - total[:, None]) * on[:, None]
-            de[t, rows, tags[:, t]] -= on
-            if t:
-                pair = np.exp(alpha[t - 1][:, :, None] + move + (e[t] + beta[t])[:, None, :] - total[:, None, None])
-                g["move"] += (pair * on[:, None, None]).sum(0)
-                np.add.at(g["move"], (tags[:, t - 1], tags[:, t]), -1.0 * on)
-                gold = gold + on * (move[tags[:, t - 1], tags[:, t]] + e[t, rows, tags[:, t]])
-        g["start"] += de[0].sum(0)
-        g["out"] += np.einsum("tbh,tbk->hk", both, de)
-        g["out_b"] += de.sum((0, 1))
+            a = (alpha[t - 1] @ move if t else start) * local[t]
+            scale[t] = np.where(on[t], a.sum(1), 1)
+            alpha[t] = np.where(on[t][:, None], a / scale[t][:, None], alpha[t - 1])
+        ahead = np.zeros_like(e)
+        for t in range(steps - 1, 0, -1):
+            ahead[t] = local[t] * beta[t] / scale[t][:, None] * on[t][:, None]
+            beta[t - 1] = np.where(on[t][:, None], ahead[t] @ move.T, beta[t])
+        gold = np.zeros_like(e)
+        np.put_along_axis(gold, tags.T[:, :, None], 1.0, 2)
+        gold *= on[:, :, None]
+        de = alpha * beta * on[:, :, None] - gold
+        g = {"start": de[0].sum(0), "out_b": de.sum((0, 1)), "out": both.reshape(-1, both.shape[2]).T @ de.reshape(-1, TAGS)}
+        pairs = np.tensordot(alpha[:-1], ahead[1:], ((0, 1), (0, 1))) * move
+        g["move"] = pairs - np.tensordot(gold[:-1] * on[1:, :, None], gold[1:], ((0, 1), (0, 1)))
+        steps_gold = self.w["move"][tags.T[:-1], tags.T[1:]] * on[1:]
+        total = (np.log(scale) + top[:, :, 0] * on).sum()
+        loss = total - (e * gold).sum() - steps_gold.sum() - self.w["start"][tags[:, 0]].sum()
         d_both = de @ self.w["out"].T
         self.run_back(x, "f", tf, d_both[:, :, :self.h], g)
         self.run_back(x, "b", tb, d_both[:, :, self.h:], g)
-        return float((total - gold).mean()), {k: v / n for k, v in g.items()}
+        return float(loss / n), {k: v / n for k, v in g.items()}
 
-    def fit(self, x, tags, real, rounds=ROUNDS, batch=48, rate=0.02, seed=1):
-        """Adam over shuffled batches; the rate falls to a tenth."""
-        rng, mean, square, step = np.random.default_rng(seed), {}, {}, 0
-        last = rounds * -(-len(x) // batch)
-        for _ in range(rounds):
+    def fit(self, x, tags, real, steps=STEPS, batch=32, rate=0.03, seed=1):
+        """Adam over shuffled batches, a fixed number of steps; the rate falls to a tenth."""
+        rng, mean, square, step, last = np.random.default_rng(seed), {}, {}, 0, steps
+        while step < steps:
             order = rng.permutation(len(x))
-            for a in range(0, len(x), batch):
+            for a in range(0, min(len(x), (steps - step) * batch), batch):
                 own = order[a:a + batch]
                 self.loss, g = self.gradients(x[own], tags[own], real[own])
                 step += 1
@@ -319,14 +314,14 @@ def arrays_of(rows):
     return x, tags, real
 
 
-def train(windows, most=WINDOWS, rounds=ROUNDS):
+def train(windows, most=WINDOWS, steps=STEPS):
     """A tagger from labelled windows, at most `most` distinct ones of each kind and of none; None without any."""
     rows = []
     for kind in range(-1, len(KINDS)):
         own = windows.where(F.col("kind") == kind).dropDuplicates(["window"])
         rows += own.orderBy(F.xxhash64("window"), "window").limit(most).collect()
     rows.sort(key=lambda r: r["window"])
-    return Tagger().fit(*arrays_of(rows), rounds=rounds) if rows else None
+    return Tagger().fit(*arrays_of(rows), steps=steps) if rows else None
 
 
 def scan(docs, tagger):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import blocks, chunks, grammar, jaccard, packing, pii, secrets, shuffling, toxicity
+from . import blocks, chunks, grammar, jaccard, nndescent, packing, pii, secrets, shuffling, toxicity
 from .common import Scratch
 from .tokens import default_path
 
@@ -32,6 +32,11 @@ def op3_bilstm_pii(spark, sf_dir):
     return pii.scan(docs, pii.train(windows))
 
 
+def op4_nn_descent(spark, sf_dir):
+    """Links, components and kept rows of all embeddings with equal labels, at a cosine of 0.93."""
+    return nndescent.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)[0]
+
+
 def op5_external_shuffle(spark, sf_dir):
     """All documents in 40 shards whose counts differ by one at most."""
     shuffled = shuffling.external_shuffle(documents(spark, sf_dir), shards=40)
@@ -79,8 +84,8 @@ def op10_tiered_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), default_path("word_bpe_49k.json"), end_id=2)
 
 
-ALL = (op1_markov_secrets, op2_repair_tokens, op3_bilstm_pii, op5_external_shuffle, op6_segment_jaccard, op7_chunked_bpe,
-       op8_block_naming, op9_chained_toxicity, op10_tiered_packing)
+ALL = (op1_markov_secrets, op2_repair_tokens, op3_bilstm_pii, op4_nn_descent, op5_external_shuffle, op6_segment_jaccard,
+       op7_chunked_bpe, op8_block_naming, op9_chained_toxicity, op10_tiered_packing)
 
 
 def queries():

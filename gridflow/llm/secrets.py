@@ -16,6 +16,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 #: The base kinds in the order in which equal starts are listed, and the models' kind.
 KINDS = ("assign", "access", "hex")
 MODEL = "random"
+#: What stands for a secret in a masked text.
+MASK = "[secret]"
 #: Runs that the models judge: long, and not a piece of a longer word in any script.
 RUN = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_=-]{16,}(?![\w+/=-])")
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
@@ -120,6 +122,50 @@ def train(samples, most=40_000, seed=5):
     return Judge(random + list(made_strings(np.random.default_rng(seed))), ordinary)
 
 
+def model_spans(text, base, judge):
+    """What the models add to the base spans."""
+    return [(m.start(), 3, m.end()) for m in RUN.finditer(text)
+            if not any(a < m.end() and m.start() < b for a, _, b in base) and judge.is_random(m[0])]
+
+
+def masked(text, spans, mark=MASK):
+    """The text with every stretch of overlapping spans replaced by a mark."""
+    parts, at, last = [], 0, -1
+    for a, _, b in sorted(spans):
+        if a >= last:
+            parts += [text[at:a], mark]
+        last = max(last, b)
+        at = last
+    return "".join([*parts, text[at:]])
+
+
+def mask(docs, judge):
+    """The documents with their secrets masked, all columns as they were but text and, where it counts characters,
+    n_chars. Null stays null, and a text without secrets stays as it is."""
+    names = docs.columns
+    at = names.index("text")
+
+    def changed(batches):
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            new = []
+            for text in texts:
+                base = base_spans(text or "")
+                spans = base + model_spans(text or "", base, judge)
+                new.append(masked(text, spans) if spans else text)
+            columns = list(batch.columns)
+            columns[at] = pa.array(new, batch.schema.field(at).type)
+            if "n_chars" in names:
+                k = names.index("n_chars")
+                counts = columns[k].to_pylist()
+                columns[k] = pa.array([len(b) if a is not b else n for a, b, n in zip(texts, new, counts)],
+                                      batch.schema.field(k).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    ready(docs.sparkSession)
+    return docs.mapInArrow(changed, docs.schema)
+
+
 def scan(docs, judge):
     """Secrets of every whole text, one row per document.
 
@@ -134,8 +180,7 @@ def scan(docs, judge):
             columns = [[] for _ in FOUND]
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 base = base_spans(text)
-                more = [(m.start(), 3, m.end()) for m in RUN.finditer(text)
-                        if not any(a < m.end() and m.start() < b for a, _, b in base) and judge.is_random(m[0])]
+                more = model_spans(text, base, judge)
                 counts = [sum(k == kind for _, k, _ in base) for kind in range(3)]
                 digest = hashlib.sha256(joined(base, kinds).encode()).hexdigest()
                 row = [doc_id, *counts, len(more), digest, joined(sorted(base + more), kinds)]

@@ -12,8 +12,12 @@ from .common import Scratch, ready, rows_out, texts_of
 #: The chain's order. The first two are labels; a severe document is a toxic one with three or more of its markers.
 CATEGORIES = ("junk", "toxic", "severe")
 SEVERE_MARKERS = 3
-#: Labelled documents that the models are fitted on (the first by a hash of doc_id), words kept per category, folds.
-SAMPLE, WORDS, FOLDS = 12_000, 96, 5
+#: Labelled documents that the models are fitted on (the first by a hash of doc_id), features kept per label, folds.
+SAMPLE, FEATURES, FOLDS = 8_000, 96, 5
+#: Besides whole words, their beginnings of these lengths are features, since endings vary.
+BEGINNINGS = (4, 5, 6)
+#: Words whose features a worker remembers.
+KNOWN_WORDS = 500_000
 WORD = re.compile(r"[^\W\d_]+")
 SCORED = pa.schema([("doc_id", pa.int64()), *[(f"p_{c}", pa.float64()) for c in CATEGORIES], ("toxic", pa.bool_())])
 
@@ -26,10 +30,33 @@ def words_of(text):
     return WORD.findall(text.lower())
 
 
-def shape(words, distinct, chars):
-    """Length, repetition and word length of a text, each of the order of one."""
-    n = len(words)
-    return [np.log1p(n) / 8, distinct / n if n else 0.0, min(chars / n, 20) / 10 if n else 0.0]
+def features_of(word):
+    """The word itself and its beginnings, marked as such."""
+    return [word, *[word[:n] + "-" for n in BEGINNINGS if len(word) > n]]
+
+
+class Features:
+    """Rows of numbers for texts: how often each chosen feature occurs (its logarithm), and the text's shape."""
+
+    def __init__(self, chosen):
+        self.place, self.known = {f: i for i, f in enumerate(chosen)}, {}
+
+    def rows(self, texts):
+        x, known, width = np.zeros((len(texts), len(self.place) + 3)), self.known, len(self.place)
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        for row, text in zip(x, texts):
+            words = words_of(text)
+            distinct = set(words)
+            for word in distinct.difference(known):
+                known[word] = tuple(self.place[f] for f in features_of(word) if f in self.place)
+            for at in map(known.__getitem__, words):
+                for i in at:
+                    row[i] += 1
+            n = len(words)
+            row[width:] = np.log1p(n) / 8, len(distinct) / max(n, 1), min(len(text) / max(n, 1), 20) / 10
+        x[:, :width] = np.log1p(x[:, :width])
+        return x
 
 
 class Linear:
@@ -99,67 +126,60 @@ def train(docs, labels, sample=SAMPLE, scratch=None):
         F.max(F.coalesce((F.col("toxic") == 1).cast("int"), F.lit(0))).alias("toxic"),
         F.max(F.coalesce((F.col("quality") == 0).cast("int"), F.lit(0))).alias("junk"))
     chosen = flags.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-
-    def features(batches):
-        for batch in batches:
-            texts = [words_of(t) for t in batch["text"].to_pylist()]
-            sets = [sorted(set(w)) for w in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["toxic"], batch["junk"], pa.array(sets, pa.list_(pa.string())),
-                 pa.array([shape(w, len(s), len(t)) for w, s, t in zip(texts, sets, batch["text"].to_pylist())],
-                          pa.list_(pa.float64()))], names=["doc_id", "toxic", "junk", "words", "shape"])
-
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    seen = scratch.save(texts_of(joined, "doc_id", "toxic", "junk").mapInArrow(
-        features, "doc_id long, toxic int, junk int, words array<string>, shape array<double>"), "samples")
+    seen = scratch.save(texts_of(joined, "doc_id", "toxic", "junk"), "samples")
     sums = seen.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"), F.sum("junk").alias("junk")).first()
-    by_word = scratch.save(seen.select("toxic", "junk", F.explode("words").alias("word")).groupBy("word").agg(
-        F.count("*").alias("n"), F.sum("toxic").alias("toxic"), F.sum("junk").alias("junk")).where("n >= 3"), "words")
-    markers, chosen_words = [], set()
+
+    def named(batches):
+        for batch in batches:
+            sets = [list({f for w in set(words_of(t)) for f in features_of(w)}) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["toxic"], batch["junk"], pa.array(sets, pa.list_(pa.string()))],
+                                             names=["toxic", "junk", "features"])
+
+    per_feature = seen.mapInArrow(named, "toxic int, junk int, features array<string>").select(
+        "toxic", "junk", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count("*").alias("n"), F.sum("toxic").alias("toxic"), F.sum("junk").alias("junk")).where("n >= 3")
+    per_feature = scratch.save(per_feature, "features")
+    markers, vocabulary = [], set()
     for label in ("junk", "toxic"):
         if sums[label] and sums[label] < sums["n"]:
             inside = (F.col(label) + 0.5) / (sums[label] + 1)
             outside = (F.col("n") - F.col(label) + 0.5) / (sums["n"] - sums[label] + 1)
-            gain = F.col(label) * F.log(inside / outside)
-            best = [r["word"] for r in by_word.orderBy(F.desc(gain), "word").limit(WORDS).collect()]
-            strong = by_word.where(inside > 20 * outside).orderBy(F.desc(gain), "word").limit(16)
-            markers = [r["word"] for r in strong.collect()] if label == "toxic" else markers
-            chosen_words |= set(best)
-    vocabulary = sorted(chosen_words)
-    listed = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.array().cast("array<string>")
-    rows = seen.select("doc_id", "toxic", "junk", "shape", F.array_intersect("words", listed).alias("words")).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    place = {w: i for i, w in enumerate(vocabulary)}
-    x, y = np.zeros((len(rows), len(vocabulary) + 3)), np.zeros((len(rows), len(CATEGORIES)))
-    for i, row in enumerate(rows):
-        x[i, [place[w] for w in row["words"]]] = 1
-        x[i, -3:] = row["shape"]
-        severe = row["toxic"] and len(set(row["words"]) & set(markers)) >= SEVERE_MARKERS
-        y[i] = row["junk"], row["toxic"], severe
+            ranked = per_feature.withColumn("gain", F.col(label) * F.log(inside / outside)).orderBy(F.desc("gain"), "feature")
+            vocabulary |= {r["feature"] for r in ranked.limit(FEATURES).collect()}
+            if label == "toxic":
+                markers = [r["feature"] for r in ranked.where(inside > 20 * outside).limit(FEATURES).collect()]
+    features = Features(sorted(vocabulary))
+
+    def measured(batches):
+        for batch in batches:
+            x = features.rows(batch["text"].to_pylist())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], batch["junk"], pa.array(list(x))],
+                                             names=["doc_id", "toxic", "junk", "x"])
+
+    rows = seen.mapInArrow(measured, "doc_id long, toxic int, junk int, x array<double>").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["x"]))
+    x = np.array([r["x"] for r in rows]).reshape(len(rows), len(vocabulary) + 3)
+    marked = x[:, [features.place[m] for m in markers if m in features.place]] > 0
+    toxic, junk = (np.array([r[c] for r in rows], float) for c in ("toxic", "junk"))
+    y = np.column_stack([junk, toxic, toxic * (marked.sum(1) >= SEVERE_MARKERS)])
     folds = np.random.default_rng(3).permutation(np.arange(len(rows)) % FOLDS)
-    chain = Chain(x, y, folds)
-    return Scorer(place, chain, cut_of(chain.held[:, 1], y[:, 1]) if len(rows) else 0.5, chain.held, y)
+    return Scorer(features, Chain(x, y, folds), y[:, 1])
 
 
 class Scorer:
-    """The vocabulary, the chain, and the probability from which on a document is toxic."""
+    """Features, the chain, the probability from which on a document is toxic, and how right held-out verdicts were."""
 
-    def __init__(self, place, chain, cut, held, truth):
-        self.place, self.chain, self.cut = place, chain, cut
-        predicted = held[:, 1] >= cut if len(held) else np.zeros(0, bool)
-        self.held_out_accuracy = float((predicted == (truth[:, 1] > 0)).mean()) if len(held) else 1.0
+    def __init__(self, features, chain, truth):
+        self.features, self.chain, held = features, chain, chain.held[:, 1]
+        self.cut = cut_of(held, truth)
+        self.held_out_accuracy = float(((held >= self.cut) == (truth > 0)).mean()) if len(held) else 1.0
 
     def score(self, texts):
-        x = np.zeros((len(texts), len(self.place) + 3))
-        for i, text in enumerate(texts):
-            words = words_of(text)
-            distinct = set(words)
-            x[i, [self.place[w] for w in distinct & self.place.keys()]] = 1
-            x[i, -3:] = shape(words, len(distinct), len(text))
-        return self.chain.predict(x)
+        return self.chain.predict(self.features.rows(texts))
 
 
-def flag(docs, scorer, keep=None):
+def flag(docs, scorer):
     """Probabilities of all categories and the verdict for each whole text: (doc_id, p_junk, p_toxic, p_severe, toxic).
 
     Null text counts as empty; repeated and null doc_ids keep their own rows; other columns are ignored; an empty table
