@@ -29,8 +29,8 @@ def renewable_pct(solar: Column, consumption: Column) -> Column:
 def average(total: Column, count: Column, places: int = 2) -> Column:
     """total / count rounded half up, 0.0 for a count of zero.
 
-    Decimal totals are narrowed to 24 digits first: wider ones leave Spark only six
-    fraction digits for the quotient, and rounding that again can go the wrong way.
+    Decimal totals are narrowed to 24 digits before the point first: more leave Spark only
+    six fraction digits for the quotient, and rounding that again can go the wrong way.
     """
     return F.coalesce(F.round(F.try_divide(total, count), places).cast("double"), F.lit(0.0))
 

@@ -8,12 +8,23 @@ from .orders import PRICE_TYPE, rejected, resolve, with_audit_trail
 from .running import running_totals
 
 
+MESSAGE = ("orderId", "product", "price", "transient_failures", "permanent_error")
+
+
 def dead_letters(resolved, at, prior_count=0, **running_options):
-    """Dead-letter records of the rejected orders, numbered in arrival order."""
-    failed = resolved if "audit_trail" in resolved.columns else with_audit_trail(resolved)
-    numbered = running_totals(rejected(failed), "seq", {"_number": F.lit(1).cast("long")}, **running_options)
-    message = F.struct("orderId", "product", "price", "transient_failures", "permanent_error")
-    return numbered.select(
+    """Dead-letter records of the rejected orders, numbered in arrival order.
+
+    `resolved` may carry `total_rejects` already, as stored outcomes do; then that is the
+    number. The trail is made after the numbering.
+    """
+    failed = rejected(resolved)
+    if "total_rejects" in failed.columns:
+        numbered = failed.withColumn("_number", F.col("total_rejects"))
+    else:
+        numbered = running_totals(failed, "seq", {"_number": F.lit(1).cast("long")}, **running_options)
+    told = numbered if "audit_trail" in numbered.columns else with_audit_trail(numbered)
+    message = F.struct(*MESSAGE)
+    return told.select(
         "seq",
         padded_key(F.lit("DLQ-"), F.col("_number") + F.lit(prior_count)).alias("dlq_id"),
         message.alias("failed_message"),
@@ -42,9 +53,9 @@ def missing_requests(letters, requests):
 
 def repaired_price(price, corrected):
     """The corrected price without its sign, or the message's own without its minus sign."""
-    number = try_number(price, PRICE_TYPE)
+    text = F.trim(price)
     return F.when(corrected.isNotNull(), F.abs(corrected).cast("string")) \
-        .when(number < 0, F.abs(number).cast("string")).otherwise(price)
+        .when(try_number(price) < 0, F.regexp_replace(text, "^-", "")).otherwise(price)
 
 
 def repair(matched):
@@ -60,16 +71,17 @@ def repair(matched):
     )
 
 
-def replay(letters, requests, last_seq, max_retries=MAX_RETRIES, request_order="request_seq"):
+def replay(letters, requests, last_seq, max_retries=MAX_RETRIES, request_order="request_seq", price_type=PRICE_TYPE):
     """Replays the requested dead letters.
 
     Returns (outcomes of the replayed messages, the letters with `replayed` updated, the
-    requests that matched nothing). Replayed messages arrive after `last_seq`, in the
+    requests that matched nothing). Replayed messages arrive right after `last_seq`, in the
     order of their letters; one that fails again is a new dead letter.
     """
     wanted = first_requests(requests, request_order)
-    arrivals = repair(match_requests(letters, wanted)).withColumn("seq", F.col("seq") + F.lit(last_seq + 1))
+    counted = running_totals(repair(match_requests(letters, wanted)), "seq", {"_place": F.lit(1).cast("long")})
+    arrivals = counted.withColumn("seq", F.col("_place") + F.lit(last_seq)).drop("_place")
     asked = wanted.select("dlq_id", F.lit(True).alias("_asked"))
     updated = letters.join(asked, "dlq_id", "left").withColumn(
         "replayed", F.col("replayed") | F.coalesce("_asked", F.lit(False))).drop("_asked")
-    return resolve(arrivals, max_retries), updated, missing_requests(letters, wanted)
+    return resolve(arrivals, max_retries, price_type), updated, missing_requests(letters, wanted)

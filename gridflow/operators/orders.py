@@ -9,39 +9,38 @@ from ..functions import average, try_number
 from ..schemas import AUDIT_STEP
 from .running import running_totals
 
-PRICE_TYPE = "decimal(14,2)"
+PRICE_TYPE = "double"
 
 
 def classify(orders, price_type=PRICE_TYPE):
     """Adds `price_value`, the price as a number, and `error_reason`, null for a valid order.
 
-    The first rule that fails gives the reason. Prices that are not finite are refused:
-    one of them would spoil every average after it.
+    The first rule that fails gives the reason. Sign and finiteness are judged on the number
+    as it was sent, before it takes `price_type`. Prices that are not finite are refused:
+    one of them would spoil every average after it. With a decimal type, for exact sums, a
+    price too large for it is refused with that reason.
 
     Both come out of `inline`, through which the optimizer moves no filter: it would
     otherwise repeat the parsing and the rules in every condition on the outcome.
     """
     value = try_number(F.col("price"), price_type)
-    reason = _error(try_number(F.col("price")), value)
+    reason = _error(try_number(F.col("price")), value, price_type)
     return orders.select("*", F.inline(F.array(F.struct(value.alias("price_value"), reason.alias("error_reason")))))
 
 
-def _error(as_double: Column, value: Column) -> Column:
+def _error(as_double: Column, value: Column, price_type) -> Column:
     infinite = as_double.isin(float("inf"), float("-inf")) | F.isnan(as_double)
     return (
         F.when(F.col("orderId").isNull() | F.col("price").isNull(), V.REASON_MALFORMED)
         .when(infinite, V.REASON_NOT_FINITE)
-        .when(value.isNull(), F.format_string(V.REASON_NOT_NUMERIC, F.col("price").cast("string")))
-        .when(value < 0, F.format_string(V.REASON_NEGATIVE, _money(value)))
+        .when(as_double.isNull(), F.format_string(V.REASON_NOT_NUMERIC, F.col("price").cast("string")))
+        .when(as_double < 0, F.format_string(V.REASON_NEGATIVE, F.format_string("%.2f", as_double)))
+        .when(value.isNull(), F.lit(f"price does not fit {price_type}"))
         .when(F.coalesce(F.col("permanent_error"), F.lit("")) != "",
               F.format_string(V.REASON_FORCED, F.col("permanent_error")))
     )
 
 
-def _money(value: Column) -> Column:
-    return F.coalesce(value.try_cast("decimal(38,2)").cast("string"), value.cast("string"))
-
-
 def resolve(orders, max_retries=V.MAX_RETRIES, price_type=PRICE_TYPE):
     """Status, attempts and error of each order after its transient failures.
 
@@ -110,8 +109,10 @@ def rejected(resolved):
 
 
 def total_type(price_type):
-    """What totals of a price are kept in: see `average` for the 24 digits."""
-    return T.DecimalType(24, price_type.scale) if isinstance(price_type, T.DecimalType) else price_type
+    """What totals of a price are kept in: see `average` for the 24 digits before the point."""
+    if isinstance(price_type, T.DecimalType):
+        return T.DecimalType(min(38, 24 + price_type.scale), price_type.scale)
+    return price_type
 
 
 def with_running_average(resolved, prior_orders=0, prior_total=0, prior_rejects=0, **running_options):
@@ -143,9 +144,12 @@ def with_fallback_names(outcomes):
     })
 
 
-def process_orders(orders, max_retries=V.MAX_RETRIES, **running_options):
-    """Every order with its outcome, audit trail and running average."""
-    outcomes = with_running_average(with_audit_trail(resolve(orders, max_retries)), **running_options)
+def process_orders(orders, max_retries=V.MAX_RETRIES, price_type=PRICE_TYPE, **running_options):
+    """Every order with its outcome, audit trail and running average.
+
+    The trail is made last, so that it is not shuffled and sorted with the totals.
+    """
+    outcomes = with_audit_trail(with_running_average(resolve(orders, max_retries, price_type), **running_options))
     return with_fallback_names(outcomes.drop("_permanent"))
 
 

@@ -20,39 +20,43 @@ from .zones import trigger_of
 class OrderOutcomes:
     """Outcome table of an order stream, one folder per batch, split by acceptance.
 
-    What a batch needs to know of its predecessors, the totals so far, is the largest
-    value in the batch before it: prices are never negative, so the totals only grow.
-    Nothing is kept on the driver, and a restarted query goes on from the table. Within a
-    batch the totals are computed in parallel (see `running_totals`), so the stream has no
-    single task that sees every order.
+    What a batch needs to know of its predecessors, the totals so far, is the one row that
+    the batch before it left in its own folder of `totals`; nothing is listed and nothing is
+    kept on the driver, and a restarted query goes on from there. Within a batch the totals
+    are computed in parallel (see `running_totals`), so the stream has no single task that
+    sees every order.
     """
 
-    def __init__(self, spark, root, max_retries=V.MAX_RETRIES):
-        self.spark, self.root, self.max_retries = spark, root, max_retries
+    def __init__(self, spark, root, max_retries=V.MAX_RETRIES, price_type=PRICE_TYPE):
+        self.spark, self.root = spark, root
+        self.max_retries, self.price_type = max_retries, price_type
+        self.totals = f"{root}/_totals"
 
     def _prior(self, batch_id):
-        done = [int(n.split("=")[1]) for n in storage.child_names(self.spark, self.root)]
-        earlier = [n for n in done if n < batch_id]
-        if not earlier:
+        if not batch_id:
             return {"prior_orders": 0, "prior_rejects": 0, "prior_total": 0}
-        last = self.spark.read.parquet(f"{self.root}/batch_id={max(earlier)}")
-        return last.agg(
-            F.max("total_orders").alias("prior_orders"),
-            F.max("total_rejects").alias("prior_rejects"),
-            F.max("cumulative_price").alias("prior_total"),
-        ).first().asDict()
+        return self.spark.read.parquet(f"{self.totals}/batch_id={batch_id - 1}").first().asDict()
 
     def write(self, batch_df, batch_id):
+        prior, folder = self._prior(batch_id), f"batch_id={batch_id}"
         orders = batch_df.persist()
         try:
-            write_once(self.outcomes(orders, batch_id), self.root, f"batch_id={batch_id}", ["accepted"])
+            rows = self.outcomes(orders, prior)
+            write_once(rows, self.root, folder, ["accepted"])
         finally:
             orders.unpersist()
+        if storage.is_published(self.spark, f"{self.root}/{folder}"):
+            rows = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{folder}")
+        else:
+            rows = self.spark.createDataFrame([], rows.schema)
+        places = (("prior_orders", "total_orders"), ("prior_rejects", "total_rejects"), ("prior_total", "cumulative_price"))
+        totals = rows.agg(*[F.coalesce(F.max(c), F.lit(prior[name])).cast(rows.schema[c].dataType).alias(name)
+                            for name, c in places])
+        write_once(totals, self.totals, folder)
 
-    def outcomes(self, orders, batch_id):
-        resolved = with_audit_trail(resolve(orders, self.max_retries, PRICE_TYPE)).drop("_permanent")
-        numbered = with_running_average(resolved, **self._prior(batch_id))
-        return numbered.withColumns({
+    def outcomes(self, orders, prior):
+        numbered = with_running_average(resolve(orders, self.max_retries, self.price_type), **prior)
+        return with_audit_trail(numbered).drop("_permanent").withColumns({
             "accepted": is_accepted().cast("int"),  # a folder name; booleans are read back as text
             "dlq_id": F.when(~is_accepted(), padded_key(F.lit("DLQ-"), F.col("total_rejects"))),
             "replayed": F.when(~is_accepted(), F.lit(False)),

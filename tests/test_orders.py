@@ -62,6 +62,31 @@ def test_permanent_errors_win_at_the_first_attempt(spark, price, order_id, perma
     assert trail(row) == [(1, "FATAL")]
 
 
+@pytest.mark.parametrize("price, value", [("1e12", 1e12), ("2500000000000", 2.5e12), ("0.005", 0.005), (" 7.125 ", 7.125), ("0", 0.0)])
+def test_prices_count_as_they_stand(spark, price, value):
+    row = one(spark, price)
+    assert (row.status, row.price_value) == ("SUCCESS", value)
+
+
+@pytest.mark.parametrize("price", ["-0.001", "-0.004", "-1e-9", "-1e300"])
+def test_any_negative_price_is_refused(spark, price):
+    assert one(spark, price).error_reason.startswith("Poison pill detected: negative price")
+
+
+def test_exact_prices(spark):
+    def reason(price):
+        return O.classify(events(spark, (1, "A", "I", price, 0, None)), "decimal(6,2)").first()
+    assert float(reason("9999.99").price_value) == 9999.99 and reason("9999.99").error_reason is None
+    assert reason("10000").error_reason == "price does not fit decimal(6,2)"
+    assert reason("-0.001").error_reason == "Poison pill detected: negative price ($-0.00)"
+
+
+def test_trail_is_made_after_the_shuffle(spark, plan_of):
+    plan = plan_of(O.process_orders(events(spark, (1, "A", "I", "1", 0, None)).repartition(2)))
+    exchanges = [block for block in plan.split("\n\n") if ") Exchange" in block]
+    assert exchanges and not any("audit_trail" in block for block in exchanges)
+
+
 def test_other_retry_limits(spark):
     assert one(spark, failures=4, retries=5).attempts == 5
     row = one(spark, failures=1, retries=1)
@@ -123,7 +148,7 @@ def model(rows, limit=3):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_against_the_model(spark, seed):
     rows = random_orders(seed)
-    resolved = O.resolve(events(spark, *rows).repartition(6))
+    resolved = O.resolve(events(spark, *rows).repartition(6), price_type="decimal(24,6)")
     found = O.with_running_average(resolved, bits=6).collect()
     assert {r.seq: (r.status, r.attempts, r.total_orders, r.running_avg) for r in found} == model(rows)
     last = model(rows)[max(r[0] for r in rows)]
