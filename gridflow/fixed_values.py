@@ -2,10 +2,8 @@
 
 from decimal import Decimal
 
-# --- zones, tiers, products ------------------------------------------------------------
+# --- zones ----------------------------------------------------------------------------
 GRID_ZONES = ("Zone-North", "Zone-South", "Zone-East", "Zone-West")
-BILLING_TIERS = ("Tier-1_Residential", "Tier-2_Commercial", "Tier-3_Industrial")
-PRODUCTS = ("Item1", "Item2", "Item3", "Item4", "Item5")
 
 # --- what a household without a tariff row is billed ------------------------------------
 DEFAULT_RATE = Decimal("0.15")
@@ -19,9 +17,6 @@ WINDOW_DURATION = "1 minute"
 SLIDE_DURATION = "30 seconds"
 TRIGGER_INTERVAL = "5 seconds"
 TELEMETRY_TOPIC = "smart_meters"
-TELEMETRY_DLQ_TOPIC = "smart_meters_dlq"
-ORDER_DLQ_TOPIC = "order_dlq"
-METRICS_TABLE = "grid_zone_metrics"
 
 # --- tariff gate -------------------------------------------------------------------------
 TARIFF_COLUMNS = ("household_id", "tariff_rate", "billing_tier", "subsidy_flag")

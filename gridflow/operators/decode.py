@@ -30,6 +30,11 @@ def with_event_time(parsed, column="timestamp"):
     return parsed.withColumn("event_timestamp", event_time(F.col(column)))
 
 
+def finite(name):
+    """Whether a number is one that can be added up; null for a missing one."""
+    return F.abs(F.col(name).cast("double")) < float("inf")
+
+
 def reading_error(schema=TELEMETRY):
     """Why a parsed record cannot be used; null for a good one."""
     fields = [F.col(n).isNull() for n in schema.fieldNames()]
@@ -43,6 +48,8 @@ def reading_error(schema=TELEMETRY):
         .when(F.col("grid_zone").isNull(), "missing grid_zone")
         .when(F.col("power_consumption_kwh").isNull(), "unreadable power_consumption_kwh")
         .when(F.col("solar_generation_kwh").isNull(), "unreadable solar_generation_kwh")
+        .when(~finite("power_consumption_kwh"), "non-finite power_consumption_kwh")
+        .when(~finite("solar_generation_kwh"), "non-finite solar_generation_kwh")
     )
 
 

@@ -23,7 +23,11 @@ def fill_tariff_defaults(df):
 
 
 def lookup_tariffs(readings, tariffs, **lookup_options):
-    """Readings with their household's tariff or the default one."""
+    """Readings with their household's tariff or the default one.
+
+    `tariffs` has one row per household, as `CurrentTariffs` and `one_row_per_household`
+    give it; two would bill a reading twice.
+    """
     return fill_tariff_defaults(lookup(readings, tariffs, "household_id", **lookup_options))
 
 

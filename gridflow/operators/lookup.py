@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.001
 STREAM_SALTS = 8
 
 
@@ -19,37 +18,24 @@ def measured_bytes(df):
     return df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"] or 0
 
 
-def lookup(facts, dim, key, max_broadcast_bytes=BROADCAST_BYTES, hot_share=HOT_SHARE, salts=STREAM_SALTS):
+def lookup(facts, dim, key, max_broadcast_bytes=BROADCAST_BYTES, salts=STREAM_SALTS, dim_bytes=None):
     """`facts` left-joined to `dim`, which holds at most one row per `key`.
 
     * A dimension measured below the limit is broadcast: no shuffle of the facts.
-    * A larger one is shuffled with the facts; while a task's share of it stays below the
-      limit it goes into hash tables, so the facts need no sort. Rows with a hot key, and rows without a key, would all land in one task; they
-      stay where they are and take a broadcast of just the hot keys' dimension rows, at most
-      1 / `hot_share` of them whatever the data.
-    * On a stream frequent keys cannot be counted ahead, so the key is salted instead. That
-      copies the dimension `salts` times per micro-batch; for a very large one enrich inside
+    * A larger one is sort-merge joined, the facts read once. Adaptive execution splits the
+      partitions of hot keys, and of rows without a key, over several tasks.
+    * On a stream nothing is adaptive, so the key is salted instead. That copies the
+      dimension `salts` times per micro-batch; for a very large one enrich inside
       `foreachBatch`, where each batch is a table.
+
+    `dim_bytes`, if the size is known, saves measuring it again.
     """
-    size = measured_bytes(dim)
+    size = measured_bytes(dim) if dim_bytes is None else dim_bytes
     if size <= max_broadcast_bytes:
         return facts.join(F.broadcast(dim), key, "left")
     if facts.isStreaming:
         return _salted(facts, dim, key, salts)
-    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _hot_split(facts, dim.hint("shuffle_hash") if size / tasks <= max_broadcast_bytes else dim, key, hot_share)
-
-
-def _hot_split(facts, dim, key, share):
-    # freqItems holds at most 1/share keys and misses none that is more frequent than that.
-    frequent = facts.stat.freqItems([key], share).select(F.explode(F.col(f"{key}_freqItems")).alias(key))
-    frequent = F.broadcast(frequent.where(F.col(key).isNotNull()))
-    theirs = F.broadcast(dim.join(frequent, key, "left_semi"))
-    flagged = facts.join(frequent.withColumn("_hot", F.lit(True)), key, "left")
-    aside = F.col("_hot").isNotNull() | F.col(key).isNull()
-    hot = flagged.where(aside).drop("_hot").join(theirs, key, "left")
-    cold = flagged.where(~aside).drop("_hot").join(dim, key, "left")
-    return hot.unionByName(cold)
+    return facts.join(dim.hint("merge"), key, "left")
 
 
 def _salted(facts, dim, key, salts):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions import try_number
+from .decode import finite
 
 
 def violations(df, rules):
@@ -33,8 +34,8 @@ def telemetry_rules(zones=V.GRID_ZONES):
         "household_id": F.col("household_id").isNull(),
         "meter_id": F.col("meter_id").isNull(),
         "event_timestamp": F.col("event_timestamp").isNull(),
-        "power_consumption_kwh": ~(F.col("power_consumption_kwh") > 0),
-        "solar_generation_kwh": ~(F.col("solar_generation_kwh") >= 0),
+        "power_consumption_kwh": ~((F.col("power_consumption_kwh") > 0) & finite("power_consumption_kwh")),
+        "solar_generation_kwh": ~((F.col("solar_generation_kwh") >= 0) & finite("solar_generation_kwh")),
         "grid_zone": ~F.col("grid_zone").isin(*zones),
     }
 

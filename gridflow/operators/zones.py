@@ -1,6 +1,5 @@
 """Zone metrics: per window, per micro-batch, and over the whole grid."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from ..fixed_values import GRID_ZONES, SLIDE_DURATION, WINDOW_DURATION
@@ -47,10 +46,20 @@ def zone_window_metrics(enriched, duration=WINDOW_DURATION, slide=None, event_ti
 
 
 def _panes_fit(duration, slide):
-    try:
-        return pd.Timedelta(duration) % pd.Timedelta(slide) == pd.Timedelta(0)
-    except ValueError:  # calendar intervals
-        return False
+    """Whether a window is a whole number of slides; for calendar intervals it is not said."""
+    lengths = [_microseconds(i) for i in (duration, slide)]
+    return None not in lengths and lengths[0] % lengths[1] == 0
+
+
+def _microseconds(interval):
+    """The length of `n unit [n unit ...]`; None for units of varying length."""
+    units = {"microsecond": 1, "millisecond": 1000, "second": 10 ** 6, "minute": 60 * 10 ** 6, "hour": 3600 * 10 ** 6,
+             "day": 86400 * 10 ** 6, "week": 7 * 86400 * 10 ** 6}
+    words = interval.lower().split()
+    numbers, names = words[::2], [w.removesuffix("s") for w in words[1::2]]
+    if len(numbers) != len(names) or not all(n.isdigit() for n in numbers) or not set(names) <= set(units):
+        return None
+    return sum(int(n) * units[u] for n, u in zip(numbers, names)) or None
 
 
 def sliding_zone_metrics(enriched, duration=WINDOW_DURATION, slide=SLIDE_DURATION, **options):
@@ -74,15 +83,19 @@ def zone_batch_metrics(enriched, batch_columns=(), zones=None):
 
 
 def dense_zones(metrics, zones=GRID_ZONES, batch_columns=()):
-    """A row for every zone (of every batch present), zeros where it was silent."""
+    """A row for every zone (of every batch present), zeros where it was silent.
+
+    The metrics are read once: a batch's few zones become a map, in which every configured
+    zone is looked up.
+    """
     batch_columns = list(batch_columns)
-    zone_list = F.explode(F.array(*[F.lit(z) for z in zones])).alias("grid_zone")
-    if batch_columns:
-        frame = metrics.select(*batch_columns).distinct().select(*batch_columns, zone_list)
-    else:
-        frame = metrics.sparkSession.range(1).select(zone_list)
-    zeros = {n: F.coalesce(F.col(n), F.lit(0).cast(metrics.schema[n].dataType)) for n in METRICS}
-    return frame.join(metrics, [*batch_columns, "grid_zone"], "left").withColumns(zeros)
+    rest = [c for c in metrics.columns if c not in (*batch_columns, "grid_zone")]
+    entry = F.struct("grid_zone", F.struct(*rest))
+    found = metrics.groupBy(*batch_columns).agg(F.map_from_entries(F.collect_list(entry)).alias("_found"))
+    spread = found.select(*batch_columns, "_found", F.explode(F.array(*[F.lit(z) for z in zones])).alias("grid_zone"))
+    row = F.try_element_at("_found", F.col("grid_zone"))
+    zero = {n: F.lit(0).cast(metrics.schema[n].dataType) if n in METRICS else F.lit(None) for n in rest}
+    return spread.select(*batch_columns, "grid_zone", *[F.coalesce(row[n], zero[n]).alias(n) for n in rest])
 
 
 def grid_totals(metrics, period_columns=("window_start", "window_end")):

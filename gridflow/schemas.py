@@ -11,7 +11,8 @@ TELEMETRY = T.StructType([
     T.StructField("timestamp", T.StringType()),
 ])
 
-# The same readings with exact numbers, for sums that must not depend on row order.
+# The same readings with exact numbers, for sums that must not depend on row order: two
+# decimals, below 10^10. Opt-in; a number that does not fit is unreadable or rounded.
 TELEMETRY_EXACT = T.StructType([
     T.StructField(f.name, T.DecimalType(12, 2), True) if isinstance(f.dataType, T.DoubleType) else f
     for f in TELEMETRY.fields
@@ -19,14 +20,15 @@ TELEMETRY_EXACT = T.StructType([
 
 TARIFF = T.StructType([
     T.StructField("household_id", T.StringType()),
-    T.StructField("tariff_rate", T.DecimalType(8, 4)),
+    T.StructField("tariff_rate", T.DoubleType()),
     T.StructField("billing_tier", T.StringType()),
     T.StructField("subsidy_flag", T.IntegerType()),
 ])
 
-TARIFF_HISTORY = T.StructType(TARIFF.fields + [
-    T.StructField("simulated_day_date", T.DateType()),
-    T.StructField("effective_timestamp", T.TimestampType()),
+# Exact rates: up to six decimals, below ten thousand. A rate that does not fit is unreadable.
+TARIFF_EXACT = T.StructType([
+    T.StructField(f.name, T.DecimalType(10, 6), True) if isinstance(f.dataType, T.DoubleType) else f
+    for f in TARIFF.fields
 ])
 
 ZONE_METRICS = T.StructType([

@@ -6,16 +6,17 @@ from ..fixed_values import TELEMETRY_TOPIC
 
 
 def read_topic(spark, servers, topic=TELEMETRY_TOPIC, starting_offsets="earliest", streaming=True,
-               max_per_trigger=None, min_partitions=None):
+               max_per_trigger=None, min_partitions=None, fail_on_data_loss=True):
     """Records of a Kafka topic. Needs Spark's Kafka connector on the cluster.
 
     Starts at the earliest record, so a first run covers the history; pass "latest" to
     skip it. `max_per_trigger` bounds a micro-batch, `min_partitions` splits the topic
-    partitions that hold most of the records.
+    partitions that hold most of the records. A query fails when records expired before
+    they were read; with `fail_on_data_loss` off it goes on without them, unreported.
     """
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic,
-               "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+               "startingOffsets": starting_offsets, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_per_trigger and streaming:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     if min_partitions:

@@ -29,42 +29,43 @@ def test_plans_agree(spark):
     assert len(wanted) == 3000
     assert rows_of(lookup(left, right, "household_id")) == wanted
     assert rows_of(lookup(left, right, "household_id", max_broadcast_bytes=0)) == wanted
-    assert rows_of(lookup(left, right, "household_id", max_broadcast_bytes=0, hot_share=0.2)) == wanted
+    assert rows_of(lookup(left, right, "household_id", dim_bytes=10 ** 12)) == wanted
 
 
 def test_size_decides(spark, plan_of):
     left, right = facts(spark), dimension(spark)
     size = measured_bytes(right)
     assert 500 * 20 < size < 500 * 200
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = plan_of(lookup(left, right, "household_id", max_broadcast_bytes=size))
-        large = plan_of(lookup(left, right, "household_id", max_broadcast_bytes=size - 1))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    small = plan_of(lookup(left, right, "household_id", max_broadcast_bytes=size))
+    large = plan_of(lookup(left, right, "household_id", max_broadcast_bytes=size - 1))
     assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
-    assert "ShuffledHashJoin" in large and "SortMergeJoin" not in large
-    assert "collect_frequent_items" in large.lower()
-
-
-def test_hot_rows_are_spread(spark):
-    """With a third of the rows on one key no task of the join gets much more than its share."""
-    left, right = facts(spark, 30000), dimension(spark)
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "SortMergeJoin" in large and "BroadcastHashJoin" not in large
+
+
+def test_large_plan_reads_the_facts_once_and_splits_the_hot_key(spark, tmp_path):
+    """The plan that ran: one scan of the facts, a shuffled join, a skewed partition in parts; rows as a plain join's."""
+    facts(spark, 60_000).repartition(8).write.parquet(str(tmp_path / "facts"))
+    dimension(spark).write.parquet(str(tmp_path / "dim"))
+    left, right = (spark.read.parquet(str(tmp_path / n)) for n in ("facts", "dim"))
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+             "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
     try:
-        def largest_task(df):
-            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-
-        plain = left.join(right.hint("shuffle_hash"), "household_id", "left")
-        assert largest_task(plain) > 12000
-        assert largest_task(lookup(left, right, "household_id", max_broadcast_bytes=0)) < 9000
+        joined = lookup(left, right, "household_id", max_broadcast_bytes=0)
+        found = rows_of(joined)
+        joined.write.format("noop").mode("overwrite").save()
+        executed = joined.select("n", "household_id", "rate")
+        executed.collect()
+        plan = executed._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert final.count("Scan parquet") == 2 and "SortMergeJoin(skew=true)" in final
+    assert found == rows_of(left.join(right, "household_id", "left"))
 
 
 def test_hot_key_without_a_dimension_row(spark):
