@@ -47,33 +47,40 @@ class ChangeLog:
     def _log(self, folders):
         return self.spark.read.schema(self._stored).option("basePath", f"{self.root}/log").parquet(*folders)
 
-    def _table(self):
+    def _table(self, dates=None):
+        """The compacted rows; with `dates`, a list, only those folders are read."""
         if not storage.exists(self.spark, f"{self.root}/table"):
             return self.spark.createDataFrame([], self._dated)
-        return self.spark.read.schema(self._dated).parquet(f"{self.root}/table")
+        rows = self.spark.read.schema(self._dated).parquet(f"{self.root}/table")
+        return rows if dates is None else rows.where(F.col("_date").isin(*dates))
 
     def _newest(self, rows):
         return latest_wins(rows, self.keys, list(PLACE))
 
-    def latest(self):
-        """The table as it stands."""
-        rows = self._table().drop("_date")
+    def latest(self, since=None, until=None):
+        """The table as it stands; with bounds, the rows of those dates, reading no others."""
+        rows = self._table()
         if storage.exists(self.spark, f"{self.root}/log"):
-            rows = rows.unionByName(self._log([f"{self.root}/log"]))
-        return self._newest(rows).select(*self.schema.fieldNames())
+            rows = rows.unionByName(self._log([f"{self.root}/log"]).withColumn("_date", F.to_date(self.date_column)))
+        if since is not None:
+            rows = rows.where(F.col("_date") >= F.lit(since).cast("date"))
+        if until is not None:
+            rows = rows.where(F.col("_date") <= F.lit(until).cast("date"))
+        return self._newest(rows.drop("_date")).select(*self.schema.fieldNames())
 
     def compact(self):
-        """Fold the log into the table, rewriting only the dates it touches.
+        """Fold the log into the table, reading and rewriting only the dates it touches.
 
-        Each step can be repeated: the merged rows are written aside before the dates are
+        Those dates are few, and as values they let the scan skip all other folders. Each
+        step can be repeated: the merged rows are written aside before the dates are
         replaced, and the log is removed last. Not meant to run twice at the same time.
         """
         batches = self.batches()
         if not batches:
             return 0
         log = self._log([f"{self.root}/log/{b}" for b in batches]).withColumn("_date", F.to_date(self.date_column))
-        touched = log.select("_date").distinct()
-        merged = self._newest(self._table().join(touched, "_date", "left_semi").unionByName(log))
+        touched = [r["_date"] for r in log.select("_date").distinct().collect()]
+        merged = self._newest(self._table(touched).unionByName(log))
         staging = f"{self.root}/_staging/{uuid.uuid4().hex}"
         merged.write.parquet(staging)
         (self.spark.read.schema(self._dated).parquet(staging)

@@ -9,7 +9,7 @@ def write_once(df, root, folder, partition_by=(), keep_empty=False):
     """Write `df` as Parquet to root/folder and say whether anything was published.
 
     The rows go to a hidden folder first and appear by one rename, so a reader never sees
-    half a batch. A batch that was already published stays as it is: a rerun after a crash
+    half a batch. A batch counts as published by its marker, and then stays as it is: a rerun after a crash
     brings the same rows, and a stream reading this table may have taken the files. It is
     computed all the same, since a stateful query has to bring its state up to date.
 
@@ -20,7 +20,7 @@ def write_once(df, root, folder, partition_by=(), keep_empty=False):
     staging = f"{root}/_staging/{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(staging)
     empty = not keep_empty and spark.read.schema(df.schema).parquet(staging).isEmpty()
-    if empty or storage.exists(spark, final):
+    if empty or storage.is_published(spark, final):
         storage.remove(spark, staging)
         return False
     storage.publish(spark, staging, final)

@@ -3,6 +3,9 @@
 import logging
 import time
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+
 log = logging.getLogger(__name__)
 
 
@@ -16,15 +19,21 @@ def doubling(first):
     return lambda attempt: first * 2 ** (attempt - 1)
 
 
-def with_retry(write, attempts=3, wait=linear(0.1), retry_on=(OSError,), sleep=time.sleep):
+#: What a failing store or a failing Spark job raises.
+WRITE_ERRORS = (OSError, Py4JJavaError, PySparkException)
+
+
+def with_retry(write, attempts=3, wait=linear(0.1), retry_on=WRITE_ERRORS, never_on=(AnalysisException,),
+               sleep=time.sleep):
     """Run a writer up to `attempts` times. The last error leaves, so the batch fails and
-    the engine runs it again; errors outside `retry_on` leave at once."""
+    the engine runs it again; errors outside `retry_on`, and plans that cannot be analysed,
+    leave at once."""
     def guarded(batch_df, batch_id):
         for attempt in range(1, attempts + 1):
             try:
                 return write(batch_df, batch_id)
             except retry_on as error:
-                if attempt == attempts:
+                if attempt == attempts or isinstance(error, never_on):
                     raise
                 log.warning("batch %s, attempt %d of %d: %s", batch_id, attempt, attempts, error)
                 sleep(wait(attempt))

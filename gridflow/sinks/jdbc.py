@@ -1,5 +1,7 @@
 """Writers to a database table over JDBC."""
 
+import uuid
+
 from ..operators.zones import flatten_window
 
 
@@ -37,16 +39,20 @@ def merge_statement(table, staging, keys, columns):
 
 def jdbc_upsert(url, table, properties, keys, save=None, run_statement=None):
     """`foreachBatch` writer that replaces rows by key: executors fill a staging table in
-    parallel, then one MERGE inside the database applies it."""
+    parallel, then one MERGE inside the database applies it, and the staging table is
+    dropped. Its name is new in every call, so writers of one table do not meet in it."""
     def write_batch(batch_df, batch_id):
         rows = (flatten_window(batch_df, batch_id) if "window" in batch_df.columns else batch_df).persist()
         try:
             if rows.isEmpty():
                 return
-            staging = f"{table}_staging"
-            (save or _replace)(rows, url, staging, properties)
-            statement = merge_statement(table, staging, list(keys), rows.columns)
-            (run_statement or _run)(rows.sparkSession, url, properties, statement)
+            staging = f"{table}_staging_{batch_id}_{uuid.uuid4().hex[:12]}"
+            run = run_statement or _run
+            try:
+                (save or _replace)(rows, url, staging, properties)
+                run(rows.sparkSession, url, properties, merge_statement(table, staging, list(keys), rows.columns))
+            finally:
+                run(rows.sparkSession, url, properties, f"DROP TABLE IF EXISTS {staging}")
         finally:
             rows.unpersist()
     return write_batch
@@ -61,7 +67,14 @@ def _run(spark, url, properties, statement):
     settings = jvm.java.util.Properties()
     for name, value in properties.items():
         settings.setProperty(name, value)
-    connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+    if "driver" in properties:  # brought by spark.jars.packages, it is known to Spark's class loader only
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        driver = loader.loadClass(properties["driver"]).getDeclaredConstructor(
+            spark.sparkContext._gateway.new_array(jvm.java.lang.Class, 0)).newInstance(
+            spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 0))
+        connection = driver.connect(url, settings)
+    else:
+        connection = jvm.java.sql.DriverManager.getConnection(url, settings)
     try:
         connection.createStatement().executeUpdate(statement)
     finally:

@@ -1,9 +1,13 @@
 """The few file-system calls Spark's writers do not offer: existence, listing, publish by rename.
 
 All go through the Hadoop file system of the path, so they work on whatever store the
-cluster uses.
+cluster uses. On a store whose rename is not atomic a reader may see a folder before it is
+whole; writers never take such a folder for a published one.
 """
 
+#: An empty file that is written last into a published folder; readers skip names like this.
+MARKER = "_PUBLISHED"
+
 
 def _open(spark, path):
     jvm = spark.sparkContext._jvm
@@ -30,12 +34,30 @@ def remove(spark, path):
     return fs.delete(target, True)
 
 
+def is_published(spark, path):
+    """Whether a folder was published whole: its marker is there."""
+    return exists(spark, f"{path}/{MARKER}")
+
+
 def publish(spark, staging, final):
-    """Make a finished folder visible under its final name in one rename."""
+    """Make a finished folder visible under its final name, then mark it as whole.
+
+    Where renaming copies file by file, a crash can leave part of a folder; without the
+    marker that is no published folder, and the next attempt replaces it.
+    """
+    if is_published(spark, final):
+        raise FileExistsError(final)
     fs, source = _open(spark, staging)
     _, target = _open(spark, final)
     if fs.exists(target):
-        raise FileExistsError(final)
+        fs.delete(target, True)
     fs.mkdirs(target.getParent())
     if not fs.rename(source, target):
         raise OSError(f"could not rename {staging} to {final}")
+    _, marker = _open(spark, f"{final}/{MARKER}")
+    fs.create(marker, True).close()
+
+
+def make_folder(spark, path):
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)

@@ -1,11 +1,13 @@
 """Zone metrics from a stream of telemetry records."""
 
 from .. import fixed_values as V
+from .. import storage
 from ..operators.decode import decode_telemetry, good_readings, quarantined_readings
 from ..operators.enrich import enrich
 from ..operators.zones import zone_window_metrics
 from ..schemas import TELEMETRY
 from ..sinks.files import write_once
+from ..sinks.guards import skip_empty, with_retry
 
 
 def trigger_of(trigger):
@@ -41,28 +43,42 @@ def start_quarantine(raw, path, checkpoint, trigger=V.TRIGGER_INTERVAL, schema=T
     )
 
 
-def start_enrichment(raw, current_tariffs, root, checkpoint, trigger=V.TRIGGER_INTERVAL, schema=TELEMETRY):
+def start_enrichment(raw, current_tariffs, root, checkpoint, trigger=V.TRIGGER_INTERVAL, schema=TELEMETRY,
+                     **lookup_options):
     """Enrich each micro-batch with the tariff drop in force when it runs.
 
     Good readings go to root/readings, the others to root/quarantine, one folder per
-    batch. Aggregate with `enriched_readings` as the source of a second query.
+    batch; each is written up to three times. Aggregate with `enriched_readings` as the
+    source of a second query.
     """
+    def publish(rows, batch_id, folder):
+        with_retry(lambda df, n: write_once(df, f"{root}/{folder}", f"batch_id={n}"))(rows, batch_id)
+
     def write_batch(batch_df, batch_id):
         decoded = decode_telemetry(batch_df, schema).persist()
         try:
-            write_once(enrich(good_readings(decoded), current_tariffs.frame()),
-                       f"{root}/readings", f"batch_id={batch_id}")
-            write_once(quarantined_readings(decoded), f"{root}/quarantine", f"batch_id={batch_id}")
+            tariffs = current_tariffs.frame()
+            known = {"dim_bytes": current_tariffs.bytes, **lookup_options}
+            publish(enrich(good_readings(decoded), tariffs, **known), batch_id, "readings")
+            publish(quarantined_readings(decoded), batch_id, "quarantine")
         finally:
             decoded.unpersist()
 
     return (
-        raw.writeStream.foreachBatch(write_batch)
+        raw.writeStream.foreachBatch(skip_empty(write_batch))
         .option("checkpointLocation", checkpoint).trigger(**trigger_of(trigger)).start()
     )
 
 
+def enriched_schema(spark, tariffs, schema=TELEMETRY):
+    """The columns that `start_enrichment` writes."""
+    raw = spark.createDataFrame([], "key binary, value binary, timestamp timestamp")
+    return enrich(good_readings(decode_telemetry(raw, schema)), tariffs.limit(0), dim_bytes=0).schema
+
+
 def enriched_readings(spark, root, schema, streaming=True):
     """What `start_enrichment` published, as a stream or a table."""
+    folder = f"{root}/readings"
+    storage.make_folder(spark, folder)
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(schema).parquet(f"{root}/readings")
+    return reader.schema(schema).parquet(folder)

@@ -126,6 +126,48 @@ def test_retry(wait, slept):
     assert calls == [7, 7, 7] and waits == pytest.approx(slept)
 
 
+def test_retry_of_a_write_that_fails_in_spark(spark, tmp_path):
+    calls = []
+
+    def write(df, n):
+        calls.append(n)
+        value = F.raise_error(F.lit("disk full")).cast("long") if len(calls) == 1 else F.col("id")
+        write_once(df.select(value.alias("id")), str(tmp_path), f"batch={n}")
+
+    guards.with_retry(write, sleep=lambda s: None)(spark.range(5), 3)
+    assert calls == [3, 3] and spark.read.parquet(str(tmp_path)).count() == 5
+
+    def cannot_be_planned(df, n):
+        calls.append(n)
+        df.select("no_such_column").write.parquet(str(tmp_path / "never"))
+
+    with pytest.raises(Exception, match="no_such_column"):
+        guards.with_retry(cannot_be_planned, sleep=lambda s: None)(spark.range(5), 4)
+    assert calls == [3, 3, 4]
+
+
+def test_torn_folder_is_written_again(spark, tmp_path):
+    """A crash in the middle of a rename that copies leaves some files and no marker."""
+    root = tmp_path / "t"
+    write_once(spark.range(10).repartition(4), str(root), "batch=1")
+    (root / "batch=1" / storage.MARKER).unlink()
+    next((root / "batch=1").glob("*.parquet")).unlink()
+    assert spark.read.parquet(str(root)).count() < 10
+    assert write_once(spark.range(10), str(root), "batch=1")
+    assert spark.read.parquet(str(root)).count() == 10 and storage.is_published(spark, str(root / "batch=1"))
+
+
+def test_only_touched_dates_are_read(spark, tmp_path, plan_of):
+    table = ChangeLog(spark, str(tmp_path / "m"), ZONE_METRICS)
+    table.write(metric_rows(spark, *[(d, "N", d) for d in range(1, 9)]), "r1", 0)
+    table.compact()
+    plan = plan_of(table._table([r._date for r in spark.sql("select date'2026-01-02' as _date").collect()]))
+    assert "PartitionFilters: [" in plan and "2026-01-02" in plan
+    bounded = table.latest(since="2026-01-03", until="2026-01-04")
+    assert sorted(r.window_start.day for r in bounded.collect()) == [3, 4]
+    assert "2026-01-03" in plan_of(bounded).split("PartitionFilters")[1].split("\n")[0]
+
+
 def test_retry_gives_up(spark):
     def refuses(df, n):
         raise OSError("always")
@@ -161,7 +203,10 @@ def test_jdbc_writers_without_a_database(spark):
     upsert = jdbc.jdbc_upsert("jdbc:x", "zone_metrics", {}, ["window_start", "grid_zone"], save, run)
     upsert(windowed, 7)
     upsert(windowed.limit(0), 8)
-    assert saved[1][0] == "zone_metrics_staging" and len(statements) == 1
+    upsert(windowed, 7)
+    names = [s[0] for s in saved[1:]]
+    assert len(set(names)) == 2 and all(n.startswith("zone_metrics_staging_7_") for n in names)
+    assert [s.split()[0] for s in statements] == ["MERGE", "DROP"] * 2 and names[0] in statements[0]
 
     def down(*_):
         raise OSError("connection refused")
@@ -198,6 +243,28 @@ def test_gate_stands_before_publishing(spark, tmp_path):
         gated_publish(good, root, "20260103_000000")
 
 
+def test_one_row_per_household(spark, tmp_path):
+    root = str(tmp_path / "drops")
+    rows = tariff_rows(spark, ("H1", "0.123456", "T", "1"), ("H2", "0.3", "T", "0"), ("H1", "0.654321", "U", "0"))
+    gated_publish(rows.coalesce(1), root, "20260101_000000")
+    current = CurrentTariffs(spark, root)
+    found = {r.household_id: (r.tariff_rate, r.billing_tier) for r in current.frame().collect()}
+    assert found == {"H1": (0.654321, "U"), "H2": (0.3, "T")}
+    assert (current.rows, current.duplicates) == (2, 1) and current.bytes > 0
+
+
+def test_refused_drop_keeps_the_old_one(spark, tmp_path):
+    from gridflow.sinks.tariffs import publish_drop, stage_drop
+    root = str(tmp_path / "drops")
+    gated_publish(tariff_rows(spark, ("H1", "0.2", "T", "1")), root, "20260101_000000")
+    current = CurrentTariffs(spark, root)
+    assert current.refresh() == 1
+    publish_drop(spark, stage_drop(tariff_rows(spark, ("H1", "abc", "T", "1")), root), root, "20260102_000000")
+    assert current.frame().first().tariff_rate == 0.2 and current.label == "20260101_000000"
+    gated_publish(tariff_rows(spark, ("H1", "0.4", "T", "1")), root, "20260103_000000")
+    assert current.frame().first().tariff_rate == 0.4
+
+
 def test_unreadable_drop_keeps_the_old_one(spark, tmp_path):
     root = tmp_path / "drops"
     gated_publish(tariff_rows(spark, ("H1", "0.2", "T", "1")), str(root), "20260101_000000")
@@ -218,10 +285,31 @@ def test_daily_job(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "health")).count() == 1
 
 
+def test_stored_replay_counts_once(spark, tmp_path):
+    from gridflow.plans.jobs import run_replay, stored_letters, stored_outcomes
+    from test_deadletters import requests
+    from test_orders import events
+    root = str(tmp_path)
+    run_orders(events(spark, (1, "A", "I", "10", 0, None), (2, "B", "I", "-20", 0, None), (3, None, "I", "5", 0, None)),
+               root, "2026-01-01 00:00:00")
+    asked = requests(spark, ("DLQ-0002", None), ("DLQ-0001", None), ("DLQ-9999", None))
+    missing = run_replay(spark, root, asked, "2026-01-02 00:00:00", "a")
+    assert [r.dlq_id for r in missing.collect()] == ["DLQ-9999"]
+    for run in ("a", "b"):                                       # the same run again, and another asking the same
+        run_replay(spark, root, asked, "2026-01-02 00:00:00", run)
+        log = {r.seq: (r.status, r.total_orders, r.running_avg) for r in stored_outcomes(spark, root).collect()}
+        assert log == {1: ("SUCCESS", 1, 10.0), 2: ("DLQ_QUARANTINED", 1, 10.0), 3: ("DLQ_QUARANTINED", 1, 10.0),
+                       4: ("SUCCESS", 2, 15.0), 5: ("DLQ_QUARANTINED", 2, 15.0)}
+        letters = {r.dlq_id: (r.seq, r.replayed) for r in stored_letters(spark, root).collect()}
+        assert letters == {"DLQ-0001": (2, True), "DLQ-0002": (3, True), "DLQ-0003": (5, False)}
+
+
 def test_order_job(spark, tmp_path):
     from test_orders import events
     frame = events(spark, (1, "A", "I", "10", 0, None), (2, "B", "I", "-1", 0, None), (3, "C", "I", "20", 1, None))
     run_orders(frame, str(tmp_path), "2026-01-01 00:00:00")
     outcomes = {r.seq: (r.status, r.running_avg) for r in spark.read.parquet(str(tmp_path / "outcomes")).collect()}
     assert outcomes == {1: ("SUCCESS", 10.0), 2: ("DLQ_QUARANTINED", 10.0), 3: ("RECOVERED_AFTER_RETRY", 15.0)}
+    run_orders(frame, str(tmp_path), "2026-01-01 00:00:00")      # a rerun adds nothing
+    assert spark.read.parquet(str(tmp_path / "outcomes")).count() == 3
     assert [r.dlq_id for r in spark.read.parquet(str(tmp_path / "dead_letters")).collect()] == ["DLQ-0001"]
