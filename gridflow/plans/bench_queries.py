@@ -10,7 +10,7 @@ from . import inputs as I
 def plain_running_avg(spark, sf):
     """The running average in one unpartitioned window: one task."""
     order = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    resolved = orders.resolve(I.orders(spark, sf))
+    resolved = orders.resolve(I.orders(spark, sf), price_type=I.PRICE)
     counted = F.count(F.when(orders.is_accepted(), 1)).over(order)
     total = F.sum(F.when(orders.is_accepted(), F.col("price_value"))).over(order)
     return resolved.select("seq", "status", counted.alias("total_orders"), (total / counted).alias("running_avg"))

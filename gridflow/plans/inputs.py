@@ -11,6 +11,8 @@ from ..operators.enrich import enrich
 
 ZONES = ("click", "error", "purchase", "signup", "view")
 WINDOW, SLIDE = "1 hour", "30 minutes"
+#: Prices as exact numbers, so that sums do not depend on the order of rows.
+PRICE = "decimal(24,6)"
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -40,11 +42,13 @@ def as_records(events, damaged=False):
     """The readings as JSON records of a topic.
 
     With `damaged`, some carry faults, by their id: text that is not JSON, no zone, a
-    negative consumption, an unreadable time.
+    negative consumption, an unreadable time, a consumption that is no number or infinite.
     """
     fault = F.pmod(F.col("event_id"), F.lit(100)) if damaged else F.lit(-1)
     fields = as_readings(events).withColumns({
         "power_consumption_kwh": F.when(fault == 5, -F.col("power_consumption_kwh"))
+                                  .when(fault == 7, F.lit("NaN").cast("double"))
+                                  .when(fault == 8, F.lit("Infinity").cast("double"))
                                   .otherwise(F.col("power_consumption_kwh")).cast("double"),
         "solar_generation_kwh": F.col("solar_generation_kwh").cast("double"),
         "grid_zone": F.when(fault != 4, F.col("grid_zone")),
@@ -70,10 +74,10 @@ def tariffs(spark, sf_dir, revision=0):
     Customers in debt are kept under another name, so their households find no tariff.
     """
     household = padded_key(F.when(F.col("c_acctbal") < 0, "CLOSED-").otherwise("HH-"), F.col("c_custkey"))
-    rate = F.lit(0.12).cast("decimal(8,4)") + F.lit(0.01).cast("decimal(8,4)") * (F.col("c_nationkey") + revision)
+    rate = F.lit(0.120004).cast("decimal(10,6)") + F.lit(0.01).cast("decimal(10,6)") * (F.col("c_nationkey") + revision)
     return table(spark, sf_dir, "customer").select(
         household.alias("household_id"),
-        rate.cast("decimal(8,4)").alias("tariff_rate"),
+        rate.cast("decimal(10,6)").alias("tariff_rate"),
         F.col("c_mktsegment").alias("billing_tier"),
         (F.col("c_custkey") % 3 == 0).cast("int").alias("subsidy_flag"),
     )
@@ -106,15 +110,21 @@ def as_orders(rows):
     """Order events from rows of `orders`, with faults by their key.
 
     Every fiftieth price is negative, every twentieth order meets one to three transient
-    failures, a few carry a permanent error, and some lack a product.
+    failures, a few carry a permanent error, and some lack a product. A few prices are
+    beyond 10^12, a few are a tenth of a cent below zero, and a few have three decimals.
     """
     key = F.col("o_orderkey")
-    price = F.col("o_totalprice").cast("decimal(14,2)")
+    plain = F.col("o_totalprice").cast("decimal(14,2)")
+    price = (F.when(key % 200 == 17, F.lit(-0.001).cast("decimal(24,3)"))
+             .when(key % 50 == 5, -plain.cast("decimal(24,3)"))
+             .when(key % 200 == 13, (plain * 1_000_000_000).cast("decimal(24,3)"))
+             .when(key % 200 == 19, (plain + F.lit(0.005).cast("decimal(4,3)")).cast("decimal(24,3)"))
+             .otherwise(plain.cast("decimal(24,3)")))
     return rows.select(
         key.alias("seq"),
         padded_key(F.lit("ORD-"), key).alias("orderId"),
         F.when(key % 40 != 7, F.col("o_orderpriority")).alias("product"),
-        F.when(key % 50 == 5, -price).otherwise(price).cast("string").alias("price"),
+        price.cast("string").alias("price"),
         F.when(key % 20 == 0, 1 + key % 3).otherwise(0).cast("int").alias("transient_failures"),
         F.when(key % 400 == 11, "injected").alias("permanent_error"),
     )

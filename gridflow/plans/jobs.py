@@ -1,20 +1,30 @@
 """The jobs: zone metrics stream, order table, daily tariff drop, status snapshot."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..operators.deadletters import dead_letters
+from .. import storage
+from ..operators.deadletters import dead_letters, replay
 from ..operators.enrich import enrich
 from ..operators.health import freshness, heartbeat, unavailable
-from ..operators.orders import average_price, order_kpis, process_orders, resolve
+from ..operators.orders import (
+    PRICE_TYPE,
+    average_price,
+    order_kpis,
+    resolve,
+    with_audit_trail,
+    with_running_average,
+)
 from ..operators.tariffs import drop_statistics
 from ..operators.zones import latest_per_zone, volume_counters, zone_window_metrics
 from ..schemas import TELEMETRY, ZONE_METRICS
 from ..sinks.change_log import ChangeLog
-from ..sinks.files import append_rows
+from ..sinks.files import append_rows, write_once
+from ..sinks.guards import with_retry
 from ..sinks.tariffs import gated_publish
-from ..sources.tariffs import read_drop
-from ..streaming.zones import start_metrics, start_quarantine, zone_metrics_stream
+from ..sources.tariffs import FixedTariffs, read_drop
+from ..streaming.zones import enriched_readings, enriched_schema, start_enrichment, start_metrics
 
 
 def run_zone_metrics(spark, raw, tariffs, root, checkpoint, run, watermark=V.WATERMARK_DELAY,
@@ -22,16 +32,22 @@ def run_zone_metrics(spark, raw, tariffs, root, checkpoint, run, watermark=V.WAT
                      schema=TELEMETRY, **lookup_options):
     """Telemetry records into a latest-wins metrics table and a quarantine folder.
 
-    Returns the table and the two running queries. `run` names this checkpoint's life and
-    must sort after earlier runs into the same table.
+    `tariffs` is a `CurrentTariffs`, asked in every micro-batch, so that a drop published
+    during the run takes effect; or a frame with one row per household. One query reads the
+    records and writes enriched readings and the quarantine, a second one aggregates the
+    readings behind the watermark. Returns the table and the two queries. With the trigger
+    "available" the second starts when the first has ended, and sees all it has written.
+    `run` names this checkpoint's life and must sort after earlier runs into the same table.
     """
+    current = FixedTariffs(tariffs) if isinstance(tariffs, DataFrame) else tariffs
     table = ChangeLog(spark, f"{root}/metrics", ZONE_METRICS)
-    metrics = zone_metrics_stream(raw, tariffs, watermark, window, slide, schema, **lookup_options)
-    queries = [
-        start_metrics(metrics, table.writer(run), f"{checkpoint}/metrics", trigger),
-        start_quarantine(raw, f"{root}/quarantine", f"{checkpoint}/quarantine", trigger, schema),
-    ]
-    return table, queries
+    feeding = start_enrichment(raw, current, root, f"{checkpoint}/readings", trigger, schema, **lookup_options)
+    if trigger == "available":
+        feeding.awaitTermination()
+    readings = enriched_readings(spark, root, enriched_schema(spark, current.frame(), schema))
+    metrics = zone_window_metrics(readings.withWatermark("event_timestamp", watermark), window, slide)
+    write = with_retry(table.writer(run))
+    return table, [feeding, start_metrics(metrics, write, f"{checkpoint}/metrics", trigger)]
 
 
 def backfill_zone_metrics(readings, tariffs, window=V.WINDOW_DURATION, slide=V.SLIDE_DURATION, **lookup_options):
@@ -39,10 +55,56 @@ def backfill_zone_metrics(readings, tariffs, window=V.WINDOW_DURATION, slide=V.S
     return zone_window_metrics(enrich(readings, tariffs, **lookup_options), window, slide)
 
 
-def run_orders(orders, root, at, max_retries=V.MAX_RETRIES):
-    """A table of orders into outcomes and dead letters below `root`."""
-    process_orders(orders, max_retries).write.parquet(f"{root}/outcomes")
-    append_rows(dead_letters(resolve(orders, max_retries), at), f"{root}/dead_letters")
+def run_orders(orders, root, at, max_retries=V.MAX_RETRIES, price_type=PRICE_TYPE, run="first"):
+    """A table of orders into outcomes and dead letters below `root`, once per `run`.
+
+    The orders are read twice, for the bucket totals and for the rows. The letters are the
+    rejected part of the written outcomes, whose count of rejects is their number.
+    """
+    spark = orders.sparkSession
+    rows = with_audit_trail(with_running_average(resolve(orders, max_retries, price_type))).drop("_permanent")
+    with_retry(lambda df, n: write_once(df, f"{root}/outcomes", f"run={n}"))(rows, run)
+    written = spark.read.schema(rows.schema).parquet(f"{root}/outcomes/run={run}")
+    with_retry(lambda df, n: write_once(df, f"{root}/dead_letters", f"run={n}"))(dead_letters(written, at), run)
+    return stored_outcomes(spark, root)
+
+
+def stored_outcomes(spark, root):
+    """The order log: outcomes and, behind them, what replays came to."""
+    rows = spark.read.parquet(f"{root}/outcomes")
+    if storage.exists(spark, f"{root}/replays"):
+        rows = rows.unionByName(spark.read.parquet(f"{root}/replays").drop("dlq_id"))
+    return rows
+
+
+def stored_letters(spark, root):
+    """The dead letters, marked as replayed where a stored replay names them."""
+    letters = spark.read.parquet(f"{root}/dead_letters").drop("replayed")
+    if not storage.exists(spark, f"{root}/replays"):
+        return letters.withColumn("replayed", F.lit(False))
+    done = spark.read.parquet(f"{root}/replays").select("dlq_id", F.lit(True).alias("replayed")).distinct()
+    return letters.join(done, "dlq_id", "left").withColumn("replayed", F.coalesce("replayed", F.lit(False)))
+
+
+def run_replay(spark, root, requests, at, run, max_retries=V.MAX_RETRIES, price_type=PRICE_TYPE):
+    """Replay the requested letters into the order log, once per `run` and once per letter.
+
+    The replay goes on with the totals at the end of the log. Its rows carry the letter's
+    id, and these rows are the mark, so outcome and mark are stored in one step. A message
+    that fails again is a new letter. Returns the requests that name no letter.
+    """
+    last = stored_outcomes(spark, root).agg(
+        F.max("seq").alias("seq"), F.max("total_orders").alias("prior_orders"),
+        F.max("total_rejects").alias("prior_rejects"), F.max("cumulative_price").alias("prior_total")).first().asDict()
+    outcomes, _, missing = replay(stored_letters(spark, root), requests, last.pop("seq"), max_retries,
+                                  price_type=price_type)
+    rows = with_audit_trail(with_running_average(outcomes, **last)).drop("_permanent")
+    missing = missing.checkpoint()
+    with_retry(lambda df, n: write_once(df, f"{root}/replays", f"run={n}"))(rows, run)
+    if storage.is_published(spark, f"{root}/replays/run={run}"):
+        written = spark.read.schema(rows.schema).parquet(f"{root}/replays/run={run}")
+        with_retry(lambda df, n: write_once(df, f"{root}/dead_letters", f"run=replay-{n}"))(dead_letters(written, at), run)
+    return missing
 
 
 def run_daily_tariffs(tariffs, root, label, metrics, health_path, now, **gate_options):

@@ -10,7 +10,7 @@ READINGS = """readings AS (
 def tariffs(name="tariffs", revision=0):
     return f"""{name} AS (
   SELECT CASE WHEN c_acctbal < 0 THEN 'CLOSED-' ELSE 'HH-' END || format('{{:04d}}', c_custkey) AS household_id,
-         CAST(0.12 + 0.01 * (c_nationkey + {revision}) AS DECIMAL(8,4)) AS rate, c_mktsegment AS tier,
+         CAST(0.120004 + 0.01 * (c_nationkey + {revision}) AS DECIMAL(10,6)) AS rate, c_mktsegment AS tier,
          CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS flag
   FROM customer)"""
 
@@ -18,7 +18,7 @@ def tariffs(name="tariffs", revision=0):
 ENRICHED = READINGS + ", " + tariffs() + """, enriched AS (
   SELECT r.*, coalesce(t.rate, 0.15) AS rate, coalesce(t.tier, 'Standard') AS tier, coalesce(t.flag, 0) AS flag,
          r.cons - r.solar AS net,
-         CAST(r.cons * coalesce(t.rate, 0.15) AS DECIMAL(24,6)) * CAST(1 - coalesce(t.flag, 0) * 0.15 AS DECIMAL(4,2)) AS cost
+         CAST(r.cons * coalesce(t.rate, 0.15) AS DECIMAL(30,8)) * CAST(1 - coalesce(t.flag, 0) * 0.15 AS DECIMAL(4,2)) AS cost
   FROM readings r LEFT JOIN tariffs t USING (household_id))"""
 
 METRIC_SUMS = """CAST(round(sum(cons), 4) AS DOUBLE) AS total_consumption_kwh,
@@ -42,13 +42,18 @@ METRIC_NAMES = """window_start, window_end, grid_zone, total_consumption_kwh, to
 ORDERS = """orders_in AS (
   SELECT o_orderkey AS seq, format('ORD-{:04d}', o_orderkey) AS orderId,
          CASE WHEN o_orderkey % 40 <> 7 THEN o_orderpriority END AS product,
-         CASE WHEN o_orderkey % 50 = 5 THEN -1 ELSE 1 END * CAST(o_totalprice AS DECIMAL(14,2)) AS price_value,
+         CASE WHEN o_orderkey % 200 = 17 THEN CAST(-0.001 AS DECIMAL(24,3))
+              WHEN o_orderkey % 50 = 5 THEN CAST(-CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(24,3))
+              WHEN o_orderkey % 200 = 13 THEN CAST(CAST(CAST(o_totalprice AS DECIMAL(14,2)) * 100 AS HUGEINT) * 10000000
+                AS DECIMAL(24,3))
+              WHEN o_orderkey % 200 = 19 THEN CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(24,3)) + 0.005::DECIMAL(24,3)
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(24,3)) END AS price_value,
          CAST(CASE WHEN o_orderkey % 20 = 0 THEN 1 + o_orderkey % 3 ELSE 0 END AS INTEGER) AS f,
          CASE WHEN o_orderkey % 400 = 11 THEN 'injected' END AS permanent_error
   FROM orders),
 checked AS (
   SELECT *, CASE WHEN price_value < 0
-                 THEN 'Poison pill detected: negative price ($' || CAST(price_value AS VARCHAR) || ')'
+                 THEN 'Poison pill detected: negative price ($' || printf('%.2f', CAST(price_value AS DOUBLE)) || ')'
                  WHEN permanent_error IS NOT NULL THEN 'Forced poison pill: ' || permanent_error END AS problem
   FROM orders_in)"""
 
@@ -62,18 +67,23 @@ RESOLVED = ORDERS + """, resolved AS (
   FROM checked)"""
 
 
-def half_up_average(cents, count):
-    """cents / count to two places, ties up, in whole numbers; 0.0 where count is 0."""
+def half_up_average(mills, count):
+    """mills / count, in thousandths, to two places, ties up, in whole numbers; 0.0 where count is 0."""
     return (f"CASE WHEN {count} = 0 THEN 0.0 ELSE "
-            f"CAST(({cents} * 2 + {count}) // ({count} * 2) AS DOUBLE) / 100.0 END")
+            f"CAST(({mills} * 2 + {count} * 10) // ({count} * 20) AS DOUBLE) / 100.0 END")
+
+
+def price_double(column="price_value"):
+    """A decimal as the nearest double, by way of its digits."""
+    return f"CAST(CAST({column} AS VARCHAR) AS DOUBLE)"
 
 
 RUNNING = RESOLVED + f""", cumulated AS (
   SELECT *, CAST(count(*) FILTER (status <> 'DLQ_QUARANTINED') OVER w AS BIGINT) AS total_orders,
          CAST(count(*) FILTER (status = 'DLQ_QUARANTINED') OVER w AS BIGINT) AS total_rejects,
-         coalesce(CAST(sum(price_value * 100) FILTER (status <> 'DLQ_QUARANTINED') OVER w AS HUGEINT), 0) AS cents
+         coalesce(sum(CAST(price_value * 1000 AS HUGEINT)) FILTER (status <> 'DLQ_QUARANTINED') OVER w, 0) AS mills
   FROM resolved WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING)),
-running AS (SELECT *, {half_up_average('cents', 'CAST(total_orders AS HUGEINT)')} AS running_avg FROM cumulated)"""
+running AS (SELECT *, {half_up_average('mills', 'CAST(total_orders AS HUGEINT)')} AS running_avg FROM cumulated)"""
 
 LETTERS = RUNNING + """, letters AS (
   SELECT seq, format('DLQ-{:04d}', total_rejects) AS dlq_id, orderId, product, price_value, error_reason

@@ -7,8 +7,8 @@ from ..sources.orders import as_order_messages, read_order_json
 from ..session import run_dir
 from ..sinks.files import append_rows
 from . import inputs as I
-from .jobs import status_snapshot
-from .oracle_parts import LETTERS, METRICS, ORDERS, RESOLVED, RUNNING, half_up_average
+from .jobs import run_orders, run_replay, status_snapshot, stored_letters, stored_outcomes
+from .oracle_parts import LETTERS, METRICS, ORDERS, RESOLVED, RUNNING, half_up_average, price_double
 from .queries_readings import as_double, plain_time
 from .queries_tariffs import dq_tariff_gate
 from .queries_zones import metrics
@@ -17,7 +17,7 @@ AT = "2024-02-01 00:00:00"
 
 
 def _resolved(spark, sf):
-    return orders.resolve(I.orders(spark, sf))
+    return orders.resolve(I.orders(spark, sf), price_type=I.PRICE)
 
 
 def _running(spark, sf):
@@ -40,7 +40,7 @@ def src_orders(spark, sf):
     folder = run_dir(spark, "orders")
     I.orders(spark, sf).write.json(folder)
     return read_order_json(spark, folder).select(
-        "seq", "orderId", "product", F.col("price").cast("decimal(14,2)").cast("double").alias("price"),
+        "seq", "orderId", "product", F.col("price").cast("double").alias("price"),
         "transient_failures", "permanent_error")
 
 
@@ -50,7 +50,7 @@ def order_message(spark, sf):
 
 
 def order_classify(spark, sf):
-    return orders.classify(I.orders(spark, sf)).select("seq", "orderId", *as_double("price_value"), "error_reason")
+    return orders.classify(I.orders(spark, sf), I.PRICE).select("seq", "orderId", *as_double("price_value"), "error_reason")
 
 
 OUTCOME = ["seq", "orderId", "status", "attempts", "error_reason"]
@@ -86,7 +86,7 @@ def order_running_avg(spark, sf):
 
 def order_outcomes(spark, sf):
     """The full outcome of every order, its audit trail as text."""
-    rows = orders.process_orders(I.orders(spark, sf))
+    rows = orders.process_orders(I.orders(spark, sf), price_type=I.PRICE)
     steps = F.transform("audit_trail", lambda s: F.concat(s["attempt"].cast("string"), F.lit(":"), s["status"]))
     return rows.select("seq", "orderId", "product", "price", "status", "attempts", "running_avg", "total_orders",
                        F.array_join(steps, " ").alias("trail"))
@@ -129,12 +129,12 @@ def dlq_replay_missing(spark, sf):
 
 def dlq_repair(spark, sf):
     repaired = deadletters.repair(deadletters.match_requests(_letters(spark, sf), _requests(spark, sf)))
-    return repaired.select("dlq_id", "orderId", F.col("price").cast("decimal(14,2)").cast("double").alias("price"))
+    return repaired.select("dlq_id", "orderId", F.col("price").cast("double").alias("price"))
 
 
 def _replayed(spark, sf):
     last = I.orders(spark, sf).agg(F.max("seq")).first()[0]
-    return deadletters.replay(_letters(spark, sf), I.replay_requests(spark, sf), last)
+    return deadletters.replay(_letters(spark, sf), I.replay_requests(spark, sf), last, price_type=I.PRICE)
 
 
 def dlq_replay(spark, sf):
@@ -154,6 +154,24 @@ def dlq_replay_log(spark, sf):
     return orders.with_running_average(both).select("seq", "status", "total_orders", "running_avg")
 
 
+def order_job(spark, sf):
+    """The job run twice under one name: outcomes and letters are there once."""
+    root = run_dir(spark, "order-job")
+    for _ in range(2):
+        log = run_orders(I.orders(spark, sf), root, AT, price_type=I.PRICE, run="day1")
+    letters = stored_letters(spark, root).select("seq", "dlq_id")
+    return log.join(letters, "seq", "left").select("seq", "status", "attempts", "total_orders", "running_avg", "dlq_id")
+
+
+def dlq_replay_stored(spark, sf):
+    """Letters replayed into the stored log; asking again for the same ones changes nothing."""
+    root = run_dir(spark, "order-replay")
+    run_orders(I.orders(spark, sf), root, AT, price_type=I.PRICE)
+    for run in ("one", "two"):
+        run_replay(spark, root, I.replay_requests(spark, sf), AT, run, price_type=I.PRICE)
+    return stored_outcomes(spark, root).select("seq", "status", "total_orders", "running_avg")
+
+
 def system_status(spark, sf):
     snapshot = status_snapshot(_resolved(spark, sf), I.batches_by_day(spark, sf), metrics(spark, sf),
                                dq_tariff_gate(spark, sf))
@@ -165,31 +183,40 @@ def queries():
     found = [src_orders, order_message, order_classify, order_retry_outcome, order_audit_trail, order_split_accepted,
              order_split_rejected, order_avg_price, order_kpis, order_running_avg, order_outcomes, running_avg_tail,
              recent_orders, recent_dlq, sink_dlq, dlq_sequence, dlq_replay_match, dlq_replay_missing, dlq_repair,
-             dlq_replay, dlq_replay_marks, dlq_replay_log, system_status]
+             dlq_replay, dlq_replay_marks, dlq_replay_log, order_job, dlq_replay_stored, system_status]
     return {f.__name__: f for f in found}
 
 
 OUTCOME_SQL = "seq, orderId, status, attempts, error_reason"
 ASKED = LETTERS + ", asked AS (SELECT * FROM letters JOIN requests USING (dlq_id))"
-REPAIRED_PRICE = "CASE WHEN corrected_price IS NOT NULL THEN CAST(abs(corrected_price) AS DECIMAL(14,2)) ELSE abs(price_value) END"
+REPAIRED_PRICE = "CASE WHEN corrected_price IS NOT NULL THEN CAST(abs(corrected_price) AS DECIMAL(24,3)) ELSE abs(price_value) END"
 REPLAYED = ASKED + f""", replayed AS (
-  SELECT dlq_id, orderId, product, {REPAIRED_PRICE} AS price_value,
-         (SELECT max(o_orderkey) FROM orders) + 1 + seq AS new_seq FROM asked)"""
-AVERAGE_SQL = half_up_average("cents", "CAST(n AS HUGEINT)")
+  SELECT dlq_id, seq, orderId, product, {REPAIRED_PRICE} AS price_value,
+         (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY seq) AS new_seq FROM asked)"""
+AVERAGE_SQL = half_up_average("mills", "CAST(n AS HUGEINT)")
+
+REPLAY_LOG = f"""WITH {REPLAYED}, log AS (
+            SELECT seq, status, price_value FROM resolved UNION ALL
+            SELECT new_seq, 'SUCCESS', price_value FROM replayed),
+            sums AS (SELECT seq, status,
+              CAST(count(*) FILTER (status <> 'DLQ_QUARANTINED') OVER w AS BIGINT) AS n,
+              coalesce(sum(CAST(price_value * 1000 AS HUGEINT)) FILTER (status <> 'DLQ_QUARANTINED') OVER w, 0) AS mills
+              FROM log WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING))
+            SELECT seq, status, n AS total_orders, {AVERAGE_SQL} AS running_avg FROM sums"""
 
 
 def oracles():
     kpis = """count(*) FILTER (status <> 'DLQ_QUARANTINED') AS total_orders,
         count(*) FILTER (status <> 'DLQ_QUARANTINED') AS success_count,
         CAST(sum(retries) AS BIGINT) AS retries_count, count(*) FILTER (status = 'DLQ_QUARANTINED') AS dlq_count"""
-    total = """SELECT CAST(sum(price_value * 100) AS HUGEINT) AS cents, count(*) AS n
+    total = """SELECT sum(CAST(price_value * 1000 AS HUGEINT)) AS mills, count(*) AS n
         FROM resolved WHERE status <> 'DLQ_QUARANTINED'"""
     return {
-        "src_orders": f"""WITH {ORDERS} SELECT seq, orderId, product, CAST(price_value AS DOUBLE) AS price,
+        "src_orders": f"""WITH {ORDERS} SELECT seq, orderId, product, {price_double()} AS price,
             f AS transient_failures, permanent_error FROM orders_in""",
         "order_message": f"""WITH {ORDERS} SELECT orderId, product,
-            CAST(CAST(price_value AS FLOAT) AS DOUBLE) AS price FROM orders_in""",
-        "order_classify": f"""WITH {ORDERS} SELECT seq, orderId, CAST(price_value AS DOUBLE) AS price_value,
+            CAST(CAST(CAST(price_value AS VARCHAR) AS FLOAT) AS DOUBLE) AS price FROM orders_in""",
+        "order_classify": f"""WITH {ORDERS} SELECT seq, orderId, {price_double()} AS price_value,
             problem AS error_reason FROM checked""",
         "order_retry_outcome": f"WITH {RESOLVED} SELECT {OUTCOME_SQL}, retries FROM resolved",
         "order_audit_trail": f"""WITH {RESOLVED}
@@ -203,9 +230,9 @@ def oracles():
               CASE WHEN status <> 'DLQ_QUARANTINED'
                 THEN 'Avro message validated and processed on attempt ' || CAST(attempts AS VARCHAR) END,
               error_reason, NULL FROM resolved""",
-        "order_split_accepted": f"""WITH {RESOLVED} SELECT {OUTCOME_SQL}, CAST(price_value AS DOUBLE) AS price_value
+        "order_split_accepted": f"""WITH {RESOLVED} SELECT {OUTCOME_SQL}, {price_double()} AS price_value
             FROM resolved WHERE status <> 'DLQ_QUARANTINED'""",
-        "order_split_rejected": f"""WITH {RESOLVED} SELECT {OUTCOME_SQL}, CAST(price_value AS DOUBLE) AS price_value
+        "order_split_rejected": f"""WITH {RESOLVED} SELECT {OUTCOME_SQL}, {price_double()} AS price_value
             FROM resolved WHERE status = 'DLQ_QUARANTINED'""",
         "order_avg_price": f"WITH {RESOLVED} SELECT {AVERAGE_SQL} AS avg_price FROM ({total})",
         "order_kpis": f"WITH {RESOLVED} SELECT {kpis} FROM resolved",
@@ -225,20 +252,16 @@ def oracles():
         "dlq_replay_match": f"WITH {ASKED} SELECT dlq_id, seq, corrected_price FROM asked",
         "dlq_replay_missing": f"""WITH {LETTERS} SELECT dlq_id, corrected_price FROM requests
             WHERE dlq_id NOT IN (SELECT dlq_id FROM letters)""",
-        "dlq_repair": f"WITH {ASKED} SELECT dlq_id, orderId, CAST({REPAIRED_PRICE} AS DOUBLE) AS price FROM asked",
+        "dlq_repair": f"WITH {ASKED} SELECT dlq_id, orderId, {price_double(REPAIRED_PRICE)} AS price FROM asked",
         "dlq_replay": f"""WITH {REPLAYED} SELECT dlq_id, orderId, new_seq AS seq, 'SUCCESS' AS status,
             CAST(1 AS INTEGER) AS attempts, CAST(NULL AS VARCHAR) AS error_reason,
-            CAST(price_value AS DOUBLE) AS price_value FROM replayed""",
+            {price_double()} AS price_value FROM replayed""",
         "dlq_replay_marks": f"""WITH {LETTERS} SELECT dlq_id, dlq_id IN (SELECT dlq_id FROM requests) AS replayed
             FROM letters""",
-        "dlq_replay_log": f"""WITH {REPLAYED}, log AS (
-            SELECT seq, status, price_value FROM resolved UNION ALL
-            SELECT new_seq, 'SUCCESS', price_value FROM replayed),
-            sums AS (SELECT seq, status,
-              CAST(count(*) FILTER (status <> 'DLQ_QUARANTINED') OVER w AS BIGINT) AS n,
-              coalesce(CAST(sum(price_value * 100) FILTER (status <> 'DLQ_QUARANTINED') OVER w AS HUGEINT), 0) AS cents
-              FROM log WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING))
-            SELECT seq, status, n AS total_orders, {AVERAGE_SQL} AS running_avg FROM sums""",
+        "dlq_replay_log": REPLAY_LOG,
+        "dlq_replay_stored": REPLAY_LOG,
+        "order_job": f"""WITH {LETTERS} SELECT r.seq, r.status, r.attempts, r.total_orders, r.running_avg, l.dlq_id
+            FROM running r LEFT JOIN letters l USING (seq)""",
         "system_status": f"""WITH {RESOLVED}, {METRICS}, last_zone AS (
             SELECT grid_zone, net_load_kwh FROM metrics
             QUALIFY row_number() OVER (PARTITION BY grid_zone ORDER BY window_start DESC) = 1)

@@ -118,7 +118,7 @@ def enrich_left_join(spark, sf):
 
 
 def enrich_large_dimension(spark, sf):
-    """The plan for a dimension too large to broadcast."""
+    """The plan for a dimension too large to broadcast: both sides shuffled, the readings read once."""
     return _enriched_columns(enrich.enrich(I.readings(spark, sf), I.tariffs(spark, sf), max_broadcast_bytes=0))
 
 
@@ -135,7 +135,8 @@ def telemetry_quarantine(spark, sf):
 def dq_telemetry_violations(spark, sf):
     decoded = decode.decode_telemetry(I.records(spark, sf, damaged=True), TELEMETRY)
     checked = quality.failing(quality.violations(decoded, quality.telemetry_rules(I.ZONES)))
-    return checked.select("household_id", plain_time("event_timestamp"), *as_double("power_consumption_kwh"),
+    consumption = F.when(decode.finite("power_consumption_kwh"), F.col("power_consumption_kwh").cast("double"))
+    return checked.select("household_id", plain_time("event_timestamp"), consumption.alias("power_consumption_kwh"),
                           F.array_join("violations", ",").alias("violations"))
 
 
@@ -203,16 +204,17 @@ def oracles():
         "telemetry_quarantine": f"""WITH {READINGS} SELECT
             CASE WHEN {FAULT} = 3 THEN 'broken ' || CAST(event_id AS VARCHAR) ELSE
               '{{"meter_id":"' || meter_id || '","household_id":"' || household_id || '","power_consumption_kwh":' ||
-              CAST(CAST(cons AS DOUBLE) AS VARCHAR) || ',"solar_generation_kwh":' || CAST(CAST(solar AS DOUBLE) AS VARCHAR) ||
+              CASE {FAULT} WHEN 7 THEN '"NaN"' WHEN 8 THEN '"Infinity"' ELSE CAST(CAST(cons AS DOUBLE) AS VARCHAR) END ||
+              ',"solar_generation_kwh":' || CAST(CAST(solar AS DOUBLE) AS VARCHAR) ||
               CASE WHEN {FAULT} = 4 THEN '' ELSE ',"grid_zone":"' || grid_zone || '"' END ||
               ',"timestamp":"' || CASE WHEN {FAULT} = 6 THEN 'not a time' ELSE {ISO_SQL} END || '"}}' END AS raw_value,
-            CASE {FAULT} WHEN 3 THEN 'not a JSON reading' WHEN 4 THEN 'missing grid_zone' ELSE 'unreadable timestamp' END
-              AS error_reason
-            FROM readings WHERE {FAULT} IN (3, 4, 6)""",
+            CASE {FAULT} WHEN 3 THEN 'not a JSON reading' WHEN 4 THEN 'missing grid_zone' WHEN 6 THEN 'unreadable timestamp'
+              ELSE 'non-finite power_consumption_kwh' END AS error_reason
+            FROM readings WHERE {FAULT} IN (3, 4, 6, 7, 8)""",
         "dq_telemetry_violations": f"""WITH {READINGS}, decoded AS (
             SELECT CASE WHEN {FAULT} <> 3 THEN household_id END AS household_id,
               CASE WHEN {FAULT} NOT IN (3, 6) THEN ts END AS event_timestamp,
-              CASE WHEN {FAULT} = 5 THEN -cons WHEN {FAULT} <> 3 THEN cons END AS cons,
+              CASE WHEN {FAULT} = 5 THEN -cons WHEN {FAULT} NOT IN (3, 7, 8) THEN cons END AS cons,
               CASE WHEN {FAULT} <> 3 THEN solar END AS solar,
               CASE WHEN {FAULT} NOT IN (3, 4) THEN grid_zone END AS grid_zone FROM readings),
             judged AS (SELECT household_id, event_timestamp, CAST(cons AS DOUBLE) AS power_consumption_kwh, concat_ws(',',

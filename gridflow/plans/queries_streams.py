@@ -4,12 +4,14 @@ from pyspark.sql import functions as F
 
 from ..operators import health, zones
 from ..operators.enrich import enrich
-from ..schemas import TELEMETRY_EXACT, ZONE_METRICS
+from ..schemas import TARIFF_EXACT, TELEMETRY_EXACT, ZONE_METRICS
 from ..session import run_dir
 from ..sinks.change_log import ChangeLog
 from ..sinks.files import append_rows, write_once
-from ..sinks.guards import FanOut
+from ..sinks.guards import FanOut, skip_empty, with_retry
+from ..sinks.tariffs import publish_drop, stage_drop
 from ..sources.tariffs import CurrentTariffs
+from ..sources.telemetry import read_text_files
 from ..streaming.orders import OrderOutcomes, start_orders
 from ..streaming.zones import enriched_readings, start_enrichment, start_metrics, zone_metrics_stream
 from . import inputs as I
@@ -88,7 +90,7 @@ def stream_quarantine(spark, sf):
 def stream_enrichment(spark, sf):
     """Readings enriched batch by batch with the tariff drop then in force."""
     root = run_dir(spark, "enrichment")
-    current = CurrentTariffs(spark, _published(spark, sf, 2))
+    current = CurrentTariffs(spark, _published(spark, sf, 2), TARIFF_EXACT)
     raw = _records(spark, sf)
     _finish(start_enrichment(raw, current, root, f"{root}/checkpoint", "available", TELEMETRY_EXACT))
     stored = enriched_readings(spark, root, spark.read.parquet(f"{root}/readings").schema, streaming=False)
@@ -96,9 +98,78 @@ def stream_enrichment(spark, sf):
                          *as_double("tariff_rate", "net_grid_load_kwh", "estimated_cost"))
 
 
+def _arrivals(spark, sf, folder, part, parts=2, damaged=False):
+    """Some of the records, by their id, as text files that a stream finds in `folder`."""
+    events = I.table(spark, sf, "events").where(F.pmod("event_id", F.lit(parts)) == part)
+    lines = I.as_records(events, damaged).select(F.col("value").cast("string").alias("value"))
+    lines.write.mode("append").text(folder)
+
+
+def stream_tariff_refresh(spark, sf):
+    """The metrics job run twice; a new drop is published between the records' two halves."""
+    root, drops = run_dir(spark, "refresh"), _published(spark, sf, 1)
+    for run in range(2):
+        _arrivals(spark, sf, f"{root}/in", run)
+        if run:
+            publish_drop(spark, stage_drop(I.tariffs(spark, sf, revision=1), drops), drops, LABELS[1])
+        table, queries = run_zone_metrics(
+            spark, read_text_files(spark, f"{root}/in"), CurrentTariffs(spark, drops, TARIFF_EXACT), root,
+            f"{root}/checkpoint", "r1", PATIENCE, I.WINDOW, I.SLIDE, "available", TELEMETRY_EXACT)
+        _finish(*queries)
+    return _plain(table.latest())
+
+
+def stream_restart(spark, sf):
+    """A stream stopped after half of the records and started again on its checkpoint."""
+    root = run_dir(spark, "restart")
+    table = ChangeLog(spark, f"{root}/metrics", ZONE_METRICS)
+    for part in range(2):
+        _arrivals(spark, sf, f"{root}/in", part)
+        metrics = zone_metrics_stream(read_text_files(spark, f"{root}/in"), I.tariffs(spark, sf), PATIENCE, I.WINDOW,
+                                      I.SLIDE, TELEMETRY_EXACT)
+        _finish(start_metrics(metrics, table.writer("r1"), f"{root}/checkpoint", "available"))
+    return _plain(table.latest())
+
+
+def stream_late_data(spark, sf):
+    """All records sent twice: the second time, those of windows behind the watermark are left out."""
+    root = run_dir(spark, "late")
+    table = ChangeLog(spark, f"{root}/metrics", ZONE_METRICS)
+    for _ in range(2):
+        _arrivals(spark, sf, f"{root}/in", 0, parts=1)
+        metrics = zone_metrics_stream(read_text_files(spark, f"{root}/in"), I.tariffs(spark, sf), CLOSING, I.WINDOW,
+                                      I.SLIDE, TELEMETRY_EXACT)
+        _finish(start_metrics(metrics, table.writer("r1"), f"{root}/checkpoint", "available"))
+    return _plain(table.latest())
+
+
+def sink_skip_empty(spark, sf):
+    """An empty batch and a full one: only the second is written."""
+    root, rows = run_dir(spark, "skip"), served(spark, sf)
+    write = skip_empty(lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("append").parquet(f"{root}/rows"))
+    write(rows.limit(0), 0)
+    write(rows, 1)
+    found = spark.read.parquet(f"{root}/rows")
+    return found.select(*_plain(found).columns, F.col("batch").cast("long").alias("batch")).withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def sink_retry(spark, sf):
+    """A store whose first write fails inside Spark; the second one succeeds."""
+    root, calls = run_dir(spark, "retry"), []
+
+    def write(df, n):
+        calls.append(n)
+        broken = F.raise_error(F.lit("the store is down")).cast("string") if len(calls) == 1 else F.col("grid_zone")
+        write_once(df.withColumn("grid_zone", broken), f"{root}/rows", f"batch={n}")
+
+    with_retry(write, sleep=lambda seconds: None)(served(spark, sf), 0)
+    return _plain(spark.read.parquet(f"{root}/rows")).withColumn("attempts", F.lit(len(calls)).cast("long"))
+
+
 def _order_stream(spark, sf):
     root = run_dir(spark, "order-stream")
-    outcomes = OrderOutcomes(spark, f"{root}/outcomes")
+    outcomes = OrderOutcomes(spark, f"{root}/outcomes", price_type=I.PRICE)
     _finish(start_orders(I.as_orders(table_stream(spark, sf, "orders")), outcomes, f"{root}/checkpoint", "available"))
     return outcomes
 
@@ -148,26 +219,37 @@ def sink_health_log(spark, sf):
 
 def queries():
     found = [stream_zone_metrics, stream_watermark, zone_metrics_job, stream_quarantine, stream_enrichment,
-             stream_running_avg, stream_dead_letters, sink_compaction, sink_fanout, sink_health_log]
+             stream_tariff_refresh, stream_restart, stream_late_data, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, sink_compaction, sink_fanout, sink_health_log]
     return {f.__name__: f for f in found}
 
 
 def oracles():
     windows = f"WITH {METRICS} SELECT {METRIC_NAMES} FROM metrics"
-    good = METRICS.replace("FROM events)", f"FROM events WHERE {FAULT} NOT IN (3, 4, 6))").replace(
+    good = METRICS.replace("FROM events)", f"FROM events WHERE {FAULT} NOT IN (3, 4, 6, 7, 8))").replace(
         "CAST(value AS DECIMAL(12,2)) AS cons",
         f"CASE WHEN {FAULT} = 5 THEN -1 ELSE 1 END * CAST(value AS DECIMAL(12,2)) AS cons")
     return {
         "stream_zone_metrics": windows,
         "sink_compaction": windows,
+        "stream_restart": windows,
+        "stream_tariff_refresh": "WITH " + METRICS.replace(
+            "LEFT JOIN tariffs t USING (household_id)", """LEFT JOIN (SELECT 0 AS half, * FROM tariffs UNION ALL
+              SELECT 1, * FROM newer) t ON t.household_id = r.household_id AND t.half = r.event_id % 2""").replace(
+            "enriched AS (", tariffs("newer", 1) + ", enriched AS (", 1) + f" SELECT {METRIC_NAMES} FROM metrics",
+        "stream_late_data": "WITH " + METRICS.replace(
+            "FROM windowed GROUP BY", """FROM (SELECT * FROM windowed UNION ALL SELECT * FROM windowed
+              WHERE window_start + INTERVAL 1 HOUR > (SELECT max(ts) FROM events) - INTERVAL 1 DAY) GROUP BY""")
+            + f" SELECT {METRIC_NAMES} FROM metrics",
+        "sink_skip_empty": f"WITH {METRICS} SELECT {METRIC_NAMES}, CAST(1 AS BIGINT) AS batch FROM metrics",
+        "sink_retry": f"WITH {METRICS} SELECT {METRIC_NAMES}, CAST(2 AS BIGINT) AS attempts FROM metrics",
         "stream_watermark": f"""WITH {METRICS} SELECT {METRIC_NAMES} FROM metrics
             WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
         "zone_metrics_job": f"WITH {good} SELECT {METRIC_NAMES} FROM metrics",
-        "stream_quarantine": reading_oracles()["telemetry_quarantine"],
+        "stream_quarantine": reading_oracles()["telemetry_quarantine"].replace("non-finite", "unreadable"),  # as decimals
         "stream_enrichment": f"""WITH {READINGS}, {tariffs('newest', 1)} SELECT household_id, grid_zone,
             ts AS event_timestamp, CAST(coalesce(rate, 0.15) AS DOUBLE) AS tariff_rate,
             CAST(cons - solar AS DOUBLE) AS net_grid_load_kwh,
-            CAST(CAST(cons * coalesce(rate, 0.15) AS DECIMAL(24,6)) * CAST(1 - coalesce(flag, 0) * 0.15 AS DECIMAL(4,2))
+            CAST(CAST(cons * coalesce(rate, 0.15) AS DECIMAL(30,8)) * CAST(1 - coalesce(flag, 0) * 0.15 AS DECIMAL(4,2))
               AS DOUBLE) AS estimated_cost
             FROM readings LEFT JOIN newest USING (household_id)""",
         "stream_running_avg": f"WITH {RUNNING} SELECT seq, status, total_orders, running_avg FROM running",

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import quality, tariffs
-from ..schemas import HEALTH_LOG
+from ..schemas import HEALTH_LOG, TARIFF_EXACT
 from ..session import run_dir
 from ..sinks.tariffs import gated_publish, publish_drop, stage_drop
 from ..sources.tariffs import CurrentTariffs, read_drop, read_history
@@ -29,7 +29,7 @@ def _columns(rows, *more):
 
 
 def _history(spark, sf):
-    return read_history(spark, _published(spark, sf))
+    return read_history(spark, _published(spark, sf), TARIFF_EXACT)
 
 
 def src_tariffs_csv(spark, sf):
@@ -45,6 +45,25 @@ def src_tariffs_refresh(spark, sf):
     return _columns(current.frame())
 
 
+def src_tariffs_duplicates(spark, sf):
+    """A drop with two rows for every household: the later one counts, the others are reported."""
+    root = run_dir(spark, "drops")
+    twice = I.tariffs_with_revisions(spark, sf).drop("row_order")
+    publish_drop(spark, stage_drop(twice, root), root, LABELS[0])
+    current = CurrentTariffs(spark, root)
+    frame = current.frame()
+    return _columns(frame, F.lit(current.duplicates).cast("long").alias("duplicates"))
+
+
+def src_tariffs_refused(spark, sf):
+    """The newest drop has rates that are no numbers, so the one before it stays in force."""
+    root = _published(spark, sf, 1)
+    bad = I.tariffs(spark, sf, revision=1)
+    rate = F.when(F.col("subsidy_flag") == 1, "abc").otherwise(F.col("tariff_rate").cast("string"))
+    publish_drop(spark, stage_drop(bad.withColumn("tariff_rate", rate), root), root, LABELS[1])
+    return _columns(CurrentTariffs(spark, root).frame())
+
+
 def src_tariff_history(spark, sf):
     day = F.col("simulated_day_date").cast("string").alias("simulated_day_date")
     return _columns(_history(spark, sf), day, plain_time("effective_timestamp"))
@@ -102,7 +121,7 @@ def tariff_job(spark, sf):
 
 
 def queries():
-    found = [src_tariffs_csv, src_tariffs_refresh, src_tariff_history, sink_tariff_publish, dq_tariff_gate,
+    found = [src_tariffs_csv, src_tariffs_refresh, src_tariffs_duplicates, src_tariffs_refused, src_tariff_history, sink_tariff_publish, dq_tariff_gate,
              dq_tariff_gate_refuses, dq_tariff_violations, tariff_drop_stats, tariff_history_stats,
              latest_tariff_per_household, tariff_job]
     return {f.__name__: f for f in found}
@@ -110,12 +129,12 @@ def queries():
 
 def _tariff_sql(revision):
     return f"""SELECT CASE WHEN c_acctbal < 0 THEN 'CLOSED-' ELSE 'HH-' END || format('{{:04d}}', c_custkey) AS household_id,
-      CAST(CAST(0.12 + 0.01 * (c_nationkey + {revision}) AS DECIMAL(8,4)) AS DOUBLE) AS tariff_rate,
+      CAST(CAST(0.120004 + 0.01 * (c_nationkey + {revision}) AS DECIMAL(10,6)) AS DOUBLE) AS tariff_rate,
       c_mktsegment AS billing_tier, CAST(CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS subsidy_flag"""
 
 
-# A mean to four places, ties up, in whole ten-thousandths.
-MEAN_RATE = "CAST((sum(CAST(tariff_rate * 10000 AS HUGEINT)) * 2 + count(*)) // (count(*) * 2) AS DOUBLE) / 10000.0"
+# A mean to four places, ties up, from whole millionths.
+MEAN_RATE = "CAST((sum(CAST(tariff_rate * 1000000 AS HUGEINT)) * 2 + count(*) * 100) // (count(*) * 200) AS DOUBLE) / 10000.0"
 STATISTICS = f"""count(*) AS records_count, {MEAN_RATE} AS avg_tariff,
   round(sum(subsidy_flag) / count(*), 4) AS subsidized_ratio"""
 HISTORY = "history AS (" + " UNION ALL ".join(
@@ -135,6 +154,8 @@ def oracles():
     return {
         "src_tariffs_csv": f"{_tariff_sql(0)} FROM customer",
         "src_tariffs_refresh": f"{_tariff_sql(1)} FROM customer",
+        "src_tariffs_duplicates": f"{_tariff_sql(1)}, (SELECT count(*) FROM customer) AS duplicates FROM customer",
+        "src_tariffs_refused": f"{_tariff_sql(0)} FROM customer",
         "src_tariff_history": f"""WITH {HISTORY} SELECT * REPLACE (CAST(simulated_day_date AS VARCHAR) AS simulated_day_date)
             FROM history""",
         "sink_tariff_publish": f"{_tariff_sql(0)}, (SELECT count(*) FROM customer) AS checked FROM customer",
