@@ -8,7 +8,7 @@ K(n) segments, and the larger one indexes at least those. Which of them it probe
 content that no other record has costs nothing.
 """
 
-import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,6 @@ SPARE, MORE = 1.15, 2
 WIDE = 2
 #: Words whose hashes a worker remembers, and candidates up to which their ids are broadcast.
 KNOWN_WORDS, BROADCAST_IDS = 400_000, 1_000_000
-WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 U = np.uint64
 
 
@@ -77,15 +76,36 @@ def segments(n):
     return int(SPARE * (most_different(n) + 1)) + MORE
 
 
+def shared_least(n):
+    """The same as a column: of its segments, how many a set of n shingles shares with a linked larger one at least."""
+    most = F.floor((100 - PERCENT) * (n + F.floor(100 * n / PERCENT)) / (100 + PERCENT))
+    return F.floor(SPARE * (most + 1)) + MORE - most
+
+
+def limits():
+    """The smallest size of each band: so that a linked set lies in the same band or a neighbouring one."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(100 * out[-1] // PERCENT + 1)
+    return out
+
+
+LIMITS = limits()
+
+
 def bands(n):
-    """The band of a size, [2^b, 2^(b+1)), and the next if a linked set can lie in it."""
-    own = n.bit_length() - 1
-    return [own, own + 1] if 100 * n // PERCENT >= 2 << own else [own]
+    """The band of a size, and the next if a linked larger set can lie in it."""
+    own = bisect_right(LIMITS, n) - 1
+    return [own, own + 1] if 100 * n // PERCENT >= LIMITS[own + 1] else [own]
+
+
+def largest(band):
+    return LIMITS[band + 1] - 1
 
 
 def keys(shingles, band):
     """Index keys of a set in a band: one per segment of its first K(n), and the neighbourhoods of the wide ones."""
-    count, upto = segments((2 << band) - 1), segments(len(shingles))
+    count, upto = segments(largest(band)), segments(len(shingles))
     spread = mix(shingles + U(band + 1))
     place = ((spread >> U(33)) % U(count)).astype(np.int64)
     inside = place < upto
@@ -203,12 +223,12 @@ def verify(docs, pairs, classes, scratch):
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     texts = texts_of(docs, "doc_id").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = texts.select("text").mapInArrow(shingled, "d1 long, d2 long, shingles binary").dropDuplicates(["d1", "d2"])
+    sets = texts.select("text").mapInArrow(shingled, "d1 long, d2 long, shingles binary")
     sets = scratch.save(sets.join(ids, ["d1", "d2"]).select("rep", "shingles"), "sets")
     lefts = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("left"))
     rights = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("right"))
     links = pairs.join(lefts, "a").join(rights, "b").select("a", "b", "left", "right").mapInArrow(linked, "a long, b long")
-    links = scratch.save(links, "links")
+    links = scratch.save(links.distinct(), "links")
     scratch.drop(sets)
     return links
 
@@ -222,8 +242,9 @@ def jaccard_join(docs, scratch=None):
 
     Equal sets are one class throughout. Index entries move twice as integers: to be counted, and to meet the keys that
     at least two records have, a small rest. Large groups of near copies are not joined all with all: first each record
-    is compared with the best connected record among those it shares keys with, and only records that this leaves in
-    different components meet again, in full, by their probes. So pairs are few and no link between components is lost.
+    that has anything to probe is compared with the best connected record that it shares many keys with, and only
+    records that this leaves in different components meet again, in full, by their probes. So pairs are few and no link
+    between components is lost.
     """
     spark = docs.sparkSession
     ready(spark)
@@ -256,7 +277,10 @@ def jaccard_join(docs, scratch=None):
     keyed = scratch.save(index.where("slot >= 0").select("key", "row").distinct(), "keyed")
     centers = scratch.save(keyed.join(degrees, "row").groupBy("key").agg(
         F.max(F.struct("degree", "row"))["row"].alias("center")), "centers")
-    tried = keyed.join(centers, "key").where("row <> center").groupBy("row", "center").agg(F.count("*").alias("times"))
+    probing = probes.select(F.expr("record div 2").alias("row")).distinct().join(reps, "row")
+    probing = scratch.save(probing.select("row", (shared_least(F.col("n")) / 2).alias("least")), "probing")
+    tried = keyed.join(probing, "row").join(centers, "key").where("row <> center").groupBy("row", "center").agg(
+        F.count("*").alias("times"), F.first("least").alias("least")).where("times >= least")
     favourite = tried.groupBy("row").agg(F.max(F.struct("times", "center"))["center"].alias("center"))
     near = scratch.save(favourite.select(F.least("row", "center").alias("a"), F.greatest("row", "center").alias("b"))
                         .distinct(), "near")
