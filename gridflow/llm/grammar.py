@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from .common import ready, rows_out, texts_of
 from .tokens import encoder
 
-#: Tokens of a shard, at which it is closed; a pair becomes a rule if it is found this often.
-SHARD_TOKENS, LEAST_COUNT = 2_000_000, 32
+#: Tokens of a shard, at which it is closed; a pair becomes a rule if it is found this often; the share of all symbols
+#: that a round must save for another one to follow.
+SHARD_TOKENS, LEAST_COUNT, LEAST_SAVED = 2_000_000, 32, 1 / 250
 MAGIC = b"REPAIR01"
 HEAD = struct.Struct("<8s5Q")
 SHARDS = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()),
@@ -23,11 +24,12 @@ READ = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("in_shard", pa
                   ("ids_crc32", pa.int64())])
 
 
-def replace_pairs(symbols, starts, base, least=LEAST_COUNT):
+def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=LEAST_SAVED):
     """Re-Pair of a sequence of ids below `base`; `starts` marks the first id of each document, which no pair crosses.
 
     In each round, all pairs within a sixteenth of the most frequent are replaced, the more frequent first where two
-    overlap, and the left one where they tie. It ends when no pair is left that occurs `least` times.
+    overlap, and the left one where they tie. It ends when no pair is left that occurs `least` times, or when a round
+    saves less than the share `saved` of the symbols.
     Returns the remaining symbols, their marks, and the rules' left and right sides; rule i is symbol base + i.
     """
     symbols, starts = symbols.astype(np.uint64), starts.copy()
@@ -60,31 +62,39 @@ def replace_pairs(symbols, starts, base, least=LEAST_COUNT):
         symbols[at[keep]] = name[which[keep]]
         stays = np.ones(len(symbols), bool)
         stays[at[keep] + 1] = False
-        symbols, starts = symbols[stays], starts[stays]
+        before, symbols, starts = len(symbols), symbols[stays], starts[stays]
         left.append((found[rules] >> np.uint64(32)).astype(np.uint32))
         right.append((found[rules] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        if before - len(symbols) < saved * before:
+            break
     join = lambda x: np.concatenate(x) if x else np.zeros(0, np.uint32)
     return symbols.astype(np.uint32), starts, join(left), join(right)
 
 
-def expansion_lengths(left, right, base):
-    """Ids that each rule stands for; rules only use earlier ones."""
-    lengths = [1] * len(left)
-    for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
-        lengths[i] = (lengths[a - base] if a >= base else 1) + (lengths[b - base] if b >= base else 1)
-    return np.array(lengths, np.uint32)
-
-
-def expand(symbols, left, right, base):
-    """The ids that a stretch of symbols stands for."""
-    symbols = symbols.astype(np.uint32)
-    while (rule := symbols >= base).any():
-        ends = np.cumsum(1 + rule)
-        out = np.repeat(symbols, 1 + rule)
-        used = symbols[rule] - np.uint32(base)
-        out[ends[rule] - 2], out[ends[rule] - 1] = left[used], right[used]
-        symbols = out
-    return symbols
+def expansions(left, right, base):
+    """(flat, first, length): what each rule stands for, laid end to end; rules only use earlier ones."""
+    whole = []
+    for a, b in zip(left.tolist(), right.tolist()):
+        whole.append((whole[a - base] if a >= base else (a,)) + (whole[b - base] if b >= base else (b,)))
+    length = np.array([len(w) for w in whole], np.int64)
+    flat = np.fromiter((i for w in whole for i in w), np.uint32, int(length.sum()))
+    return flat, np.cumsum(length) - length, length
+
+
+def expand(symbols, rules, base):
+    """The ids that a stretch of symbols stands for, given the rules' expansions."""
+    flat, first, length = rules
+    rule = np.flatnonzero(symbols >= base)
+    used = symbols[rule].astype(np.int64) - base
+    sizes = np.ones(len(symbols), np.int32)
+    sizes[rule] = length[used]
+    out = np.repeat(symbols.astype(np.uint32), sizes)
+    begin = (np.cumsum(sizes, dtype=np.int64) - sizes)[rule]
+    n = length[used]
+    ahead = np.cumsum(n) - n
+    at = np.arange(int(n.sum())) - np.repeat(ahead, n)
+    out[np.repeat(begin, n) + at] = flat[np.repeat(first[used], n) + at]
+    return out
 
 
 def write_shard(doc_ids, ids, base):
@@ -101,7 +111,7 @@ def write_shard(doc_ids, ids, base):
     names = np.array([d or 0 for d in doc_ids], np.int64)
     head = HEAD.pack(MAGIC, base, len(ids), len(left), len(symbols), 2 if short else 4)
     return head + b"".join(a.tobytes() for a in (known, names, lengths, per_doc, left, right,
-                                                 expansion_lengths(left, right, base),
+                                                 expansions(left, right, base)[2].astype(np.uint32),
                                                  symbols.astype("<u2" if short else "<u4")))
 
 
@@ -126,6 +136,7 @@ class Shard:
         self.left, self.right, self.rule_lengths = (take("<u4", rules) for _ in range(3))
         self.symbols = take(f"<u{width}", symbols)
         self.first = np.cumsum(self.per_doc, dtype=np.int64) - self.per_doc
+        self.rules = expansions(self.left, self.right, self.base)
 
     def ids(self, doc, start=0, length=None):
         """Ids start to start + length of a document, expanding only the symbols that cover them."""
@@ -138,10 +149,10 @@ class Shard:
         a = int(np.searchsorted(ends, start, "right"))
         b = int(np.searchsorted(ends, start + length, "left")) + 1
         skip = start - (int(ends[a - 1]) if a else 0)
-        return expand(own[a:b], self.left, self.right, self.base)[skip:skip + length]
+        return expand(own[a:b], self.rules, self.base)[skip:skip + length]
 
     def all_ids(self):
-        return expand(self.symbols, self.left, self.right, self.base)
+        return expand(self.symbols, self.rules, self.base)
 
 
 def encode_shards(docs, tokenizer, end_id, base):
