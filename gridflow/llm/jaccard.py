@@ -26,6 +26,8 @@ SPARE, MORE = 1.15, 2
 WIDE = 2
 #: Words whose hashes a worker remembers, and candidates up to which their ids are broadcast.
 KNOWN_WORDS, BROADCAST_IDS = 400_000, 1_000_000
+#: Records of a key beyond which they are compared in blocks, and the records of a block that ask and that are asked.
+HOT, ASKING, ASKED = 64, 128, 256
 U = np.uint64
 
 
@@ -233,6 +235,51 @@ def verify(docs, pairs, classes, scratch):
     return links
 
 
+def signatures_of(sketches, records, scratch):
+    """(record, n, own): the segments' keys of some records."""
+    records = scratch.save(records, "records")
+    wanted = F.broadcast(records) if records.count() <= BROADCAST_IDS else records
+    own = sketches.select((F.col("row") * 2 + F.col("main").cast("int")).alias("record"), "n", "own")
+    return scratch.save(own.join(wanted, "record", "left_semi"), "signatures")
+
+
+def compared(members, askers, signatures):
+    """Pairs (a, b) of records of hot keys, in different components, that have as many equal segments as linked sets must
+    have. Askers and members of a key are cut into blocks, and each pair of blocks is compared in one task, so that a key
+    with very many records yields only the pairs that may link."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / ASKED).alias("to"))
+    sizes = sizes.join(askers.groupBy("key").agg(F.ceil(F.count("*") / ASKING).alias("of")), "key")
+    number = lambda n: F.pmod(F.xxhash64("record"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    told = lambda t: t.join(sizes, "key").join(signatures, "record")
+    item = ["row", "part", "n", "own"]
+    asking = told(askers).select("key", *item, F.lit(True).alias("asks"), number("of").alias("x"), every("to").alias("y"))
+    asked = told(members).select("key", *item, F.lit(False).alias("asks"), number("to").alias("y"), every("of").alias("x"))
+    blocks = asking.unionByName(asked).groupBy("key", "x", "y").agg(
+        F.collect_list(F.struct("asks", *item)).alias("members"))
+
+    def paired(batches):
+        for batch in batches:
+            a, b = [], []
+            for members in batch["members"]:
+                own = members.values
+                asks, row, part, n = (own.field(c).to_numpy(zero_copy_only=False) for c in ("asks", "row", "part", "n"))
+                lists_ = own.field("own")
+                upto = min(segments(int(n.min())), segments(int(n.max())))
+                keys_ = np.stack([np.asarray(lists_[i].values)[:upto] for i in range(len(lists_))])
+                asks = asks.astype(bool)
+                others = np.flatnonzero(~asks)
+                for i in np.flatnonzero(asks):
+                    equal = (keys_[others] == keys_[i]).sum(1)
+                    most = (100 - PERCENT) * (n[others] + n[i]) // (100 + PERCENT)
+                    near = others[(equal >= upto - most) & (part[others] != part[i])]
+                    a += np.minimum(row[near], row[i]).tolist()
+                    b += np.maximum(row[near], row[i]).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return blocks.select("members").mapInArrow(paired, "a long, b long")
+
+
 def jaccard_join(docs, scratch=None):
     """Classes of linked documents: (row, doc_id, n_shingles, component_id, kept), one row per document.
 
@@ -243,8 +290,8 @@ def jaccard_join(docs, scratch=None):
     Equal sets are one class throughout. Index entries move twice as integers: to be counted, and to meet the keys that
     at least two records have, a small rest. Large groups of near copies are not joined all with all: first each record
     that has anything to probe is compared with the best connected record that it shares many keys with, and only
-    records that this leaves in different components meet again, in full, by their probes. So pairs are few and no link
-    between components is lost.
+    records that this leaves in different components meet again by their probes, for hot keys in blocks that yield only
+    pairs with enough equal segments. So pairs are few and no link between components is lost.
     """
     spark = docs.sparkSession
     ready(spark)
@@ -266,11 +313,14 @@ def jaccard_join(docs, scratch=None):
     met = met.withColumn("row", F.expr("record div 2")).join(reps, "row")
     met = scratch.save(met, "met-reps")
     counts = met.groupBy("key").agg(F.count_distinct("row").alias("cnt")).where("cnt > 1")
-    index = scratch.save(met.join(scratch.save(counts, "counts"), "key"), "index")
+    counts = scratch.save(counts, "counts")
+    index = scratch.save(met.join(counts, "key"), "index")
     listed = scratch.save(index.groupBy("record").agg(
         F.first("row").alias("row"), F.first("n").alias("n"), F.sum("cnt").alias("degree"),
         F.collect_list(F.struct("cnt", "slot", "key")).alias("found")), "listed")
     probes = scratch.save(choose_probes(listed.select("record", "n", "found")), "probes")
+    hot = scratch.save(counts.where(F.col("cnt") > HOT).join(probes.select("key").distinct(), "key").select("key"), "hot")
+    signatures = signatures_of(sketches, index.join(hot, "key").select("record").distinct(), scratch)
     scratch.drop(sketches, met)
 
     degrees = listed.groupBy("row").agg(F.sum("degree").alias("degree"))
@@ -287,15 +337,18 @@ def jaccard_join(docs, scratch=None):
     first_links = verify(docs, near, classes, scratch)
     grouped = components(scratch, first_links)
 
-    at = index.select("key", "row").distinct().join(grouped.withColumnRenamed("node", "row"), "row", "left")
-    at = scratch.save(at.select("key", "row", F.coalesce("component", "row").alias("part")), "parts")
+    at = index.select("key", "record", "row").distinct().join(grouped.withColumnRenamed("node", "row"), "row", "left")
+    at = scratch.save(at.select("key", "record", "row", F.coalesce("component", "row").alias("part")), "parts")
     mixed = scratch.save(at.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y"))
                          .where("x <> y").select("key"), "mixed")
     inside = scratch.save(at.join(mixed, "key"), "inside")
-    asked = probes.select(F.expr("record div 2").alias("row"), "key").distinct().join(inside, ["key", "row"])
-    asked = scratch.save(asked.select("key", F.col("row").alias("r"), F.col("part").alias("p")), "asked")
-    crossing = asked.join(inside, (asked["key"] == inside["key"]) & (asked["p"] != inside["part"]))
-    rest = scratch.save(crossing.select(F.least("r", "row").alias("a"), F.greatest("r", "row").alias("b")).distinct(), "rest")
+    asked = scratch.save(probes.distinct().join(inside, ["key", "record"]), "asked")
+    few, askers = (t.join(hot, "key", "left_anti") for t in (inside, asked))
+    askers = askers.select("key", F.col("row").alias("r"), F.col("part").alias("p"))
+    crossing = askers.join(few, (askers["key"] == few["key"]) & (askers["p"] != few["part"]))
+    rest = crossing.select(F.least("r", "row").alias("a"), F.greatest("r", "row").alias("b"))
+    rest = rest.union(compared(inside.join(hot, "key"), asked.join(hot, "key"), signatures))
+    rest = scratch.save(rest.distinct(), "rest")
     more_links = verify(docs, rest.join(near, ["a", "b"], "left_anti"), classes, scratch)
     final = components(scratch, first_links.union(more_links))
 

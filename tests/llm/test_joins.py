@@ -58,9 +58,12 @@ def test_jaccard_join(spark, seed):
     assert Counter(r.component_id for r in found if r.kept) == Counter(set(wanted.values()))
 
 
-def test_jaccard_groups_of_near_copies(spark):
-    """Copies that link only through their base, copies at the limit, and a boilerplate that most texts are made of."""
-    rng = random.Random(7)
+@pytest.mark.parametrize("hot", [64, 4])
+def test_jaccard_groups_of_near_copies(spark, hot, monkeypatch):
+    """Copies that link only through their base, copies at the limit, and a boilerplate that most texts are made of; with
+    few and with many keys that count as hot."""
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    rng = random.Random(7 + hot)
     word = lambda: "".join(rng.choices("abcdefghij", k=6))
     base = [word() for _ in range(203)]
     texts = [" ".join(base)]
