@@ -84,8 +84,8 @@ class CurrentTariffs:
     A frame fixes its file list when it is made, so a long-running job has to ask again
     per micro-batch. A new drop is gated and reduced to one row per household, the last in
     the file, and that is written once per drop; if the drop is missing, unreadable or
-    refused, the newest good one before it counts. `duplicates` counts the rows left out, `bytes` is the
-    measured size of the rows that count.
+    refused, the newest good one before it counts. `duplicates` counts the rows left out,
+    `bytes` is the measured size of the rows that count.
     """
 
     def __init__(self, spark, root, schema=TARIFF, **gate_options):
