@@ -1,9 +1,11 @@
 """Near-duplicate vectors by NN-descent: a neighbour graph is refined through neighbours of neighbours, lists that are full of
-links are enlarged to their whole component, recall is audited, and the links above the threshold stay."""
+links are enlarged to their whole component, recall is audited, and the links above the threshold stay. Where the audit is
+never content, all vectors are compared."""
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from .common import Scratch, components, ready
 
@@ -11,9 +13,13 @@ from .common import Scratch, components, ready
 NEIGHBOURS, PROJECTIONS, ROUNDS = 8, 8, 2
 #: Vectors that a task compares with each other at once: in a start bucket, in a list, in a block of a component.
 BUCKET, LIST, BLOCK = 48, 32, 192
-#: Vectors whose links are counted by brute force, the recall asked for, and how often the search may be widened.
-AUDITED, LEAST_RECALL, WIDENINGS = 512, 0.97, 3
+#: Vectors without, with few and with more links found whose links are counted by brute force, and the recall asked for.
+AUDITED, LEAST_RECALL = {"none": 1024, "few": 512, "many": 512}, 0.97
+#: How often a small table's search may be widened; bytes and vectors that a pass of the comparison of all holds at once.
+WIDENINGS, PASS_BYTES, PASS_VECTORS = 3, 8 << 20, 16_384
 BITS = 24
+#: Sums of labels' vectors that a task holds.
+SUMS = 2048
 EDGES = "a long, b long, sim double"
 
 
@@ -79,28 +85,66 @@ def dealt(rows, keys, most, by):
     return rows.join(sizes, keys).withColumn("part", F.pmod(F.xxhash64(*by), F.col("parts")))
 
 
-def start_edges(nodes, seed, scratch):
-    """Edges among vectors that random projections put on the same sides. A label's buckets have as many bits as leave
-    about `BUCKET` vectors in each."""
+def start_stats(nodes, scratch):
+    """(label, dim, center, bits): the mean of a label's unit vectors, and the bits of its buckets, as many as leave about
+    `BUCKET` vectors in each."""
+    kind = nodes.schema["label"].dataType
+
+    def summed(batches):
+        sums, types = {}, None
+
+        def told():
+            keys = list(sums)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], types), pa.array([k[1] for k in keys], pa.int32()),
+                 pa.array([sums[k] for k in keys], pa.list_(pa.float64()))], names=["label", "dim", "total"])
+
+        for batch in batches:
+            types, groups = batch["label"].type, {}
+            for i, key in enumerate(zip(batch["label"].to_pylist(), batch["dim"].to_pylist())):
+                groups.setdefault(key, []).append(i)
+            for key, at in groups.items():
+                sums[key] = sums.get(key, 0) + unit(batch["embedding"].take(pa.array(at))).sum(0)
+            if len(sums) > SUMS:
+                yield told()
+                sums.clear()
+        if sums:
+            yield told()
+
+    schema = StructType([StructField("label", kind), StructField("dim", IntegerType()),
+                         StructField("total", ArrayType(DoubleType()))])
+    totals = nodes.select("label", "dim", "embedding").mapInArrow(summed, schema)
+    totals = totals.select("label", "dim", F.posexplode("total").alias("pos", "x")).groupBy("label", "dim", "pos").agg(
+        F.sum("x").alias("x"))
+    sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    centers = totals.groupBy("label", "dim").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("xs"))
+    bits = F.least(F.lit(BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / BUCKET)))).cast("int")
+    return scratch.save(centers.join(sizes, ["label", "dim"]).select(
+        "label", "dim", F.transform("xs", lambda e: e["x"] / F.col("n")).alias("center"), bits.alias("bits")), "stats")
+
+
+def start_edges(nodes, stats, seed, scratch):
+    """Edges among vectors that random projections put on the same sides of their label's mean, which would else put
+    vectors with much in common on one side altogether."""
 
     def coded(batches):
         for batch in batches:
-            x_of = batch["embedding"]
+            x_of, center_of = batch["embedding"], batch["center"]
             dims = np.array([len(v) for v in x_of])
             codes = np.zeros((len(batch), PROJECTIONS), np.int64)
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
-                x = unit(x_of.take(pa.array(at)))
+                own = pa.array(at)
+                x = unit(x_of.take(own)) - center_of.take(own).flatten().to_numpy().reshape(len(at), -1)
                 planes = np.random.default_rng([seed, dim]).normal(size=(dim, PROJECTIONS * BITS))
                 bits = (x @ planes > 0).reshape(len(at), PROJECTIONS, BITS)
                 codes[at] = bits @ (1 << np.arange(BITS)[::-1])
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], pa.array(list(codes), pa.list_(pa.int64()))], names=["id", "codes"])
 
-    codes = nodes.select("id", "embedding").mapInArrow(coded, "id long, codes array<long>")
-    codes = scratch.save(codes, "codes")
-    bits = nodes.groupBy("label", "dim").agg(F.least(F.lit(BITS), F.greatest(F.lit(0), F.ceil(
-        F.log2(F.count("*") / BUCKET)))).cast("int").alias("bits"))
+    told = nodes.join(stats.select("label", "dim", "center"), ["label", "dim"])
+    codes = scratch.save(told.select("id", "embedding", "center").mapInArrow(coded, "id long, codes array<long>"), "codes")
+    bits = stats.select("label", "dim", "bits")
     placed = nodes.select("id", "label", "dim").join(bits, ["label", "dim"]).join(codes, "id")
     placed = placed.select("id", "label", "dim", "bits", F.posexplode("codes").alias("projection", "code"))
     placed = placed.withColumn("code", F.expr(f"code div cast(pow(2, {BITS} - bits) as long)"))
@@ -167,40 +211,97 @@ def component_links(nodes, grouped, threshold):
     return links.groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def audit(nodes, links, threshold, scratch):
-    """The share of all links of some vectors that were found. At most `AUDITED` nodes, the first by a hash, are compared
-    with all others by brute force."""
-    chosen = nodes.orderBy(F.xxhash64("id"), "id").limit(AUDITED).collect()
+def by_label(rows, *more):
+    """The vectors of rows, by (label, dim): a list of their ids (and of each of `more`), and the unit vectors."""
     groups = {}
-    for row in chosen:
+    for row in rows:
         groups.setdefault((row["label"], row["dim"]), []).append(row)
-    asked = {}
-    for key, rows in groups.items():
-        asked[key] = ([r["id"] for r in rows], unit(pa.array([r["embedding"] for r in rows])))
+    return {key: (*([r[c] for r in own] for c in ("id", *more)), unit(pa.array([r["embedding"] for r in own])))
+            for key, own in groups.items()}
+
+
+def met(batch, asked):
+    """Those of the groups of `asked` that a batch has vectors of: (group, where they are in the batch, cosines)."""
+    groups = {}
+    for i, key in enumerate(zip(batch["label"].to_pylist(), batch["dim"].to_pylist())):
+        if key in asked:
+            groups.setdefault(key, []).append(i)
+    for key, at in groups.items():
+        at = pa.array(at)
+        yield asked[key], at, asked[key][-1] @ unit(batch["embedding"].take(at)).T
+
+
+def audit(nodes, links, threshold, scratch):
+    """The mean share of its links that was found of a node that has any; the lower one of those of nodes with up to
+    `NEIGHBOURS` distinct links and of those with more, so that large groups do not hide what small ones lost.
+
+    At most `AUDITED` nodes of each kind (with no, few and more links found), the first by a hash, are compared with all
+    others by brute force, and stand for their kind.
+    """
+    kind = F.when(F.coalesce("links", F.lit(0)) == 0, "none").when(F.col("links") <= NEIGHBOURS, "few").otherwise("many")
+    kinds = scratch.save(nodes.select("id").join(links, "id", "left").select(
+        "id", F.coalesce("links", F.lit(0)).alias("links"), kind.alias("kind")), "kinds")
+    sizes = {r["kind"]: r["count"] for r in kinds.groupBy("kind").count().collect()}
+    ids = {}
+    for name in sizes:
+        drawn = kinds.where(F.col("kind") == name).orderBy(F.xxhash64("id"), "id").limit(AUDITED[name]).collect()
+        ids |= {r["id"]: (r["links"], sizes[name] / len(drawn)) for r in drawn}
+    chosen = nodes.sparkSession.createDataFrame([(i,) for i in ids], "id long")
+    asked = by_label(nodes.join(F.broadcast(chosen), "id", "left_semi").collect())
 
     def counted(batches):
         sums = {}
         for batch in batches:
-            labels, dims = batch["label"].to_pylist(), batch["dim"].to_pylist()
-            groups = {}
-            for i, key in enumerate(zip(labels, dims)):
-                if key in asked:
-                    groups.setdefault(key, []).append(i)
-            for key, at in groups.items():
-                names, x = asked[key]
-                at = pa.array(at)
+            for (names, _), at, cosines in met(batch, asked):
                 ids = batch["id"].take(at).to_numpy()
-                near = (x @ unit(batch["embedding"].take(at)).T >= threshold) & (np.array(names)[:, None] != ids[None, :])
-                for name, n in zip(names, (near @ batch["copies"].take(at).to_numpy()).tolist()):
-                    sums[name] = sums.get(name, 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())],
-                                         names=["id", "actual"])
-
-    true = nodes.select("id", "label", "dim", "embedding", "copies").mapInArrow(counted, "id long, actual long")
-    true = scratch.save(true.groupBy("id").agg(F.sum("actual").alias("actual")).where("actual > 0"), "true")
-    both = true.join(links, "id", "left").agg(F.sum("actual").alias("all"),
-                                              F.sum(F.least("actual", F.coalesce("links", F.lit(0)))).alias("found")).first()
-    return (both["found"] or 0) / both["all"] if both["all"] else 1.0
+                near = (cosines >= threshold) & (np.array(names)[:, None] != ids[None, :])
+                copies = batch["copies"].take(at).to_numpy()
+                for name, n, distinct in zip(names, (near @ copies).tolist(), near.sum(1).tolist()):
+                    if distinct:
+                        before = sums.get(name, (0, 0))
+                        sums[name] = before[0] + n, before[1] + distinct
+        actual, distinct = ([s[i] for s in sums.values()] for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(sums), actual, distinct)],
+                                         names=["id", "actual", "others"])
+
+    true = nodes.select("id", "label", "dim", "embedding", "copies").mapInArrow(counted, "id long, actual long, others long")
+    true = true.groupBy("id").agg(F.sum("actual").alias("actual"), F.sum("others").alias("others")).collect()
+    shares = []
+    for chosen in ([r for r in true if r["others"] <= NEIGHBOURS], [r for r in true if r["others"] > NEIGHBOURS]):
+        weights = [ids[r["id"]][1] for r in chosen]
+        found = [min(ids[r["id"]][0] / r["actual"], 1) for r in chosen]
+        shares.append(float(np.average(found, weights=weights)) if chosen else 1.0)
+    return min(shares)
+
+
+def lost_links(nodes, grouped, threshold, passes, scratch):
+    """Links (a, b) between components, named by them, that joining all vectors with all others finds: in each pass, a
+    part of the vectors is sent to all tasks. Links inside components are counted anyway and left out."""
+    part = F.pmod(F.xxhash64("id"), F.lit(passes))
+    told = scratch.save(nodes.join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "label", "dim", "embedding", F.coalesce("component", "id").alias("component"), part.alias("part")), "told")
+    context, found = nodes.sparkSession.sparkContext, []
+    for number in range(passes):
+        asked = context.broadcast(by_label(told.where(F.col("part") == number).collect(), "component"))
+
+        def crossing(batches, asked=asked):
+            for batch in batches:
+                pairs = [np.zeros((0, 2), np.int64)]
+                for (_, own, _), at, cosines in met(batch, asked.value):
+                    own, other = np.array(own), batch["component"].take(at).to_numpy()
+                    x, y = np.nonzero(cosines >= threshold)
+                    x, y = own[x], other[y]
+                    pairs.append(np.column_stack([x, y])[x < y])
+                pairs = np.unique(np.concatenate(pairs), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        links = told.select("label", "dim", "embedding", "component").mapInArrow(crossing, "a long, b long")
+        found.append(scratch.save(links.distinct(), "lost"))
+        asked.destroy()
+    links = found[0]
+    for more in found[1:]:
+        links = links.union(more)
+    return links
 
 
 def near_vectors(vectors, threshold=0.93, scratch=None):
@@ -214,14 +315,18 @@ def near_vectors(vectors, threshold=0.93, scratch=None):
     Equal vectors are one node. The graph starts from random projections, whose hot buckets are cut into parts, and is
     refined twice. Hubs' lists are cut the same way. Where lists are full of links, and wherever links exist at all, all
     pairs inside a component are counted in blocks. The audit widens the start, with further projections, until recall is
-    reached. Returns the rows and the audited recall.
+    reached. Where that takes more widenings than a comparison of all vectors takes passes, that is made, and nothing is
+    lost. Returns the rows and the audited recall (1 after a comparison of all).
     """
     ready(vectors.sparkSession)
     scratch = scratch or Scratch(vectors.sparkSession, "vectors")
     rows, good, nodes = nodes_of(vectors, scratch)
+    stats = start_stats(nodes, scratch)
+    size = nodes.agg(F.count("*").alias("n"), F.coalesce(F.sum("dim"), F.lit(0)).alias("numbers")).first()
+    passes = max(1, -(-size["n"] // PASS_VECTORS), -(-8 * size["numbers"] // PASS_BYTES))
     graph, recall = None, 0.0
-    for seed in range(WIDENINGS):
-        edges = start_edges(nodes, seed, scratch)
+    for seed in range(max(WIDENINGS, passes)):
+        edges = start_edges(nodes, stats, seed, scratch)
         if graph is not None:
             edges = edges.union(graph.select("a", F.explode("found").alias("e")).select(
                 "a", F.col("e.b").alias("b"), F.col("e.sim").alias("sim")))
@@ -229,11 +334,15 @@ def near_vectors(vectors, threshold=0.93, scratch=None):
         for _ in range(ROUNDS):
             graph = refine(nodes, graph, scratch)
         links = graph.select("a", F.explode("found").alias("e")).where(F.col("e.sim") >= threshold)
-        grouped = components(scratch, links.select("a", F.col("e.b").alias("b")))
+        links = links.select("a", F.col("e.b").alias("b"))
+        grouped = components(scratch, links)
         counts = scratch.save(component_links(nodes, grouped, threshold), "counts")
         recall = audit(nodes, counts, threshold, scratch)
         if recall >= LEAST_RECALL:
             break
+    else:
+        grouped = components(scratch, links.union(lost_links(nodes, grouped, threshold, passes, scratch)))
+        counts, recall = scratch.save(component_links(nodes, grouped, threshold), "counts"), 1.0
 
     ids = scratch.save(nodes.join(counts, "id", "left").join(grouped.withColumnRenamed("node", "id"), "id", "left").select(
         "label", "embedding", "id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),

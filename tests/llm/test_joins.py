@@ -175,3 +175,50 @@ def test_vectors_of_odd_tables(spark):
     found = nndescent.near_vectors(vectors(spark, rows))[0].collect()
     assert sorted((r.n_links, r.component_id) for r in found) == [(0, 3), (2, 2), (2, 2), (2, 2)]
     assert nndescent.near_vectors(vectors(spark, rows[:0]))[0].isEmpty()
+
+
+def pairs_and_others(rng, pairs, others, mean, noise):
+    """Unit vectors around a common mean: pairs (2 i, 2 i + 1) that link and others."""
+    x = rng.normal(size=(pairs, 32))
+    y = x + rng.normal(size=(pairs, 32)) * noise
+    z = np.concatenate([np.stack([x, y], 1).reshape(-1, 32), rng.normal(size=(others, 32))]) + mean
+    return z / np.linalg.norm(z, axis=1, keepdims=True)
+
+
+def found_pairs(spark, x, pairs):
+    rows = [(i, v, 1, "x") for i, v in enumerate(np.float32(x).tolist())]
+    found, recall = nndescent.near_vectors(vectors(spark, rows))
+    at = {r.vec_id: r.component_id for r in found.collect()}
+    true = [i for i in range(pairs) if x[2 * i] @ x[2 * i + 1] >= 0.931]
+    assert len(true) > pairs / 2
+    return np.mean([at[2 * i] == at[2 * i + 1] for i in true]), recall
+
+
+def test_audit_sees_small_groups(spark):
+    """A group of near copies with all its links, and pairs that were all lost."""
+    rng = np.random.default_rng(5)
+    x = pairs_and_others(rng, 100, 100, 0, 0.1)
+    group = x[-1] + rng.normal(size=(600, 32)) * 0.001
+    x = np.concatenate([x, group / np.linalg.norm(group, axis=1, keepdims=True)])
+    rows = [(i, v, 1, "x") for i, v in enumerate(np.float32(x).tolist())]
+    scratch = Scratch(spark, "t")
+    _, _, nodes = nndescent.nodes_of(vectors(spark, rows), scratch)
+    large = nodes.join(spark.createDataFrame([(v,) for _, v, _, _ in rows[299:]], "embedding array<float>"), "embedding")
+    links = scratch.save(large.select("id", F.lit(600).cast("long").alias("links")), "links")
+    assert nndescent.audit(nodes, links, 0.93, scratch) < 0.5
+
+
+def test_vectors_with_a_common_mean(spark):
+    """Vectors that are mostly alike (a cosine of about 0.6) are found like others."""
+    share, recall = found_pairs(spark, pairs_and_others(np.random.default_rng(6), 400, 5000, 1.2, 0.2), 400)
+    assert share >= 0.97 and recall >= nndescent.LEAST_RECALL
+
+
+def test_all_vectors_are_compared_where_the_search_loses_links(spark, monkeypatch):
+    """A search that hardly finds anything is finished by a comparison of all, in several passes."""
+    for name, value in (("WIDENINGS", 1), ("PROJECTIONS", 1), ("ROUNDS", 0), ("BUCKET", 2)):
+        monkeypatch.setattr(nndescent, name, value)
+    monkeypatch.setattr(nndescent, "PASS_VECTORS", 700, raising=False)
+    monkeypatch.setattr(nndescent, "LEAST_RECALL", 1.1)
+    share, recall = found_pairs(spark, pairs_and_others(np.random.default_rng(7), 300, 1500, 0, 0.25), 300)
+    assert share == 1 and recall == 1
