@@ -8,6 +8,9 @@ from gridflow.llm import blocks, jaccard, packing, secrets, toxicity
 from gridflow.llm.common import Scratch, without
 from gridflow.llm.tokens import default_path
 
+#: Words of a shingle and the percent of near copies; op6 has its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def drop_toxic(spark, docs, sf_dir):
     """Documents that the classifier chain, trained on the labels, does not call toxic."""
@@ -23,9 +26,10 @@ def drop_copies(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document, that with the smallest doc_id, of each class linked by a Jaccard similarity of 0.85."""
+    """One document, that with the smallest doc_id, of each class linked by a Jaccard similarity of 0.8 on
+    shingles of five words."""
     scratch = Scratch(spark, "near-copies")
-    found = jaccard.jaccard_join(docs, scratch)
+    found = jaccard.jaccard_join(docs, scratch, NEAR_WORDS, NEAR_PERCENT)
     return without(docs, scratch.save(found.where("not kept and doc_id <> component_id").select("doc_id"), "gone"))
 
 

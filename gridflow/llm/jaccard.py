@@ -9,6 +9,7 @@ content that no other record has costs nothing.
 """
 
 from bisect import bisect_right
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, components, ready, texts_of
 
-#: Words of a shingle; two documents link when 100 * intersection >= PERCENT * union.
+#: Words of a shingle, and the percent at which two documents link (100 * intersection >= percent * union), where the
+#: caller does not say.
 WORDS, PERCENT = 4, 85
 #: Segments beyond the least number, as a factor and a sum, which give a record some choice.
 SPARE, MORE = 1.15, 2
@@ -41,8 +43,8 @@ def mix(x):
 class Shingler:
     """Texts to sorted distinct shingle hashes."""
 
-    def __init__(self):
-        self.known = {}
+    def __init__(self, words=WORDS):
+        self.known, self.words = {}, words
 
     def hashes(self, text):
         """A-Z are lower-cased and white space is ASCII; with too few words the whole sequence is one shingle."""
@@ -53,7 +55,7 @@ class Shingler:
         for word in set(words).difference(known):
             known[word] = xxhash.xxh3_64_intdigest(word)
         w = np.fromiter(map(known.__getitem__, words), U, len(words))
-        size = min(WORDS, len(w))
+        size = min(self.words, len(w))
         if not size:
             return w
         total = np.full(len(w) - size + 1, size, U)
@@ -68,46 +70,44 @@ def digest(shingles):
     return np.frombuffer(both, "<i8").tolist()
 
 
-def most_different(n):
+def most_different(n, percent=PERCENT):
     """h(n): in how many shingles a set of n and a linked one of at least n can differ."""
-    return (100 - PERCENT) * (n + 100 * n // PERCENT) // (100 + PERCENT)
+    return (100 - percent) * (n + 100 * n // percent) // (100 + percent)
 
 
-def segments(n):
+def segments(n, percent=PERCENT):
     """Segments that give a set of n shingles its choice; for the largest size of a band, the band's segments."""
-    return int(SPARE * (most_different(n) + 1)) + MORE
+    return int(SPARE * (most_different(n, percent) + 1)) + MORE
 
 
-def shared_least(n):
+def shared_least(n, percent=PERCENT):
     """The same as a column: of its segments, how many a set of n shingles shares with a linked larger one at least."""
-    most = F.floor((100 - PERCENT) * (n + F.floor(100 * n / PERCENT)) / (100 + PERCENT))
+    most = F.floor((100 - percent) * (n + F.floor(100 * n / percent)) / (100 + percent))
     return F.floor(SPARE * (most + 1)) + MORE - most
 
 
-def limits():
+@cache
+def limits(percent=PERCENT):
     """The smallest size of each band: so that a linked set lies in the same band or a neighbouring one."""
     out = [1]
     while out[-1] < 1 << 40:
-        out.append(100 * out[-1] // PERCENT + 1)
+        out.append(100 * out[-1] // percent + 1)
     return out
 
 
-LIMITS = limits()
-
-
-def bands(n):
+def bands(n, percent=PERCENT):
     """The band of a size, and the next if a linked larger set can lie in it."""
-    own = bisect_right(LIMITS, n) - 1
-    return [own, own + 1] if 100 * n // PERCENT >= LIMITS[own + 1] else [own]
+    own = bisect_right(limits(percent), n) - 1
+    return [own, own + 1] if 100 * n // percent >= limits(percent)[own + 1] else [own]
 
 
-def largest(band):
-    return LIMITS[band + 1] - 1
+def largest(band, percent=PERCENT):
+    return limits(percent)[band + 1] - 1
 
 
-def keys(shingles, band):
+def keys(shingles, band, percent=PERCENT):
     """Index keys of a set in a band: one per segment of its first K(n), and the neighbourhoods of the wide ones."""
-    count, upto = segments(largest(band)), segments(len(shingles))
+    count, upto = segments(largest(band, percent), percent), segments(len(shingles), percent)
     spread = mix(shingles + U(band + 1))
     place = ((spread >> U(33)) % U(count)).astype(np.int64)
     inside = place < upto
@@ -132,21 +132,21 @@ def lists(values, kind):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def sketch(docs):
+def sketch(docs, words, percent):
     """One row per document, and a second, not `main`, per document that a second band concerns:
     (row, main, doc_id, n, d1, d2, own, wide0, wide1). Sets that can only link with equal ones have no keys."""
 
     def sketched(batches):
-        shingler, part, made = Shingler(), TaskContext.get().partitionId() << 33, 0
+        shingler, part, made = Shingler(words), TaskContext.get().partitionId() << 33, 0
         for batch in batches:
             rows, own, wide = [], [], [[], []]
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 s = shingler.hashes(text)
                 d1, d2 = digest(s)
-                of = bands(len(s)) if len(s) and most_different(len(s)) else [None]
+                of = bands(len(s), percent) if len(s) and most_different(len(s), percent) else [None]
                 for i, band in enumerate(of):
                     empty = np.zeros(0, np.int64)
-                    k, near = (empty, [empty] * WIDE) if band is None else keys(s, band)
+                    k, near = (empty, [empty] * WIDE) if band is None else keys(s, band, percent)
                     rows.append((part + made, i == 0, doc_id, len(s), d1, d2))
                     own.append(k)
                     for column, x in zip(wide, near):
@@ -171,7 +171,7 @@ def entries(sketches):
     return sketches.select(record, F.inline(F.concat(own, *near)))
 
 
-def choose_probes(listed):
+def choose_probes(listed, percent):
     """(record, key) to probe: for each record (record, n, entries of shared keys), its cheapest allocation."""
 
     def chosen(batches):
@@ -179,8 +179,8 @@ def choose_probes(listed):
             out_record, out_key = [], []
             for record, n, found in zip(*(batch[c].to_pylist() for c in ("record", "n", "found"))):
                 own = sorted((e["cnt"], e["slot"], e["key"]) for e in found if e["slot"] >= 0)
-                upto = segments(n)
-                left = most_different(n) + 1 - (upto - len(own))
+                upto = segments(n, percent)
+                left = most_different(n, percent) + 1 - (upto - len(own))
                 if left <= 0:
                     continue
                 cost_of = {slot: cnt for cnt, slot, _ in own}
@@ -198,7 +198,7 @@ def choose_probes(listed):
     return listed.mapInArrow(chosen, "record long, key long")
 
 
-def verify(docs, pairs, classes, scratch):
+def verify(docs, pairs, classes, scratch, words, percent):
     """Those of the pairs (a, b) of classes whose sets link. Only the candidates' texts are shingled again."""
     ids = scratch.save(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
                        .join(classes, "rep").select("rep", "doc_id", "d1", "d2"), "candidates")
@@ -207,7 +207,7 @@ def verify(docs, pairs, classes, scratch):
         wanted = F.broadcast(wanted)
 
     def shingled(batches):
-        shingler = Shingler()
+        shingler = Shingler(words)
         for batch in batches:
             sets = [shingler.hashes(t) for t in batch["text"].to_pylist()]
             both = [digest(s) for s in sets]
@@ -221,7 +221,7 @@ def verify(docs, pairs, classes, scratch):
             for x, y in zip(batch["left"], batch["right"]):
                 x, y = (np.frombuffer(v.as_buffer(), U) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     texts = texts_of(docs, "doc_id").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
@@ -243,7 +243,7 @@ def signatures_of(sketches, records, scratch):
     return scratch.save(own.join(wanted, "record", "left_semi"), "signatures")
 
 
-def compared(members, askers, signatures):
+def compared(members, askers, signatures, percent):
     """Pairs (a, b) of records of hot keys, in different components, that have as many equal segments as linked sets must
     have. Askers and members of a key are cut into blocks, and each pair of blocks is compared in one task, so that a key
     with very many records yields only the pairs that may link."""
@@ -265,13 +265,13 @@ def compared(members, askers, signatures):
                 own = members.values
                 asks, row, part, n = (own.field(c).to_numpy(zero_copy_only=False) for c in ("asks", "row", "part", "n"))
                 lists_ = own.field("own")
-                upto = min(segments(int(n.min())), segments(int(n.max())))
+                upto = min(segments(int(n.min()), percent), segments(int(n.max()), percent))
                 keys_ = np.stack([np.asarray(lists_[i].values)[:upto] for i in range(len(lists_))])
                 asks = asks.astype(bool)
                 others = np.flatnonzero(~asks)
                 for i in np.flatnonzero(asks):
                     equal = (keys_[others] == keys_[i]).sum(1)
-                    most = (100 - PERCENT) * (n[others] + n[i]) // (100 + PERCENT)
+                    most = (100 - percent) * (n[others] + n[i]) // (100 + percent)
                     near = others[(equal >= upto - most) & (part[others] != part[i])]
                     a += np.minimum(row[near], row[i]).tolist()
                     b += np.maximum(row[near], row[i]).tolist()
@@ -280,8 +280,9 @@ def compared(members, askers, signatures):
     return blocks.select("members").mapInArrow(paired, "a long, b long")
 
 
-def jaccard_join(docs, scratch=None):
-    """Classes of linked documents: (row, doc_id, n_shingles, component_id, kept), one row per document.
+def jaccard_join(docs, scratch=None, words=WORDS, percent=PERCENT):
+    """Classes of linked documents: (row, doc_id, n_shingles, component_id, kept), one row per document. Documents link
+    when their sets of shingles of so many words have a Jaccard similarity of so many percent or more.
 
     component_id is the smallest doc_id reachable by links, kept marks the first row that has it. Null and empty texts,
     and texts of white space, have no shingles and link with nothing; equal sets of one shingle or more always link;
@@ -296,7 +297,7 @@ def jaccard_join(docs, scratch=None):
     spark = docs.sparkSession
     ready(spark)
     scratch = scratch or Scratch(spark, "jaccard")
-    sketches = scratch.save(sketch(docs), "sketches")
+    sketches = scratch.save(sketch(docs, words, percent), "sketches")
     main = sketches.where("main").select("row", "doc_id", "n", "d1", "d2")
     classes = scratch.save(main.where("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(F.struct("row", "doc_id")).alias("first"), F.count("*").alias("rows"))
@@ -318,7 +319,7 @@ def jaccard_join(docs, scratch=None):
     listed = scratch.save(index.groupBy("record").agg(
         F.first("row").alias("row"), F.first("n").alias("n"), F.sum("cnt").alias("degree"),
         F.collect_list(F.struct("cnt", "slot", "key")).alias("found")), "listed")
-    probes = scratch.save(choose_probes(listed.select("record", "n", "found")), "probes")
+    probes = scratch.save(choose_probes(listed.select("record", "n", "found"), percent), "probes")
     hot = scratch.save(counts.where(F.col("cnt") > HOT).join(probes.select("key").distinct(), "key").select("key"), "hot")
     signatures = signatures_of(sketches, index.join(hot, "key").select("record").distinct(), scratch)
     scratch.drop(sketches, met)
@@ -328,13 +329,13 @@ def jaccard_join(docs, scratch=None):
     centers = scratch.save(keyed.join(degrees, "row").groupBy("key").agg(
         F.max(F.struct("degree", "row"))["row"].alias("center")), "centers")
     probing = probes.select(F.expr("record div 2").alias("row")).distinct().join(reps, "row")
-    probing = scratch.save(probing.select("row", (shared_least(F.col("n")) / 2).alias("least")), "probing")
+    probing = scratch.save(probing.select("row", (shared_least(F.col("n"), percent) / 2).alias("least")), "probing")
     tried = keyed.join(probing, "row").join(centers, "key").where("row <> center").groupBy("row", "center").agg(
         F.count("*").alias("times"), F.first("least").alias("least")).where("times >= least")
     favourite = tried.groupBy("row").agg(F.max(F.struct("times", "center"))["center"].alias("center"))
     near = scratch.save(favourite.select(F.least("row", "center").alias("a"), F.greatest("row", "center").alias("b"))
                         .distinct(), "near")
-    first_links = verify(docs, near, classes, scratch)
+    first_links = verify(docs, near, classes, scratch, words, percent)
     grouped = components(scratch, first_links)
 
     at = index.select("key", "record", "row").distinct().join(grouped.withColumnRenamed("node", "row"), "row", "left")
@@ -347,9 +348,9 @@ def jaccard_join(docs, scratch=None):
     askers = askers.select("key", F.col("row").alias("r"), F.col("part").alias("p"))
     crossing = askers.join(few, (askers["key"] == few["key"]) & (askers["p"] != few["part"]))
     rest = crossing.select(F.least("r", "row").alias("a"), F.greatest("r", "row").alias("b"))
-    rest = rest.union(compared(inside.join(hot, "key"), asked.join(hot, "key"), signatures))
+    rest = rest.union(compared(inside.join(hot, "key"), asked.join(hot, "key"), signatures, percent))
     rest = scratch.save(rest.distinct(), "rest")
-    more_links = verify(docs, rest.join(near, ["a", "b"], "left_anti"), classes, scratch)
+    more_links = verify(docs, rest.join(near, ["a", "b"], "left_anti"), classes, scratch, words, percent)
     final = components(scratch, first_links.union(more_links))
 
     own = members.join(final.withColumnRenamed("node", "rep"), "rep", "left")

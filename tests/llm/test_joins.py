@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gridflow.llm import blocks, jaccard, nndescent, shuffling
 from gridflow.llm.common import Scratch, components
 from .llm_corpus import SHARED, corpus
-from .llm_plain import copies, joined, near
+from .llm_plain import LOWER, copies, joined, near
 
 @pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
 def test_components(spark, shape):
@@ -222,3 +222,46 @@ def test_all_vectors_are_compared_where_the_search_loses_links(spark, monkeypatc
     monkeypatch.setattr(nndescent, "LEAST_RECALL", 1.1)
     share, recall = found_pairs(spark, pairs_and_others(np.random.default_rng(7), 300, 1500, 0, 0.25), 300)
     assert share == 1 and recall == 1
+
+
+def linked_by(texts, words, percent):
+    """The smallest number that each text reaches, by brute force."""
+    split = [t.translate(LOWER).split() for t in texts]
+    sets = [frozenset(tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))) for w in split]
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2)
+             if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    return joined(pairs, range(len(texts)))
+
+
+def at_the_limit(rng):
+    """Texts whose near copies have five-word similarities around 0.8, and unrelated ones."""
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = corpus(11, 200)
+    for n in (20, 47, 100, 200, 300):
+        for _ in range(4):
+            base = [word() for _ in range(n)]
+            texts += [" ".join(base), " ".join(base + [word() for _ in range(int(n * rng.uniform(0.14, 0.28)))])]
+            changed = list(base)
+            for at in rng.sample(range(n), -(-n // rng.choice([40, 47, 55]))):
+                changed[at] = word()
+            texts.append(" ".join(changed))
+    return texts
+
+
+@pytest.mark.parametrize("hot", [64, 4])
+@pytest.mark.parametrize("words,percent", [(5, 80)])
+def test_jaccard_join_by_other_words_and_percent(spark, words, percent, hot, monkeypatch):
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    texts = at_the_limit(random.Random(12))
+    found = jaccard.jaccard_join(frame_of(spark, texts), words=words, percent=percent).collect()
+    assert {r.doc_id: r.component_id for r in found} == linked_by(texts, words, percent)
+
+
+def test_near_copies_of_the_pipeline(spark):
+    """The stage links at 0.8 on five words, not at op6's 0.85 on four."""
+    import corpus_pipeline
+    texts = at_the_limit(random.Random(13))
+    wanted = linked_by(texts, 5, 80)
+    assert wanted != linked_by(texts, 4, 85)
+    out = corpus_pipeline.drop_near_copies(spark, frame_of(spark, texts), None)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(set(wanted.values()))
