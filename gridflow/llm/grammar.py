@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from .common import ready, rows_out, texts_of
 from .tokens import encoder
 
-#: Tokens of a shard, at which it is closed; a pair becomes a rule if it is found this often; the share of all symbols
-#: that a round must save for another one to follow.
-SHARD_TOKENS, LEAST_COUNT, LEAST_SAVED = 2_000_000, 32, 1 / 250
+#: Tokens of a shard, at which it is closed; a pair becomes a rule if it is found this often.
+SHARD_TOKENS, LEAST_COUNT = 2_000_000, 32
 MAGIC = b"REPAIR01"
 HEAD = struct.Struct("<8s5Q")
 SHARDS = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()),
@@ -24,20 +23,23 @@ READ = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("in_shard", pa
                   ("ids_crc32", pa.int64())])
 
 
-def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=LEAST_SAVED):
+def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=0):
     """Re-Pair of a sequence of ids below `base`; `starts` marks the first id of each document, which no pair crosses.
 
     In each round, all pairs within a sixteenth of the most frequent are replaced, the more frequent first where two
-    overlap, and the left one where they tie. It ends when no pair is left that occurs `least` times, or when a round
-    saves less than the share `saved` of the symbols.
+    overlap, and in a run of one id every other one. Pairs that cannot be replaced, as their places go to others, are
+    left out until the symbols change. It ends when no other pair is left that occurs `least` times,
+    or, if asked to, when a round saves less than the share `saved` of the symbols.
     Returns the remaining symbols, their marks, and the rules' left and right sides; rule i is symbol base + i.
     """
     symbols, starts = symbols.astype(np.uint64), starts.copy()
-    left, right, bits = [], [], 18
+    left, right, bits, barred = [], [], 18, np.zeros(0, np.uint64)
     while len(symbols) > 1:
         pairs = (symbols[:-1] << np.uint64(32)) | symbols[1:]
         bins = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
         bins[starts[1:]] = 1 << bits
+        if len(barred):
+            bins[np.isin(pairs, barred)] = 1 << bits
         sums = np.bincount(bins, minlength=(1 << bits) + 1)
         sums[-1] = 0
         least_now = max(least, int(sums.max()) // 16)
@@ -48,24 +50,29 @@ def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=LEAST_SAVED):
         if counts.max() < least_now and least_now > least:
             least_now = max(least, int(counts.max()) // 2)
         weight = np.zeros(len(symbols) + 1, np.int64)
-        weight[at + 1] = np.where(counts[which] >= least_now, counts[which], 0)
-        own = weight[at + 1]
-        after = np.append(weight, 0)[at + 2]
-        keep = (own > 0) & (own > weight[at]) & (own >= after)
+        weight[at + 1] = np.where(counts[which] >= least_now, counts[which] * len(found) + which, 0)
+        own, before = weight[at + 1], weight[at]
+        place = np.arange(len(at))
+        first = np.maximum.accumulate(np.where(own != before, place, 0))
+        even = (place - first + (before[first] > own)) % 2 == 0
+        keep = (own > 0) & even & (own >= np.append(weight, 0)[at + 2])
         made = np.bincount(which[keep], minlength=len(found))
         rules = np.flatnonzero(made >= max(2, least // 2))
         if not len(rules):
-            break
+            tried = counts >= least_now
+            barred = np.append(barred, found[tried] if tried.any() else found)
+            continue
+        barred = barred[:0]
         name = np.zeros(len(found), np.uint64)
         name[rules] = base + sum(map(len, left)) + np.arange(len(rules), dtype=np.uint64)
         keep &= name[which] > 0
         symbols[at[keep]] = name[which[keep]]
         stays = np.ones(len(symbols), bool)
         stays[at[keep] + 1] = False
-        before, symbols, starts = len(symbols), symbols[stays], starts[stays]
+        size, symbols, starts = len(symbols), symbols[stays], starts[stays]
         left.append((found[rules] >> np.uint64(32)).astype(np.uint32))
         right.append((found[rules] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-        if before - len(symbols) < saved * before:
+        if size - len(symbols) < saved * size:
             break
     join = lambda x: np.concatenate(x) if x else np.zeros(0, np.uint32)
     return symbols.astype(np.uint32), starts, join(left), join(right)

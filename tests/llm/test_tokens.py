@@ -169,3 +169,14 @@ def test_cuts_end_between_characters(text):
     raw = text.encode()
     for part in zip([0, *chunks.cut_places([raw])[0]], chunks.cut_places([raw])[0]):
         raw[slice(*part)].decode()
+
+
+def test_repair_of_runs_and_of_all_frequent_pairs():
+    """A long run of one id does not end the grammar, and no pair that could still be replaced is left."""
+    rng = np.random.default_rng(4)
+    own = np.concatenate([np.full(4000, 7), np.tile([1, 2, 3], 60), rng.integers(10, 5000, 40_000)]).astype(np.uint32)
+    starts = np.zeros(len(own), bool)
+    starts[[0, 4000, 4180]] = True
+    symbols, marks, left, right = grammar.replace_pairs(own, starts, 5000)
+    assert (grammar.expand(symbols, grammar.expansions(left, right, 5000), 5000) == own).all() and marks.sum() == 3
+    assert np.flatnonzero(marks)[1] < 100 and np.flatnonzero(marks)[2] - np.flatnonzero(marks)[1] < 100
