@@ -118,7 +118,8 @@ def cut_of(p, y):
 
 def train(docs, labels, sample=SAMPLE, scratch=None):
     """A scorer from a bounded sample of labelled documents. Labels are (doc_id, quality, toxic); a null label counts as
-    not toxic or not junk, and of several rows for a document the largest toxic and smallest quality count."""
+    not toxic or not junk, and of several rows for a document the largest toxic and smallest quality count. Of several
+    documents that share a doc_id one is in the sample, the first by a hash of its text."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "toxicity")
     ready(spark)
@@ -127,7 +128,9 @@ def train(docs, labels, sample=SAMPLE, scratch=None):
         F.max(F.coalesce((F.col("quality") == 0).cast("int"), F.lit(0))).alias("junk"))
     chosen = flags.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    seen = scratch.save(texts_of(joined, "doc_id", "toxic", "junk"), "samples")
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")
+    seen = texts_of(joined, "doc_id", "toxic", "junk").groupBy("doc_id", "toxic", "junk").agg(first)
+    seen = scratch.save(seen.select("doc_id", "toxic", "junk", "text"), "samples")
     sums = seen.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"), F.sum("junk").alias("junk")).first()
 
     def named(batches):

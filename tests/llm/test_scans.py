@@ -216,3 +216,11 @@ def test_toxicity_of_odd_tables(spark, odd_docs, no_docs):
     assert not toxicity.flag(odd_docs, none).where("toxic").count() and toxicity.flag(no_docs, none).isEmpty()
     nulls = spark.createDataFrame([(None, None, None), (4, None, None), (4, None, 1)], labels.schema)
     assert toxicity.flag(odd_docs, toxicity.train(odd_docs, nulls)).count() == odd_docs.count()
+
+
+def test_a_shared_doc_id_is_one_row_of_the_sample(spark):
+    """Documents that share a labelled doc_id do not all reach the driver."""
+    docs = spark.createDataFrame([(1, f"text {k} of many") for k in range(300)] + [(k, f"own {k}") for k in range(2, 9)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(1, 9)], "doc_id long, quality int, toxic int")
+    assert len(toxicity.train(docs, labels).chain.held) == 8
