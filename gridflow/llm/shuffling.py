@@ -4,7 +4,7 @@ Fisher-Yates shuffle and is written. Shards are equal stretches of the buckets l
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import BROADCAST_IDS, Scratch
 
 #: Bytes of texts in a bucket, which one task holds in memory; buckets for each shard at least; buckets at most.
 BUCKET_BYTES, PER_SHARD, MOST_BUCKETS = 32 << 20, 4, 1 << 20
@@ -14,10 +14,11 @@ def external_shuffle(docs, shards, seed=7, bucket_bytes=BUCKET_BYTES, scratch=No
     """All records in random order, dealt to shards whose counts differ by one at most: (record, shard, slot, bucket).
 
     `record` is a struct of all columns of docs, so no name can clash. slot counts from 0 in each shard. The bucket is a
-    seeded hash of doc_id and text: null ids and equal texts under different ids scatter like any others, and only rows
-    equal in both share a bucket. Null and empty texts are records like others; an empty table gives no rows.
+    seeded hash of doc_id and text: null ids and equal texts under different ids scatter like any others. Rows equal in
+    both are written with a row number that goes into the hash, so they scatter too. Null and empty texts are records like others; an empty table gives no rows.
 
-    The first pass sends every record to its bucket, the only time that texts are shuffled. In the second a task sorts
+    The first pass sends every record to its bucket, the only time that texts are shuffled (those of rows equal in both
+    are written once before; a number that a rerun of a task might give anew would lose rows). In the second a task sorts
     its bucket by another hash, so that a rerun starts from the same order, and applies Spark's `shuffle`, a seeded
     Fisher-Yates. The written buckets are the result; where a bucket starts follows from their counts, at most 2^20 rows,
     which bounds the broadcast.
@@ -25,11 +26,18 @@ def external_shuffle(docs, shards, seed=7, bucket_bytes=BUCKET_BYTES, scratch=No
     scratch = scratch or Scratch(docs.sparkSession, "shuffle")
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
     buckets = min(MOST_BUCKETS, max(PER_SHARD * shards, -(-size // bucket_bytes)))
-    records = docs.select(
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(buckets)).alias("bucket"),
-        F.xxhash64(F.lit(seed + 1), "doc_id", "text").alias("order"), "doc_id",
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"))
-    scattered = records.repartition(buckets, "bucket").sortWithinPartitions("bucket", "order", "doc_id")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")
+    records = docs.select(F.xxhash64(F.lit(seed), "doc_id", "text").alias("hash"),
+                          F.xxhash64(F.lit(seed + 1), "doc_id", "text").alias("order"), "doc_id", own, F.lit(0).cast("long").alias("nr"))
+    repeated = scratch.save(records.groupBy("hash").count().where("count > 1").select("hash"), "repeated")
+    if not repeated.isEmpty():
+        few = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
+        again = records.join(few, "hash", "left_semi").withColumn("nr", F.monotonically_increasing_id())
+        again = scratch.save(again, "again")
+        again = again.withColumn("hash", F.xxhash64("hash", "nr")).withColumn("order", F.xxhash64("order", "nr"))
+        records = records.join(few, "hash", "left_anti").unionByName(again)
+    records = records.withColumn("bucket", F.pmod("hash", F.lit(buckets)))
+    scattered = records.repartition(buckets, "bucket").sortWithinPartitions("bucket", "order", "doc_id", "nr")
     gathered = scattered.groupBy("bucket").agg(F.collect_list("record").alias("records"))
     mixed = gathered.select("bucket", F.posexplode(F.shuffle("records", seed)).alias("at", "record"))
     written = scratch.save(mixed, "buckets")

@@ -265,3 +265,16 @@ def test_near_copies_of_the_pipeline(spark):
     assert wanted != linked_by(texts, 4, 85)
     out = corpus_pipeline.drop_near_copies(spark, frame_of(spark, texts), None)
     assert sorted(r.doc_id for r in out.collect()) == sorted(set(wanted.values()))
+
+
+def test_repeated_rows_scatter(spark, tmp_path):
+    """Rows equal in id and text do not share one bucket, none is lost, and a rerun gives the same order."""
+    rows = [(None, "same")] * 400 + [(5, None)] * 200 + [(k, str(k)) for k in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    found = shuffling.external_shuffle(docs, 4).select("record.doc_id", "record.text", "shard", "slot", "bucket").collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(rows)
+    assert max(Counter(r.bucket for r in found if r.text == "same").values()) < 80
+    assert min(Counter(r.shard for r in found if r.text == "same").values()) > 50
+    again = shuffling.external_shuffle(docs, 4).select("record.doc_id", "record.text", "shard", "slot", "bucket").collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
