@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from . import blocks, chunks, grammar, jaccard, nndescent, packing, pii, secrets, shuffling, toxicity
+from . import (blocks, chunks, divergence, filteraudit, grammar, jaccard, nndescent, packing, pii, secrets, shuffling,
+               toxicity)
 from .common import Scratch
 from .tokens import default_path
 
@@ -84,8 +85,82 @@ def op10_tiered_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), default_path("word_bpe_49k.json"), end_id=2)
 
 
+def op12_survival_words(spark, sf_dir):
+    """What five filters do to all documents in each of their orders, by lang."""
+    return filteraudit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+m AS (SELECT part, doc_id,
+    CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS f(name, bit)),
+o AS (SELECT a.name || b.name || c.name || d.name || e.name AS filter_order,
+    [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a JOIN f b ON b.bit <> a.bit JOIN f c ON c.bit NOT IN (a.bit, b.bit)
+  JOIN f d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN f e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+  FROM o, (SELECT unnest(range(1, 6))::INTEGER AS step)),
+r AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM r
+"""
+
+
+def op13_source_divergence(spark, sf_dir):
+    """How far the sources of each lang differ in their words, over all documents."""
+    return divergence.audit(documents(spark, sf_dir))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+    coalesce(source, '') AS source FROM documents),
+t AS (SELECT row, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+c AS (SELECT lang, source, term, count(*) AS cnt FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS v, sum(total)::HUGEINT AS n FROM k GROUP BY lang),
+g AS (SELECT lang, source, coalesce(v, 0) AS v, coalesce(v.n, 0) AS lang_n, coalesce(s.n, 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(cnt) AS n FROM c GROUP BY lang, source) s USING (lang, source)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.cnt, 0) AS cnt,
+    1 + (1000000000::HUGEINT * (coalesce(c.cnt, 0) + 2)) // (g.n + 2 * g.v) AS p,
+    1 + (1000000000::HUGEINT * (k.total + 2)) // (g.lang_n + 2 * g.v) AS q
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item,
+    sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source
+  UNION ALL
+  SELECT x.lang, x.source, 'pair', y.source, 0 FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source WHERE x.v = 0),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p WHERE cnt > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM (FROM pairs UNION ALL FROM terms)
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
 ALL = (op1_markov_secrets, op2_repair_tokens, op3_bilstm_pii, op4_nn_descent, op5_external_shuffle, op6_segment_jaccard,
-       op7_chunked_bpe, op8_block_naming, op9_chained_toxicity, op10_tiered_packing)
+       op7_chunked_bpe, op8_block_naming, op9_chained_toxicity, op10_tiered_packing, op12_survival_words,
+       op13_source_divergence)
 
 
 def queries():
@@ -93,4 +168,4 @@ def queries():
 
 
 def oracles():
-    return {"op8_block_naming": OP8_SQL}
+    return {"op8_block_naming": OP8_SQL, "op12_survival_words": OP12_SQL, "op13_source_divergence": OP13_SQL}
