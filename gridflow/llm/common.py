@@ -30,6 +30,10 @@ def ready(spark, rows=BATCH_ROWS):
         context._gridflow_shipped = bundle
 
 
+#: Lets Spark delete a job's shuffle files as soon as the job has ended.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables below the shared folder, by which jobs cut their lineage and survive lost executors."""
 
@@ -37,10 +41,16 @@ class Scratch:
         self.spark, self.folder, self.made = spark, run_dir(spark, label), 0
 
     def save(self, frame, name):
-        """Write a frame and read it back; a name may be used again."""
+        """Write a frame and read it back; a name may be used again. What the job shuffled is deleted once it is written,
+        rather than whenever the driver collects its garbage."""
         self.made += 1
         path = f"{self.folder}/{self.made:04d}-{name}"
-        frame.write.parquet(path)
+        before = self.spark.conf.get(RELEASE, None)
+        self.spark.conf.set(RELEASE, "true")
+        try:
+            frame.write.parquet(path)
+        finally:
+            self.spark.conf.unset(RELEASE) if before is None else self.spark.conf.set(RELEASE, before)
         table = self.spark.read.schema(frame.schema).parquet(path)
         table.scratch_path = path
         return table

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from . import (blocks, chunks, divergence, filteraudit, grammar, jaccard, nndescent, packing, pii, secrets, shuffling,
-               toxicity)
+from . import (annsearch, blocks, chunks, divergence, filteraudit, grammar, jaccard, nndescent, packing, pii, secrets,
+               shuffling, toxicity)
 from .common import Scratch
 from .tokens import default_path
 
@@ -85,6 +85,13 @@ def op10_tiered_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), default_path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_graph_search(spark, sf_dir):
+    """The 20 nearest others of each vector whose id is divisible by 20, among all embeddings, and the audited recall."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found, recall = annsearch.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+    return found.withColumn("recall", F.lit(recall))
+
+
 def op12_survival_words(spark, sf_dir):
     """What five filters do to all documents in each of their orders, by lang."""
     return filteraudit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -159,8 +166,8 @@ QUALIFY part = 'pair' OR rank <= 10
 """
 
 ALL = (op1_markov_secrets, op2_repair_tokens, op3_bilstm_pii, op4_nn_descent, op5_external_shuffle, op6_segment_jaccard,
-       op7_chunked_bpe, op8_block_naming, op9_chained_toxicity, op10_tiered_packing, op12_survival_words,
-       op13_source_divergence)
+       op7_chunked_bpe, op8_block_naming, op9_chained_toxicity, op10_tiered_packing, op11_graph_search,
+       op12_survival_words, op13_source_divergence)
 
 
 def queries():
