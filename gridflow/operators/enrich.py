@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import DEFAULT_RATE, DEFAULT_SUBSIDY, DEFAULT_TIER
 from ..functions import cost_estimate, net_load
+from .asof import as_of
 from .lookup import lookup
 from .upsert import latest_wins
 
@@ -33,10 +34,24 @@ def lookup_tariffs(readings, tariffs, **lookup_options):
 
 def enrich(readings, tariffs, **lookup_options):
     """Readings with tariff, net load and estimated cost."""
-    return lookup_tariffs(readings, tariffs, **lookup_options).withColumns({
-        "net_grid_load_kwh": net_load(),
-        "estimated_cost": cost_estimate(),
-    })
+    return _with_cost(lookup_tariffs(readings, tariffs, **lookup_options))
+
+
+def _with_cost(readings):
+    return readings.withColumns({"net_grid_load_kwh": net_load(), "estimated_cost": cost_estimate()})
+
+
+def enrich_as_of(readings, intervals, **as_of_options):
+    """The same with the tariff in force at the time of each reading, from `tariff_intervals`.
+
+    Readings before a household's first interval, in a gap or without a time get the default tariff.
+    """
+    tariff = ("tariff_rate", "billing_tier", "subsidy_flag")
+    joined = as_of(readings, intervals, "household_id", "event_timestamp", "valid_from", ["valid_to", *tariff],
+                   **as_of_options)
+    ended = F.col("valid_to") <= F.col("event_timestamp")
+    in_force = joined.withColumns({c: F.when(ended, None).otherwise(F.col(c)) for c in tariff})
+    return _with_cost(fill_tariff_defaults(in_force.drop("valid_from", "valid_to")))
 
 
 def known_zones(df, zones):

@@ -83,6 +83,20 @@ def tariffs(spark, sf_dir, revision=0):
     )
 
 
+def tariff_drop(spark, sf_dir, day):
+    """Drop number `day` of a changing tariff: a household's rate rises in one of three drops, some households are left out of
+    the third drop, and every fifth one has two rows, of which the second holds."""
+    key = F.col("c_custkey")
+    rise = F.floor((F.lit(day) + key % 3) / 3).cast("int")
+    base = table(spark, sf_dir, "customer").where((key % 7 != 3) | F.lit(day != 2))
+    rate = F.lit(0.120004).cast("decimal(10,6)") + F.lit(0.01).cast("decimal(10,6)") * (F.col("c_nationkey") + rise)
+    rows = base.select(
+        padded_key(F.lit("HH-"), key).alias("household_id"), rate.cast("decimal(10,6)").alias("tariff_rate"),
+        F.col("c_mktsegment").alias("billing_tier"), (key % 3 == 0).cast("int").alias("subsidy_flag"), (key % 5 == 0).alias("twice"))
+    first = rows.where("twice").withColumn("tariff_rate", (F.col("tariff_rate") + 1).cast("decimal(10,6)"))
+    return first.unionByName(rows).drop("twice")
+
+
 def tariffs_with_revisions(spark, sf_dir):
     """Every household twice: its first rate and a later one, numbered in file order."""
     first = tariffs(spark, sf_dir).withColumn("row_order", F.lit(1))

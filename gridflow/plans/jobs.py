@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 from .. import storage
 from ..operators.deadletters import dead_letters, replay
-from ..operators.enrich import enrich
+from ..operators.enrich import enrich, enrich_as_of
 from ..operators.health import freshness, heartbeat, unavailable
 from ..operators.orders import (
     PRICE_TYPE,
@@ -16,7 +16,7 @@ from ..operators.orders import (
     with_audit_trail,
     with_running_average,
 )
-from ..operators.tariffs import drop_statistics
+from ..operators.tariffs import drop_statistics, tariff_intervals
 from ..operators.zones import latest_per_zone, volume_counters, zone_window_metrics
 from ..schemas import TELEMETRY, ZONE_METRICS
 from ..sinks.change_log import ChangeLog
@@ -55,6 +55,11 @@ def backfill_zone_metrics(readings, tariffs, window=V.WINDOW_DURATION, slide=V.S
     return zone_window_metrics(enrich(readings, tariffs, **lookup_options), window, slide)
 
 
+def backfill_as_of(readings, history, window=V.WINDOW_DURATION, slide=V.SLIDE_DURATION, **as_of_options):
+    """The same metrics, each reading at the price in force at its time, from all archived drops (see `read_history`)."""
+    return zone_window_metrics(enrich_as_of(readings, tariff_intervals(history), **as_of_options), window, slide)
+
+
 def run_orders(orders, root, at, max_retries=V.MAX_RETRIES, price_type=PRICE_TYPE, run="first"):
     """A table of orders into outcomes and dead letters below `root`, once per `run`.
 

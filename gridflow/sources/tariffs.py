@@ -53,7 +53,7 @@ def file_order():
 
 
 def read_history(spark, path, schema=TARIFF):
-    """All archived drops below `path`; the time of each is the label in its name.
+    """All archived drops below `path`; the time of each is the label in its name, `row_order` a row's place in its files.
 
     Their headers have to agree; a file with other columns fails the read.
     """
@@ -70,6 +70,7 @@ def read_history(spark, path, schema=TARIFF):
         *schema.fieldNames(),
         dropped.cast("date").alias("simulated_day_date"),
         dropped.alias("effective_timestamp"),
+        file_order().alias("row_order"),
     )
 
 
