@@ -5,6 +5,10 @@ cluster uses. On a store whose rename is not atomic a reader may see a folder be
 whole; writers never take such a folder for a published one.
 """
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
+
 #: An empty file that is written last into a published folder; readers skip names like this.
 MARKER = "_PUBLISHED"
 
@@ -61,3 +65,64 @@ def publish(spark, staging, final):
 def make_folder(spark, path):
     fs, target = _open(spark, path)
     fs.mkdirs(target)
+
+
+def create_once(spark, path, text):
+    """Write a small file unless one of that name is there, and say whether it was written.
+
+    The text is written aside and takes its name by a rename that replaces nothing, so of several writers one succeeds,
+    and a reader finds the whole text or none.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, target = _open(spark, path)
+    aside = f"{target.getParent()}/_{uuid.uuid4().hex}"
+    _write(fs, jvm.org.apache.hadoop.fs.Path(aside), text)
+    try:
+        _rename(spark, aside, path, "NONE")
+        return True
+    except Py4JJavaError as error:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(aside), False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName() or fs.exists(target):
+            return False
+        raise
+
+
+def replace_file(spark, path, text):
+    """Write a small file in place of one of that name, by a rename."""
+    fs, target = _open(spark, path)
+    aside = f"{target.getParent()}/_{uuid.uuid4().hex}"
+    _write(fs, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside), text)
+    _rename(spark, aside, path, "OVERWRITE")
+
+
+def read_file(spark, path):
+    """The text of a small file; None if it is not there."""
+    fs, target = _open(spark, path)
+    try:
+        stream = fs.open(target)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileNotFoundException":
+            return None
+        raise
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write(fs, target, text):
+    stream = fs.create(target, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _rename(spark, source, final, option):
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(kind, 1)
+    options[0] = kind.valueOf(option)
+    path = jvm.org.apache.hadoop.fs.Path
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(final).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(path(source), path(final), options)
