@@ -24,6 +24,7 @@ from ..sinks.files import append_rows, write_once
 from ..sinks.guards import with_retry
 from ..sinks.tariffs import gated_publish
 from ..sources.tariffs import FixedTariffs, read_drop
+from ..streaming.late import LateRows
 from ..streaming.zones import enriched_readings, enriched_schema, start_enrichment, start_metrics
 
 
@@ -38,10 +39,12 @@ def run_zone_metrics(spark, raw, tariffs, root, checkpoint, run, watermark=V.WAT
     readings behind the watermark. Returns the table and the two queries. With the trigger
     "available" the second starts when the first has ended, and sees all it has written.
     `run` names this checkpoint's life and must sort after earlier runs into the same table.
+    Readings whose windows have all closed are kept in root/late, and counted per batch.
     """
     current = FixedTariffs(tariffs) if isinstance(tariffs, DataFrame) else tariffs
     table = ChangeLog(spark, f"{root}/metrics", ZONE_METRICS)
-    feeding = start_enrichment(raw, current, root, f"{checkpoint}/readings", trigger, schema, **lookup_options)
+    feeding = start_enrichment(raw, current, root, f"{checkpoint}/readings", trigger, schema,
+                               LateRows(spark, root, watermark, window, slide), **lookup_options)
     if trigger == "available":
         feeding.awaitTermination()
     readings = enriched_readings(spark, root, enriched_schema(spark, current.frame(), schema))

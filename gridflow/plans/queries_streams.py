@@ -10,8 +10,9 @@ from ..sinks.change_log import ChangeLog
 from ..sinks.files import append_rows, write_once
 from ..sinks.guards import FanOut, skip_empty, with_retry
 from ..sinks.tariffs import publish_drop, stage_drop
-from ..sources.tariffs import CurrentTariffs
+from ..sources.tariffs import CurrentTariffs, FixedTariffs
 from ..sources.telemetry import read_text_files
+from ..streaming.late import LateRows
 from ..streaming.orders import OrderOutcomes, start_orders
 from ..streaming.zones import enriched_readings, start_enrichment, start_metrics, zone_metrics_stream
 from . import inputs as I
@@ -143,6 +144,44 @@ def stream_late_data(spark, sf):
     return _plain(table.latest())
 
 
+def stream_late_rows(spark, sf):
+    """The metrics job on the second half of the records after the first: each reading once, in time or late, with its lag."""
+    root = run_dir(spark, "late-rows")
+    for part in range(2):
+        _arrivals(spark, sf, f"{root}/in", part)
+        _, queries = run_zone_metrics(
+            spark, read_text_files(spark, f"{root}/in"), I.tariffs(spark, sf), root, f"{root}/checkpoint", "r1",
+            CLOSING, I.WINDOW, I.SLIDE, "available", TELEMETRY_EXACT)
+        _finish(*queries)
+    shown = ["meter_id", "grid_zone", plain_time("event_timestamp"), *as_double("power_consumption_kwh")]
+    schema = spark.read.parquet(f"{root}/readings", f"{root}/archive", recursiveFileLookup=True).schema
+    timely = enriched_readings(spark, root, schema, streaming=False).select(
+        *shown, F.lit(False).alias("late"), F.lit(None).cast("double").alias("lag_seconds"))
+    return timely.union(spark.read.parquet(f"{root}/late").select(*shown, F.lit(True).alias("late"), "lag_seconds"))
+
+
+def stream_late_counts(spark, sf):
+    """What the same job counted, batch by batch."""
+    root = run_dir(spark, "late-counts")
+    late = LateRows(spark, root, CLOSING, I.WINDOW, I.SLIDE)
+    for part in range(2):
+        _arrivals(spark, sf, f"{root}/in", part)
+        _finish(start_enrichment(read_text_files(spark, f"{root}/in"), FixedTariffs(I.tariffs(spark, sf)), root,
+                                 f"{root}/checkpoint", "available", TELEMETRY_EXACT, late))
+    return late.counts().withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def sink_manifest(spark, sf):
+    """Metrics written zone by zone, folded after the third; what is folded and what is still open is told by the manifest."""
+    table, rows = ChangeLog(spark, run_dir(spark, "manifest"), ZONE_METRICS), metrics(spark, sf)
+    rows = rows.withColumns({"batch_id": F.lit(0).cast("long"), "updated_at": F.col("window_end")})
+    for number, zone in enumerate(I.ZONES):
+        table.write(rows.where(F.col("grid_zone") == zone), "r1", number)
+        if number == 2:
+            table.compact()
+    return _plain(table.latest()).withColumn("open_batches", F.lit(len(table.batches())).cast("long"))
+
+
 def sink_skip_empty(spark, sf):
     """An empty batch and a full one: only the second is written."""
     root, rows = run_dir(spark, "skip"), served(spark, sf)
@@ -219,7 +258,7 @@ def sink_health_log(spark, sf):
 
 def queries():
     found = [stream_zone_metrics, stream_watermark, zone_metrics_job, stream_quarantine, stream_enrichment,
-             stream_tariff_refresh, stream_restart, stream_late_data, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, sink_compaction, sink_fanout, sink_health_log]
+             stream_tariff_refresh, stream_restart, stream_late_data, stream_late_rows, stream_late_counts, sink_manifest, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, sink_compaction, sink_fanout, sink_health_log]
     return {f.__name__: f for f in found}
 
 
@@ -228,7 +267,19 @@ def oracles():
     good = METRICS.replace("FROM events)", f"FROM events WHERE {FAULT} NOT IN (3, 4, 6, 7, 8))").replace(
         "CAST(value AS DECIMAL(12,2)) AS cons",
         f"CASE WHEN {FAULT} = 5 THEN -1 ELSE 1 END * CAST(value AS DECIMAL(12,2)) AS cons")
+    late = READINGS + """, marked AS (
+        SELECT *, time_bucket(INTERVAL 30 MINUTES, ts) AS newest, event_id % 2 AS half,
+          (SELECT max(ts) FROM readings WHERE event_id % 2 = 0) - INTERVAL 1 DAY AS watermark FROM readings),
+      told AS (SELECT *, half = 1 AND newest + INTERVAL 1 HOUR <= watermark AS late,
+          CASE WHEN half = 1 AND newest + INTERVAL 30 MINUTES <= watermark THEN 1 ELSE 0 END
+          + CASE WHEN half = 1 AND newest + INTERVAL 1 HOUR <= watermark THEN 1 ELSE 0 END AS lost FROM marked)"""
     return {
+        "stream_late_rows": f"""WITH {late} SELECT meter_id, grid_zone, ts AS event_timestamp,
+            CAST(cons AS DOUBLE) AS power_consumption_kwh, late,
+            CASE WHEN late THEN date_diff('microsecond', ts, watermark) / 1000000 END AS lag_seconds FROM told""",
+        "stream_late_counts": f"""WITH {late} SELECT half AS batch_id, count(*) FILTER (NOT late) AS in_time,
+            count(*) FILTER (late) AS late, CAST(sum(lost) AS BIGINT) AS lost_windows FROM told GROUP BY half""",
+        "sink_manifest": f"WITH {METRICS} SELECT {METRIC_NAMES}, CAST(2 AS BIGINT) AS open_batches FROM metrics",
         "stream_zone_metrics": windows,
         "sink_compaction": windows,
         "stream_restart": windows,

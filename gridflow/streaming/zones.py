@@ -8,6 +8,11 @@ from ..operators.zones import zone_window_metrics
 from ..schemas import TELEMETRY
 from ..sinks.files import write_once
 from ..sinks.guards import skip_empty, with_retry
+from ..sinks.manifest import Manifest
+from .late import in_time, late
+
+#: Batches between two looks for folders whose readings have been aggregated.
+RETIRE_EVERY = 100
 
 
 def trigger_of(trigger):
@@ -44,28 +49,43 @@ def start_quarantine(raw, path, checkpoint, trigger=V.TRIGGER_INTERVAL, schema=T
 
 
 def start_enrichment(raw, current_tariffs, root, checkpoint, trigger=V.TRIGGER_INTERVAL, schema=TELEMETRY,
-                     **lookup_options):
+                     late_rows=None, **lookup_options):
     """Enrich each micro-batch with the tariff drop in force when it runs.
 
     Good readings go to root/readings, the others to root/quarantine, one folder per
     batch; each is written up to three times. Aggregate with `enriched_readings` as the
-    source of a second query.
+    source of a second query. With `late_rows`, readings whose windows have all closed go
+    to root/late instead, with their lag; that query's watermark is never ahead, so none
+    is lost behind it.
     """
+    manifest = Manifest(raw.sparkSession, f"{root}/readings")
+
     def publish(rows, batch_id, folder):
         with_retry(lambda df, n: write_once(df, f"{root}/{folder}", f"batch_id={n}"))(rows, batch_id)
+        if folder == "readings" and storage.is_published(rows.sparkSession, f"{root}/{folder}/batch_id={batch_id}"):
+            manifest.add(f"batch_id={batch_id}")
 
     def write_batch(batch_df, batch_id):
+        if batch_id % RETIRE_EVERY == 0:
+            retire_readings(batch_df.sparkSession, root, manifest)
         decoded = decode_telemetry(batch_df, schema).persist()
         try:
             tariffs = current_tariffs.frame()
             known = {"dim_bytes": current_tariffs.bytes, **lookup_options}
-            publish(enrich(good_readings(decoded), tariffs, **known), batch_id, "readings")
+            good = good_readings(decoded)
+            if late_rows:
+                marked = late_rows.mark(good, batch_id)
+                publish(late(marked), batch_id, "late")
+                good = in_time(marked)
+            publish(enrich(good, tariffs, **known), batch_id, "readings")
+            if late_rows:
+                late_rows.advance(marked, batch_id)
             publish(quarantined_readings(decoded), batch_id, "quarantine")
         finally:
             decoded.unpersist()
 
     return (
-        raw.writeStream.foreachBatch(skip_empty(write_batch))
+        raw.writeStream.foreachBatch(write_batch if late_rows else skip_empty(write_batch))
         .option("checkpointLocation", checkpoint).trigger(**trigger_of(trigger)).start()
     )
 
@@ -77,8 +97,24 @@ def enriched_schema(spark, tariffs, schema=TELEMETRY):
 
 
 def enriched_readings(spark, root, schema, streaming=True):
-    """What `start_enrichment` published, as a stream or a table."""
-    folder = f"{root}/readings"
+    """What `start_enrichment` published, as a stream or a table.
+
+    A stream moves the files that it has aggregated to root/archive, so the folder it looks into holds what is new; the
+    table is both. One stream at a time may read a root.
+    """
+    folder, archive = f"{root}/readings", f"{root}/archive"
     storage.make_folder(spark, folder)
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(schema).parquet(folder)
+    if streaming:
+        return (spark.readStream.schema(schema).option("cleanSource", "archive")
+                .option("sourceArchiveDir", archive).parquet(folder))
+    paths = [folder, archive] if storage.exists(spark, archive) else [folder]
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+
+
+def retire_readings(spark, root, manifest):
+    """Delete the batch folders whose files have all been archived; asks for the committed ones that are left only."""
+    done = [f for f in manifest.live() if not storage.child_names(spark, f"{root}/readings/{f}")]
+    if done:
+        manifest.remove(done)
+        manifest.sweep(lambda f: f"{root}/readings/{f}")
+    return done
