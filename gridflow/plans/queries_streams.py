@@ -12,12 +12,31 @@ from ..sinks.guards import FanOut, skip_empty, with_retry
 from ..sinks.tariffs import publish_drop, stage_drop
 from ..sources.tariffs import CurrentTariffs, FixedTariffs
 from ..sources.telemetry import read_text_files
+from ..streaming.keyed import (
+    OutcomeTable,
+    TotalsTable,
+    history_totals,
+    parked_retries,
+    product_totals,
+    start_parked,
+    start_totals,
+)
 from ..streaming.late import LateRows
 from ..streaming.orders import OrderOutcomes, start_orders
 from ..streaming.zones import enriched_readings, start_enrichment, start_metrics, zone_metrics_stream
 from . import inputs as I
 from .jobs import run_zone_metrics
-from .oracle_parts import LETTERS, METRIC_NAMES, METRICS, READINGS, RUNNING, tariffs
+from .oracle_parts import (
+    LETTERS,
+    METRIC_NAMES,
+    METRICS,
+    READINGS,
+    RESOLVED,
+    RUNNING,
+    half_up_average,
+    price_double,
+    tariffs,
+)
 from .queries_readings import FAULT, as_double, oracles as reading_oracles, plain_time
 from .queries_tariffs import LABELS, _published
 from .queries_zones import NOW, RECENCY, STATUS_SQL, metrics, served
@@ -221,6 +240,43 @@ def stream_dead_letters(spark, sf):
     return _order_stream(spark, sf).rejected().select("seq", "dlq_id", "orderId", "error_reason")
 
 
+def _order_arrivals(spark, sf, folder, part, parts):
+    """Some of the order messages, by their number, as files that a stream finds in `folder`."""
+    rows = I.table(spark, sf, "orders").where(F.pmod("o_orderkey", F.lit(parts)) == part)
+    rows.write.mode("append").parquet(folder)
+    return I.as_orders(spark.readStream.schema(rows.schema).parquet(folder))
+
+
+def stream_product_totals(spark, sf):
+    """Totals by product in keyed state: a third of the orders is history, a third comes before a restart, a third after it."""
+    root = run_dir(spark, "product-totals")
+    history = history_totals(I.orders(spark, sf).where("seq % 3 = 0"), price_type=I.PRICE)
+    table = TotalsTable(spark, f"{root}/totals", history)
+    for part in (1, 2):
+        orders = _order_arrivals(spark, sf, f"{root}/in", part, 3)
+        _finish(start_totals(product_totals(orders, history, price_type=I.PRICE), table, f"{root}/checkpoint", "available"))
+    return table.by_product().withColumn("total", F.col("total").cast("double"))
+
+
+def stream_parked_retries(spark, sf):
+    """Outcomes of all messages whose failing ones wait in keyed state; the query is stopped while some wait, and restarted."""
+    root = run_dir(spark, "parked")
+    table, expected = OutcomeTable(spark, f"{root}/outcomes"), I.table(spark, sf, "orders").count()
+    waiting = I.orders(spark, sf).where("seq % 2 = 0 and transient_failures > 0").count()
+    for part in range(2):
+        orders = _order_arrivals(spark, sf, f"{root}/in", part, 2)
+        query = start_parked(parked_retries(orders, price_type=I.PRICE, backoff_s=0.02 if part else 2.0), table, f"{root}/checkpoint")
+        # In the first run the messages that do not fail at once are enough.
+        wanted = expected if part else I.table(spark, sf, "orders").where("o_orderkey % 2 = 0").count() - waiting
+        while query.isActive and table.stored < wanted:
+            query.awaitTermination(0.2)
+        if query.exception() is not None:
+            raise query.exception()
+        query.stop()
+    step = F.expr("transform(audit_trail, s -> concat_ws(':', s.attempt, s.status, coalesce(s.backoff_sec, 0.0D)))")
+    return table.outcomes().select("seq", "status", "attempts", "retries", "error_reason", F.array_join(step, ",").alias("trail"))
+
+
 def sink_compaction(spark, sf):
     """Metrics written twice, first with other tariffs; folded into the table in between."""
     table = ChangeLog(spark, run_dir(spark, "change-log"), ZONE_METRICS)
@@ -258,7 +314,7 @@ def sink_health_log(spark, sf):
 
 def queries():
     found = [stream_zone_metrics, stream_watermark, zone_metrics_job, stream_quarantine, stream_enrichment,
-             stream_tariff_refresh, stream_restart, stream_late_data, stream_late_rows, stream_late_counts, sink_manifest, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, sink_compaction, sink_fanout, sink_health_log]
+             stream_tariff_refresh, stream_restart, stream_late_data, stream_late_rows, stream_late_counts, sink_manifest, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, stream_product_totals, stream_parked_retries, sink_compaction, sink_fanout, sink_health_log]
     return {f.__name__: f for f in found}
 
 
@@ -303,6 +359,20 @@ def oracles():
             CAST(CAST(cons * coalesce(rate, 0.15) AS DECIMAL(30,8)) * CAST(1 - coalesce(flag, 0) * 0.15 AS DECIMAL(4,2))
               AS DOUBLE) AS estimated_cost
             FROM readings LEFT JOIN newest USING (household_id)""",
+        "stream_product_totals": f"""WITH {RESOLVED}, summed AS (
+            SELECT coalesce(product, 'Unknown') AS product, count(*) FILTER (status <> 'DLQ_QUARANTINED') AS orders,
+              count(*) FILTER (status = 'DLQ_QUARANTINED') AS rejects,
+              coalesce(sum(price_value) FILTER (status <> 'DLQ_QUARANTINED'), 0) AS total,
+              coalesce(sum(CAST(price_value * 1000 AS HUGEINT)) FILTER (status <> 'DLQ_QUARANTINED'), 0) AS mills
+            FROM resolved GROUP BY 1)
+            SELECT product, orders, rejects, {price_double('total')} AS total,
+              {half_up_average('mills', 'CAST(orders AS HUGEINT)')} AS avg_price FROM summed""",
+        "stream_parked_retries": f"""WITH {RESOLVED}, told AS (
+            SELECT *, CASE WHEN problem IS NOT NULL THEN '1:FATAL:0.0'
+                WHEN f >= 3 THEN '1:RETRY:0.15,2:RETRY:0.3,3:RETRY:0.45,3:EXHAUSTED:0.0'
+                WHEN f = 2 THEN '1:RETRY:0.15,2:RETRY:0.3,3:SUCCESS:0.0'
+                WHEN f = 1 THEN '1:RETRY:0.15,2:SUCCESS:0.0' ELSE '1:SUCCESS:0.0' END AS trail FROM resolved)
+            SELECT seq, status, attempts, retries, error_reason, trail FROM told""",
         "stream_running_avg": f"WITH {RUNNING} SELECT seq, status, total_orders, running_avg FROM running",
         "stream_dead_letters": f"WITH {LETTERS} SELECT seq, dlq_id, orderId, error_reason FROM letters",
         "sink_fanout": f"""WITH {METRICS} SELECT store, grid_zone, CAST(sum(active_meters) AS BIGINT) AS readings,
