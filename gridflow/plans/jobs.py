@@ -73,10 +73,29 @@ def run_orders(orders, root, at, max_retries=V.MAX_RETRIES, price_type=PRICE_TYP
     rows = with_audit_trail(with_running_average(resolve(orders, max_retries, price_type))).drop("_permanent")
     with_retry(lambda df, n: write_once(df, f"{root}/outcomes", f"run={n}"))(rows, run)
     written = spark.read.schema(rows.schema).parquet(f"{root}/outcomes/run={run}")
+    _leave_totals(written, root, run)
     with_retry(lambda df, n: write_once(df, f"{root}/dead_letters", f"run={n}"))(dead_letters(written, at), run)
     return stored_outcomes(spark, root)
 
 
+def _totals(rows):
+    return rows.agg(F.max("seq").alias("seq"), F.max("total_orders").alias("prior_orders"),
+                    F.max("total_rejects").alias("prior_rejects"), F.max_by("cumulative_price", "seq").alias("prior_total"))
+
+
+def _leave_totals(written, root, run):
+    """What a run came to, as one row beside the log."""
+    write_once(_totals(written), f"{root}/totals", f"run={run}")
+
+
+def log_end(spark, root):
+    """The last number of the order log and its totals there, from the rows that the runs left; a log without them is read."""
+    if not storage.exists(spark, f"{root}/totals"):
+        return _totals(stored_outcomes(spark, root)).first().asDict()
+    ends = spark.read.parquet(f"{root}/totals").where("seq is not null").drop("run")
+    return ends.orderBy(F.desc("seq")).limit(1).first().asDict()
+
+
 def stored_outcomes(spark, root):
     """The order log: outcomes and, behind them, what replays came to."""
     rows = spark.read.parquet(f"{root}/outcomes")
@@ -97,13 +116,11 @@ def stored_letters(spark, root):
 def run_replay(spark, root, requests, at, run, max_retries=V.MAX_RETRIES, price_type=PRICE_TYPE):
     """Replay the requested letters into the order log, once per `run` and once per letter.
 
-    The replay goes on with the totals at the end of the log. Its rows carry the letter's
+    The replay goes on with the totals at the end of the log, which the run before left in one row. Its rows carry the letter's
     id, and these rows are the mark, so outcome and mark are stored in one step. A message
     that fails again is a new letter. Returns the requests that name no letter.
     """
-    last = stored_outcomes(spark, root).agg(
-        F.max("seq").alias("seq"), F.max("total_orders").alias("prior_orders"),
-        F.max("total_rejects").alias("prior_rejects"), F.max("cumulative_price").alias("prior_total")).first().asDict()
+    last = log_end(spark, root)
     outcomes, _, missing = replay(stored_letters(spark, root), requests, last.pop("seq"), max_retries,
                                   price_type=price_type)
     rows = with_audit_trail(with_running_average(outcomes, **last)).drop("_permanent")
@@ -111,6 +128,7 @@ def run_replay(spark, root, requests, at, run, max_retries=V.MAX_RETRIES, price_
     with_retry(lambda df, n: write_once(df, f"{root}/replays", f"run={n}"))(rows, run)
     if storage.is_published(spark, f"{root}/replays/run={run}"):
         written = spark.read.schema(rows.schema).parquet(f"{root}/replays/run={run}")
+        _leave_totals(written, root, f"replay-{run}")
         with_retry(lambda df, n: write_once(df, f"{root}/dead_letters", f"run=replay-{n}"))(dead_letters(written, at), run)
     return missing
 

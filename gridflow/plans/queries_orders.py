@@ -6,6 +6,7 @@ from ..operators import deadletters, orders
 from ..sources.orders import as_order_messages, read_order_json
 from ..session import run_dir
 from ..sinks.files import append_rows
+from ..sinks.prefix_log import PrefixLog
 from . import inputs as I
 from .jobs import run_orders, run_replay, status_snapshot, stored_letters, stored_outcomes
 from .oracle_parts import LETTERS, METRICS, ORDERS, RESOLVED, RUNNING, half_up_average, price_double
@@ -163,6 +164,18 @@ def order_job(spark, sf):
     return log.join(letters, "seq", "left").select("seq", "status", "attempts", "total_orders", "running_avg", "dlq_id")
 
 
+def order_log_insert(spark, sf):
+    """A log whose orders come in three parts, each between those before, and some once more with another price; small buckets, so
+    that the tree has several levels."""
+    log, resolved = PrefixLog(spark, run_dir(spark, "order-log"), bits=9, fan=2), _resolved(spark, sf)
+    other = F.col("price_value") + F.lit(1).cast(I.PRICE)
+    wrong = resolved.where("seq % 3 = 0").withColumn("price_value", F.when(F.col("seq") % 9 == 0, other).otherwise(
+        F.col("price_value")).cast(I.PRICE))
+    for rows in (wrong, resolved.where("seq % 3 = 2"), resolved.where("seq % 3 = 1 or seq % 9 = 0")):
+        log.write(rows)
+    return log.read().select("seq", "status", "total_orders", "total_rejects", "running_avg")
+
+
 def dlq_replay_stored(spark, sf):
     """Letters replayed into the stored log; asking again for the same ones changes nothing."""
     root = run_dir(spark, "order-replay")
@@ -183,7 +196,7 @@ def queries():
     found = [src_orders, order_message, order_classify, order_retry_outcome, order_audit_trail, order_split_accepted,
              order_split_rejected, order_avg_price, order_kpis, order_running_avg, order_outcomes, running_avg_tail,
              recent_orders, recent_dlq, sink_dlq, dlq_sequence, dlq_replay_match, dlq_replay_missing, dlq_repair,
-             dlq_replay, dlq_replay_marks, dlq_replay_log, order_job, dlq_replay_stored, system_status]
+             dlq_replay, dlq_replay_marks, dlq_replay_log, order_job, order_log_insert, dlq_replay_stored, system_status]
     return {f.__name__: f for f in found}
 
 
@@ -236,6 +249,7 @@ def oracles():
             FROM resolved WHERE status = 'DLQ_QUARANTINED'""",
         "order_avg_price": f"WITH {RESOLVED} SELECT {AVERAGE_SQL} AS avg_price FROM ({total})",
         "order_kpis": f"WITH {RESOLVED} SELECT {kpis} FROM resolved",
+        "order_log_insert": f"WITH {RUNNING} SELECT seq, status, total_orders, total_rejects, running_avg FROM running",
         "order_running_avg": f"WITH {RUNNING} SELECT seq, status, total_orders, running_avg FROM running",
         "order_outcomes": f"""WITH {RUNNING} SELECT seq, orderId, coalesce(product, 'Unknown') AS product,
             CAST(price_value AS VARCHAR) AS price, status, attempts, running_avg, total_orders,
