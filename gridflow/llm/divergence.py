@@ -158,6 +158,8 @@ def pair_values(kept, langs):
     sizes = kept.groupBy("lang").agg(F.ceil(F.sum(F.size("counts")) / BLOCK_COUNTS).alias("blocks"))
     blocks = kept.join(sizes, "lang").groupBy("lang", F.pmod(F.xxhash64("term"), "blocks").alias("block")).agg(
         F.collect_list("counts").alias("terms"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1)) - 1)).alias("block")
+    dealt = langs.join(sizes, "lang", "left").select("lang", "v", "sources", each)
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
 
     def compared(batches):
@@ -188,7 +190,7 @@ def pair_values(kept, langs):
                         yield rows_out(schema, [[lang] * len(others), [names[row]] * len(others),
                                                 [names[k] for k in others], sums[i][others]])
 
-    joined = langs.join(blocks, "lang", "left").select("lang", "v", "sources", "terms")
+    joined = dealt.join(blocks, ["lang", "block"], "left").select("lang", "v", "sources", "terms")
     values = joined.mapInArrow(compared, "lang string, source string, item string, value long")
     return values.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
