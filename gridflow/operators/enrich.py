@@ -34,10 +34,11 @@ def lookup_tariffs(readings, tariffs, **lookup_options):
 
 def enrich(readings, tariffs, **lookup_options):
     """Readings with tariff, net load and estimated cost."""
-    return _with_cost(lookup_tariffs(readings, tariffs, **lookup_options))
+    return with_cost(lookup_tariffs(readings, tariffs, **lookup_options))
 
 
-def _with_cost(readings):
+def with_cost(readings):
+    """Readings that have their tariff, with net load and estimated cost."""
     return readings.withColumns({"net_grid_load_kwh": net_load(), "estimated_cost": cost_estimate()})
 
 
@@ -51,7 +52,7 @@ def enrich_as_of(readings, intervals, **as_of_options):
                    **as_of_options)
     ended = F.col("valid_to") <= F.col("event_timestamp")
     in_force = joined.withColumns({c: F.when(ended, None).otherwise(F.col(c)) for c in tariff})
-    return _with_cost(fill_tariff_defaults(in_force.drop("valid_from", "valid_to")))
+    return with_cost(fill_tariff_defaults(in_force.drop("valid_from", "valid_to")))
 
 
 def known_zones(df, zones):

@@ -86,12 +86,13 @@ def dense_zones(metrics, zones=GRID_ZONES, batch_columns=()):
     """A row for every zone (of every batch present), zeros where it was silent.
 
     The metrics are read once: a batch's few zones become a map, in which every configured
-    zone is looked up.
+    zone is looked up. Rows without a zone are no zone's.
     """
     batch_columns = list(batch_columns)
     rest = [c for c in metrics.columns if c not in (*batch_columns, "grid_zone")]
     entry = F.struct("grid_zone", F.struct(*rest))
-    found = metrics.groupBy(*batch_columns).agg(F.map_from_entries(F.collect_list(entry)).alias("_found"))
+    found = metrics.groupBy(*batch_columns).agg(F.map_from_entries(F.collect_list(
+        F.when(F.col("grid_zone").isNotNull(), entry))).alias("_found"))
     spread = found.select(*batch_columns, "_found", F.explode(F.array(*[F.lit(z) for z in zones])).alias("grid_zone"))
     row = F.try_element_at("_found", F.col("grid_zone"))
     zero = {n: F.lit(0).cast(metrics.schema[n].dataType) if n in METRICS else F.lit(None) for n in rest}

@@ -6,6 +6,7 @@ from .. import functions as X
 from ..operators import decode, enrich, quality, zones
 from ..schemas import TELEMETRY
 from ..session import run_dir
+from ..sources.bucketed import BucketedTables
 from ..sources.telemetry import read_text_files
 from . import inputs as I
 from .oracle_parts import ENRICHED, READINGS, tariffs
@@ -122,6 +123,15 @@ def enrich_large_dimension(spark, sf):
     return _enriched_columns(enrich.enrich(I.readings(spark, sf), I.tariffs(spark, sf), max_broadcast_bytes=0))
 
 
+def enrich_bucketed(spark, sf):
+    """Readings and tariffs stored in buckets of their household, and joined there without an exchange."""
+    stored = BucketedTables(spark, run_dir(spark, "bucketed"), "household_id", buckets=8).store(
+        I.readings(spark, sf), I.tariffs(spark, sf))
+    found = _enriched_columns(enrich.with_cost(enrich.fill_tariff_defaults(stored.joined())))
+    stored.forget()  # the files stay
+    return found
+
+
 def enrich_lookup_default(spark, sf):
     newest = enrich.one_row_per_household(I.tariffs_with_revisions(spark, sf), ["row_order"])
     return enrich.lookup_tariffs(I.readings(spark, sf), newest).select(
@@ -147,7 +157,7 @@ def volume_counters(spark, sf):
 def queries():
     found = [src_telemetry_json, parse_json, parse_event_time, sink_encode_keyed_json, try_numeric, format_keys,
              net_load, cost_estimate, load_direction, round_metrics, renewable_pct, pct_capped, known_zone_filter,
-             fill_tariff_defaults, enrich_left_join, enrich_large_dimension, enrich_lookup_default,
+             fill_tariff_defaults, enrich_left_join, enrich_large_dimension, enrich_bucketed, enrich_lookup_default,
              telemetry_quarantine, dq_telemetry_violations, volume_counters]
     return {f.__name__: f for f in found}
 
@@ -198,6 +208,7 @@ def oracles():
             tier AS billing_tier, flag AS subsidy_flag FROM enriched""",
         "enrich_left_join": ENRICHED_SQL,
         "enrich_large_dimension": ENRICHED_SQL,
+        "enrich_bucketed": ENRICHED_SQL,
         "enrich_lookup_default": f"""WITH {READINGS}, {tariffs('newest', 1)} SELECT event_id, household_id,
             CAST(coalesce(rate, 0.15) AS DOUBLE) AS tariff_rate, coalesce(tier, 'Standard') AS billing_tier,
             coalesce(flag, 0) AS subsidy_flag FROM readings LEFT JOIN newest USING (household_id)""",

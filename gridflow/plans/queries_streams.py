@@ -11,7 +11,7 @@ from ..sinks.files import append_rows, write_once
 from ..sinks.guards import FanOut, skip_empty, with_retry
 from ..sinks.tariffs import publish_drop, stage_drop
 from ..sources.tariffs import CurrentTariffs, FixedTariffs
-from ..sources.telemetry import read_text_files
+from ..sources.telemetry import first_deliveries, read_text_files
 from ..streaming.keyed import (
     OutcomeTable,
     TotalsTable,
@@ -163,6 +163,20 @@ def stream_late_data(spark, sf):
     return _plain(table.latest())
 
 
+def stream_resent_records(spark, sf):
+    """The metrics job where a producer sends half of the records twice in one go, and all of them once more after a restart."""
+    root = run_dir(spark, "resent")
+    for part in range(2):
+        _arrivals(spark, sf, f"{root}/in", 0, parts=1)
+        if not part:
+            _arrivals(spark, sf, f"{root}/in", 1)
+        raw = first_deliveries(read_text_files(spark, f"{root}/in"))
+        table, queries = run_zone_metrics(spark, raw, I.tariffs(spark, sf), root, f"{root}/checkpoint", "r1", PATIENCE, I.WINDOW,
+                                          I.SLIDE, "available", TELEMETRY_EXACT)
+        _finish(*queries)
+    return _plain(table.latest())
+
+
 def stream_late_rows(spark, sf):
     """The metrics job on the second half of the records after the first: each reading once, in time or late, with its lag."""
     root = run_dir(spark, "late-rows")
@@ -314,7 +328,7 @@ def sink_health_log(spark, sf):
 
 def queries():
     found = [stream_zone_metrics, stream_watermark, zone_metrics_job, stream_quarantine, stream_enrichment,
-             stream_tariff_refresh, stream_restart, stream_late_data, stream_late_rows, stream_late_counts, sink_manifest, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, stream_product_totals, stream_parked_retries, sink_compaction, sink_fanout, sink_health_log]
+             stream_tariff_refresh, stream_restart, stream_late_data, stream_resent_records, stream_late_rows, stream_late_counts, sink_manifest, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, stream_product_totals, stream_parked_retries, sink_compaction, sink_fanout, sink_health_log]
     return {f.__name__: f for f in found}
 
 
@@ -339,6 +353,7 @@ def oracles():
         "stream_zone_metrics": windows,
         "sink_compaction": windows,
         "stream_restart": windows,
+        "stream_resent_records": windows,
         "stream_tariff_refresh": "WITH " + METRICS.replace(
             "LEFT JOIN tariffs t USING (household_id)", """LEFT JOIN (SELECT 0 AS half, * FROM tariffs UNION ALL
               SELECT 1, * FROM newer) t ON t.household_id = r.household_id AND t.half = r.event_id % 2""").replace(

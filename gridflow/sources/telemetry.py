@@ -34,3 +34,15 @@ def read_text_files(spark, path, streaming=True, max_files=None):
         F.col("value").cast("binary").alias("value"),
         F.lit(None).cast("timestamp").alias("timestamp"),
     )
+
+
+def first_deliveries(raw, within="1 hour"):
+    """A stream of records without those that a retrying producer sent again: the same key and value within so long of the
+    first one's arrival.
+
+    The time is that of arrival, so no record is too late to be looked at, however old its reading; the state holds one
+    digest per record for that time, and goes on over restarts. Meter and time of a reading are part of its value.
+    """
+    part = lambda c: F.coalesce(F.sha2(c, 256), F.lit(""))
+    seen = raw.withColumns({"_digest": F.concat_ws("/", part("key"), part("value")), "_arrived": F.current_timestamp()})
+    return seen.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_digest"]).drop("_digest", "_arrived")
