@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import health, zones
+from ..operators import health, orders, zones
 from ..operators.enrich import enrich
 from ..schemas import TARIFF_EXACT, TELEMETRY_EXACT, ZONE_METRICS
 from ..session import run_dir
@@ -23,6 +23,7 @@ from ..streaming.keyed import (
 )
 from ..streaming.late import LateRows
 from ..streaming.orders import OrderOutcomes, start_orders
+from ..streaming.recent import RecentRows, start_recent
 from ..streaming.zones import enriched_readings, start_enrichment, start_metrics, zone_metrics_stream
 from . import inputs as I
 from .jobs import run_zone_metrics
@@ -272,6 +273,33 @@ def stream_product_totals(spark, sf):
     return table.by_product().withColumn("total", F.col("total").cast("double"))
 
 
+def _recent(spark, sf, name, count, keys=()):
+    """Orders in three parts, each between those before; the third takes back every seventh order, among them many new ones."""
+    root, resolved = run_dir(spark, name), lambda rows: orders.resolve(rows, price_type=I.PRICE).select("seq", "orderId", "product", "status")
+    log = lambda: resolved(I.orders(spark, sf)).where("seq % 7 <> 0")
+    recent = RecentRows(spark, f"{root}/recent", count, "seq", keys, spare=2, log=log)
+    for part in (2, 0, 1):
+        rows = I.table(spark, sf, "orders").withColumn("retracted", F.lit(False)).where(F.col("o_orderkey") % 3 == part)
+        if part == 1:
+            gone = I.table(spark, sf, "orders").where("o_orderkey % 7 = 0").withColumn("retracted", F.lit(True))
+            rows = rows.where("o_orderkey % 7 <> 0").unionByName(gone)
+        rows.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        marked = resolved(I.as_orders(stream.where("not retracted"))).withColumn("retracted", F.lit(False)).unionByName(
+            resolved(I.as_orders(stream.where("retracted"))).withColumn("retracted", F.lit(True)))
+        _finish(start_recent(marked, recent, f"{root}/checkpoint", "available"))
+    return recent.read()
+
+
+def stream_recent_orders(spark, sf):
+    """The 40 newest outcomes of a stream, with late, resent and retracted orders."""
+    return _recent(spark, sf, "recent", 40)
+
+
+def stream_recent_per_product(spark, sf):
+    return _recent(spark, sf, "recent-products", 5, ["product"])
+
+
 def stream_parked_retries(spark, sf):
     """Outcomes of all messages whose failing ones wait in keyed state; the query is stopped while some wait, and restarted."""
     root = run_dir(spark, "parked")
@@ -328,7 +356,8 @@ def sink_health_log(spark, sf):
 
 def queries():
     found = [stream_zone_metrics, stream_watermark, zone_metrics_job, stream_quarantine, stream_enrichment,
-             stream_tariff_refresh, stream_restart, stream_late_data, stream_resent_records, stream_late_rows, stream_late_counts, sink_manifest, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, stream_product_totals, stream_parked_retries, sink_compaction, sink_fanout, sink_health_log]
+             stream_tariff_refresh, stream_restart, stream_late_data, stream_resent_records, stream_late_rows, stream_late_counts, sink_manifest, sink_skip_empty, sink_retry, stream_running_avg, stream_dead_letters, stream_product_totals, stream_parked_retries, stream_recent_orders,
+             stream_recent_per_product, sink_compaction, sink_fanout, sink_health_log]
     return {f.__name__: f for f in found}
 
 
@@ -382,6 +411,10 @@ def oracles():
             FROM resolved GROUP BY 1)
             SELECT product, orders, rejects, {price_double('total')} AS total,
               {half_up_average('mills', 'CAST(orders AS HUGEINT)')} AS avg_price FROM summed""",
+        "stream_recent_orders": f"""WITH {RESOLVED} SELECT seq, orderId, product, status FROM resolved WHERE seq % 7 <> 0
+            ORDER BY seq DESC LIMIT 40""",
+        "stream_recent_per_product": f"""WITH {RESOLVED} SELECT seq, orderId, product, status FROM resolved WHERE seq % 7 <> 0
+            QUALIFY row_number() OVER (PARTITION BY product ORDER BY seq DESC) <= 5""",
         "stream_parked_retries": f"""WITH {RESOLVED}, told AS (
             SELECT *, CASE WHEN problem IS NOT NULL THEN '1:FATAL:0.0'
                 WHEN f >= 3 THEN '1:RETRY:0.15,2:RETRY:0.3,3:RETRY:0.45,3:EXHAUSTED:0.0'
