@@ -12,12 +12,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NONE = -(1 << 63)
 
 
-def normalised(docs):
-    """The text with A-Z lower-cased, null as empty. The one-row generator keeps it from being computed anew for every
+def normalised(docs, *kept):
+    """The text with A-Z lower-cased, null as empty, and the columns `kept`. The one-row generator keeps it from being computed anew for every
     block, as it would be if the optimizer merged the projections."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lowered = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(lowered_by_letters(text))
-    return docs.select("doc_id", F.explode(F.array(lowered)).alias("norm"))
+    return docs.select(*kept, F.explode(F.array(lowered)).alias("norm"))
 
 
 def lowered_by_letters(text):
@@ -41,11 +41,11 @@ def numbered(distinct, *keys):
     return distinct.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
 
 
-def name_documents(docs, block=BLOCK, hash_of=block_hash, scratch=None):
+def name_documents(docs, block=BLOCK, hash_of=block_hash, scratch=None, row=None):
     """One row per document: (row, doc_id, n, name, text_sha256); texts are equal exactly if n and name are.
 
-    Null text counts as empty; repeated and null doc_ids keep their own rows (row tells them apart); other columns are
-    ignored; an empty table gives no rows.
+    Null text counts as empty; repeated and null doc_ids keep their own rows (row tells them apart; it is the column of
+    that name, a long that no two rows share, or a number given here); other columns are ignored; an empty table gives no rows.
 
     Texts are shuffled once, to make blocks distinct before they are sorted and named, so a block that a third of all
     documents hold counts once per task. From then on only integers move. A name belongs to a hash of the block; hashes
@@ -53,11 +53,11 @@ def name_documents(docs, block=BLOCK, hash_of=block_hash, scratch=None):
     names distinct pairs the same way; joins back to hot names are ones that adaptive execution splits.
     """
     scratch = scratch or Scratch(docs.sparkSession, "blocks")
-    norm = normalised(docs)
+    norm = normalised(docs, *[c for c in ("doc_id", row) if c])
     pieces = norm.select(F.explode(blocks_of(F.col("norm"), block)).alias("block")).withColumn("h", hash_of("block"))
     names = scratch.save(numbered(pieces.select("h", "block").distinct(), "h", "block").drop("block"), "names")
     shared = scratch.save(names.groupBy("h").count().where("count > 1").select("h"), "shared")
-    numbered_docs = norm.select(F.monotonically_increasing_id().alias("row"), "doc_id", "norm")
+    numbered_docs = norm.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), "doc_id", "norm")
     collide = not shared.isEmpty()
     if collide:
         numbered_docs = scratch.save(numbered_docs, "numbered")

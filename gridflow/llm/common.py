@@ -70,13 +70,29 @@ def texts_of(frame, *columns):
 BROADCAST_IDS = 1_000_000
 
 
+#: The column by which stages know rows apart.
+ROW = "_row"
+
+
+def with_rows(docs, scratch):
+    """docs with a long `ROW` that no two rows share: the doc_id where all differ and none is null, else a number, for which
+    the table is written once more, since a number given twice could differ."""
+    doc_id = F.col("doc_id").cast("long")
+    told = docs.select(doc_id.alias("doc_id")).agg(
+        F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids"), F.min("doc_id").alias("low"),
+        F.max("doc_id").alias("high")).first()
+    if told["rows"] == told["ids"] and (told["low"] or 0) > -1 << 61 and (told["high"] or 0) < 1 << 61:
+        return docs.withColumn(ROW, doc_id)
+    return scratch.save(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def without(docs, gone):
-    """docs without the doc_ids in `gone` (a written table). Documents that share a doc_id go or stay together, and those
-    without one stay."""
-    ids = gone.select("doc_id").where("doc_id is not null").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+    """docs, which `with_rows` gave, without the rows that `gone` (a written table with a column `row`) names, and without
+    their `ROW`."""
+    rows = gone.select(F.col("row").alias(ROW))
+    if rows.count() <= BROADCAST_IDS:
+        rows = F.broadcast(rows)
+    return docs.join(rows, ROW, "left_anti").drop(ROW).select([c for c in docs.columns if c != ROW])
 
 
 def rows_out(schema, columns):

@@ -29,15 +29,15 @@ def copies(rows):
     return {i: (max(own), len(own)) for own in groups.values() for i in own}
 
 
-def shingles(text):
+def shingles(text, count=4):
     words = text.translate(LOWER).replace("\t", " ").replace("\n", " ").replace("\x0b", " ").replace("\x0c", " ").replace(
         "\r", " ").split(" ")
     words = [w for w in words if w]
-    return frozenset(tuple(words[i:i + 4]) for i in range(max(1, len(words) - 3))) if words else frozenset()
+    return frozenset(tuple(words[i:i + count]) for i in range(max(1, len(words) - count + 1))) if words else frozenset()
 
 
-def near(rows):
-    sets = {i: shingles(t) for i, t in rows}
+def near(rows, count=4, percent=85):
+    sets = {i: shingles(t, count) for i, t in rows}
     pairs = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and sets[b]
-             and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     return sets, joined(pairs, sets)
