@@ -1,11 +1,11 @@
 """A corpus made ready for training, stage by stage; every stage is written and read again as the next one's documents.
 
-Documents are known by their doc_id: rows that share one go or stay together, and rows without one are never removed as
-duplicates. An empty table passes through all stages as an empty table.
+Every row is a document of its own, whatever its doc_id: of equal or nearly equal texts one row stays, also where ids repeat or
+are null, and a text that nothing equals stays whoever shares its id. An empty table passes through all stages as one.
 """
 
 from gridflow.llm import blocks, jaccard, packing, secrets, toxicity
-from gridflow.llm.common import Scratch, without
+from gridflow.llm.common import ROW, Scratch, with_rows, without
 from gridflow.llm.tokens import default_path
 
 #: Words of a shingle and the percent of near copies; op6 has its own.
@@ -19,18 +19,19 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def drop_copies(spark, docs, sf_dir):
-    """Of equal texts (A-Z lower-cased), the document with the largest doc_id."""
+    """Of equal texts (A-Z lower-cased), the row with the largest doc_id."""
     scratch = Scratch(spark, "copies")
-    found = blocks.duplicates(blocks.name_documents(docs, scratch=scratch), scratch)
-    return without(docs, scratch.save(found.where("not kept and doc_id <> keep_id").select("doc_id"), "gone"))
+    docs = with_rows(docs, scratch)
+    found = blocks.duplicates(blocks.name_documents(docs, scratch=scratch, row=ROW), scratch)
+    return without(docs, scratch.save(found.where("not kept").select("row"), "gone"))
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document, that with the smallest doc_id, of each class linked by a Jaccard similarity of 0.8 on
-    shingles of five words."""
+    """One row, that with the smallest doc_id, of each class linked by a Jaccard similarity of 0.8 on shingles of five words."""
     scratch = Scratch(spark, "near-copies")
-    found = jaccard.jaccard_join(docs, scratch, NEAR_WORDS, NEAR_PERCENT)
-    return without(docs, scratch.save(found.where("not kept and doc_id <> component_id").select("doc_id"), "gone"))
+    docs = with_rows(docs, scratch)
+    found = jaccard.jaccard_join(docs, scratch, NEAR_WORDS, NEAR_PERCENT, row=ROW)
+    return without(docs, scratch.save(found.where("not kept").select("row"), "gone"))
 
 
 def mask_secrets(spark, docs, sf_dir):
