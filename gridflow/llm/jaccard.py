@@ -17,7 +17,8 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, ready, texts_of
+from .common import Scratch, components, ready, rows_out, texts_of
+from .tokens import forget
 
 #: Words of a shingle, and the percent at which two documents link (100 * intersection >= percent * union), where the
 #: caller does not say.
@@ -27,9 +28,12 @@ SPARE, MORE = 1.15, 2
 #: The first segments, which are also indexed by one-deletion neighbourhoods.
 WIDE = 2
 #: Words whose hashes a worker remembers, and candidates up to which their ids are broadcast.
-KNOWN_WORDS, BROADCAST_IDS = 400_000, 1_000_000
-#: Records of a key beyond which they are compared in blocks, and the records of a block that ask and that are asked.
-HOT, ASKING, ASKED = 64, 128, 256
+KNOWN_WORDS, BROADCAST_IDS = 150_000, 1_000_000
+#: The records of a key are compared in blocks: so many that ask and that are asked.
+ASKING, ASKED = 256, 512
+#: Bits of a record's parity word, in all and per shingle in which linked sets may differ. Counts of few shingles scatter more, so
+#: their words are longer for it.
+PARITY_BITS, PARITY_EACH = 256, 4
 U = np.uint64
 
 
@@ -58,10 +62,11 @@ class Shingler:
         size = min(self.words, len(w))
         if not size:
             return w
-        total = np.full(len(w) - size + 1, size, U)
+        total, factor = np.full(len(w) - size + 1, size, U), 0x9E3779B97F4A7C15
         for i in range(size):
-            total = mix(total * U(0x9E3779B97F4A7C15) + w[i:len(w) - size + 1 + i])
-        return np.unique(total)
+            total += w[i:len(w) - size + 1 + i] * U(factor)
+            factor = factor * 0xD1342543DE82EF95 % (1 << 64)
+        return np.unique(mix(total))
 
 
 def digest(shingles):
@@ -112,7 +117,7 @@ def keys(shingles, band, percent=PERCENT):
     place = ((spread >> U(33)) % U(count)).astype(np.int64)
     inside = place < upto
     place, spread = place[inside], spread[inside]
-    order = np.argsort(place, kind="stable")
+    order = np.argsort(place.astype(np.uint16) if upto < 1 << 16 else place, kind="stable")
     place, spread = place[order], spread[order]
     value = np.zeros(upto, U)
     if len(place):
@@ -124,6 +129,14 @@ def keys(shingles, band, percent=PERCENT):
     return own.view(np.int64), [x.view(np.int64) for x in near] + [np.zeros(0, np.int64)] * (WIDE - len(near))
 
 
+def parity(shingles, band, percent=PERCENT):
+    """The parity word of a set in a band: one bit per cell, set if an odd number of the set's shingles fall into it. Words of
+    two sets differ in no more bits than the sets differ in shingles."""
+    words = -(-(PARITY_BITS + PARITY_EACH * most_different(largest(band, percent), percent)) // 64)
+    cells = (mix(shingles ^ U(0x5851F42D4C957F2D + band)) >> U(11)) % U(64 * words)
+    return np.packbits(np.bincount(cells.astype(np.int64), minlength=64 * words) & 1, bitorder="little").tobytes()
+
+
 def lists(values, kind):
     """An Arrow list column of numpy arrays."""
     offsets = np.zeros(len(values) + 1, np.int32)
@@ -132,43 +145,52 @@ def lists(values, kind):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def sketch(docs, words, percent):
+def sketch(docs, words, percent, row=None):
     """One row per document, and a second, not `main`, per document that a second band concerns:
-    (row, main, doc_id, n, d1, d2, own, wide0, wide1). Sets that can only link with equal ones have no keys."""
+    (row, main, doc_id, n, d1, d2, bits, own, wide0, wide1). Sets that can only link with equal ones have no keys. `row` is
+    a column of docs that tells rows apart, or they are numbered here."""
 
     def sketched(batches):
+        forget()
         shingler, part, made = Shingler(words), TaskContext.get().partitionId() << 33, 0
         for batch in batches:
             rows, own, wide = [], [], [[], []]
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+            named = batch[row].to_pylist() if row else range(part + made, part + made + len(batch))
+            for number, doc_id, text in zip(named, batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 s = shingler.hashes(text)
                 d1, d2 = digest(s)
                 of = bands(len(s), percent) if len(s) and most_different(len(s), percent) else [None]
                 for i, band in enumerate(of):
                     empty = np.zeros(0, np.int64)
                     k, near = (empty, [empty] * WIDE) if band is None else keys(s, band, percent)
-                    rows.append((part + made, i == 0, doc_id, len(s), d1, d2))
+                    bits = None if band is None else parity(s, band, percent)
+                    rows.append((number, i == 0, doc_id, len(s), d1, d2, bits))
                     own.append(k)
                     for column, x in zip(wide, near):
                         column.append(x)
-                made += 1
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            names = ["row", "main", "doc_id", "n", "d1", "d2", "own", "wide0", "wide1"]
+            made += len(batch)
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * len(kinds), kinds)]
+            names = ["row", "main", "doc_id", "n", "d1", "d2", "bits", "own", "wide0", "wide1"]
             yield pa.RecordBatch.from_arrays(columns + [lists(c, pa.int64()) for c in (own, *wide)], names=names)
 
     longs = "array<long>"
-    return texts_of(docs, "doc_id").mapInArrow(
-        sketched, f"row long, main boolean, doc_id long, n int, d1 long, d2 long, own {longs}, wide0 {longs}, wide1 {longs}")
+    return texts_of(docs, "doc_id", *([row] if row else [])).mapInArrow(
+        sketched, f"row long, main boolean, doc_id long, n int, d1 long, d2 long, bits binary, own {longs}, wide0 {longs}, "
+                  f"wide1 {longs}")
+
+
+def record():
+    """A row's number in one of its bands."""
+    return (F.col("row") * 2 + F.col("main").cast("int")).alias("record")
 
 
 def entries(sketches):
     """The index entries of all records: (record, key, slot); slots from 0 are segments, -1 and -2 neighbourhoods."""
-    record = (F.col("row") * 2 + F.col("main").cast("int")).alias("record")
     own = F.transform("own", lambda key, i: F.struct(key.alias("key"), i.alias("slot")))
     near = [F.transform(f"wide{w}", lambda key: F.struct(key.alias("key"), F.lit(-1 - w).alias("slot")))  # noqa: B023
             for w in range(WIDE)]
-    return sketches.select(record, F.inline(F.concat(own, *near)))
+    return sketches.select(record(), F.inline(F.concat(own, *near)))
 
 
 def choose_probes(listed, percent):
@@ -235,69 +257,82 @@ def verify(docs, pairs, classes, scratch, words, percent):
     return links
 
 
-def signatures_of(sketches, records, scratch):
-    """(record, n, own): the segments' keys of some records."""
-    records = scratch.save(records, "records")
-    wanted = F.broadcast(records) if records.count() <= BROADCAST_IDS else records
-    own = sketches.select((F.col("row") * 2 + F.col("main").cast("int")).alias("record"), "n", "own")
-    return scratch.save(own.join(wanted, "record", "left_semi"), "signatures")
-
+def candidates(members, askers, marks, percent):
+    """(a, b, apart, p, q): rows of different components p and q that share a key and whose parity words differ in no more
+    places, `apart`, than linked sets may differ in shingles.
 
-def compared(members, askers, signatures, percent):
-    """Pairs (a, b) of records of hot keys, in different components, that have as many equal segments as linked sets must
-    have. Askers and members of a key are cut into blocks, and each pair of blocks is compared in one task, so that a key
-    with very many records yields only the pairs that may link."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / ASKED).alias("to"))
-    sizes = sizes.join(askers.groupBy("key").agg(F.ceil(F.count("*") / ASKING).alias("of")), "key")
+    Askers and members of a key are cut into blocks, and each pair of blocks is compared in one task, so that no key is too
+    large for it, and a key with very many records yields only pairs that may well link.
+    """
+    count = lambda t, n: t.groupBy("key").agg(F.ceil(F.count("*") / n))
+    sizes = count(members, ASKED).toDF("key", "to").join(count(askers, ASKING).toDF("key", "of"), "key")
     number = lambda n: F.pmod(F.xxhash64("record"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    told = lambda t: t.join(sizes, "key").join(signatures, "record")
-    item = ["row", "part", "n", "own"]
+    item = ["row", "part", "n", "bits"]
+    told = lambda t: t.join(sizes, "key").join(marks, "record")
     asking = told(askers).select("key", *item, F.lit(True).alias("asks"), number("of").alias("x"), every("to").alias("y"))
     asked = told(members).select("key", *item, F.lit(False).alias("asks"), number("to").alias("y"), every("of").alias("x"))
-    blocks = asking.unionByName(asked).groupBy("key", "x", "y").agg(
-        F.collect_list(F.struct("asks", *item)).alias("members"))
+    blocks = asking.unionByName(asked).groupBy("key", "x", "y").agg(F.collect_list(F.struct("asks", *item)).alias("members"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int32()), ("p", pa.int64()), ("q", pa.int64())])
 
     def paired(batches):
         for batch in batches:
-            a, b = [], []
-            for members in batch["members"]:
-                own = members.values
+            out = [np.zeros((5, 0), np.int64)]
+            for own in batch["members"]:
+                own = own.values
                 asks, row, part, n = (own.field(c).to_numpy(zero_copy_only=False) for c in ("asks", "row", "part", "n"))
-                lists_ = own.field("own")
-                upto = min(segments(int(n.min()), percent), segments(int(n.max()), percent))
-                keys_ = np.stack([np.asarray(lists_[i].values)[:upto] for i in range(len(lists_))])
-                asks = asks.astype(bool)
+                asks, n = asks.astype(bool), n.astype(np.int64)
+                words = np.frombuffer(b"".join(own.field("bits").to_pylist()), U).reshape(len(own), -1)
                 others = np.flatnonzero(~asks)
                 for i in np.flatnonzero(asks):
-                    equal = (keys_[others] == keys_[i]).sum(1)
-                    most = (100 - percent) * (n[others] + n[i]) // (100 + percent)
-                    near = others[(equal >= upto - most) & (part[others] != part[i])]
-                    a += np.minimum(row[near], row[i]).tolist()
-                    b += np.maximum(row[near], row[i]).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    at = others[part[others] != part[i]]
+                    apart = np.bitwise_count(words[at] ^ words[i]).sum(1, dtype=np.int64)
+                    near = apart <= (100 - percent) * (n[at] + n[i]) // (100 + percent)
+                    at, apart = at[near], apart[near]
+                    first = row[at] < row[i]
+                    out.append(np.stack([np.minimum(row[at], row[i]), np.maximum(row[at], row[i]), apart,
+                                         np.where(first, part[at], part[i]), np.where(first, part[i], part[at])]))
+            yield rows_out(schema, [c.astype(f.type.to_pandas_dtype()) for c, f in zip(np.concatenate(out, axis=1), schema)])
 
-    return blocks.select("members").mapInArrow(paired, "a long, b long")
+    return blocks.select("members").mapInArrow(paired, "a long, b long, apart int, p long, q long")
 
 
-def jaccard_join(docs, scratch=None, words=WORDS, percent=PERCENT):
+def in_components(pairs, grouped):
+    """Pairs (a, b) with the components p and q that they lie in now, where these differ."""
+    at = lambda end, name: grouped.select(F.col("node").alias(end), F.col("component").alias(name))
+    told = pairs.select("a", "b", "apart").join(at("a", "p"), "a", "left").join(at("b", "q"), "b", "left")
+    told = told.withColumns({"p": F.coalesce("p", "a"), "q": F.coalesce("q", "b")})
+    return told.where("p <> q")
+
+
+def nearest_of_components(pairs):
+    """Of all pairs between two components the one with the fewest differences."""
+    ends = [F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")]
+    best = pairs.groupBy(*ends).agg(F.min(F.struct("apart", "a", "b")).alias("best"))
+    return best.select("best.a", "best.b")
+
+
+def jaccard_join(docs, scratch=None, words=WORDS, percent=PERCENT, row=None):
     """Classes of linked documents: (row, doc_id, n_shingles, component_id, kept), one row per document. Documents link
     when their sets of shingles of so many words have a Jaccard similarity of so many percent or more.
 
     component_id is the smallest doc_id reachable by links, kept marks the first row that has it. Null and empty texts,
     and texts of white space, have no shingles and link with nothing; equal sets of one shingle or more always link;
-    repeated and null doc_ids keep their own rows; other columns are ignored; an empty table gives no rows.
+    repeated and null doc_ids keep their own rows (`row` names a column of longs within 2^61 that tells them apart, else rows are
+    numbered); other columns are ignored; an empty table gives no rows. Shingles are told apart by 64-bit hashes, equal
+    sets by 128-bit ones.
 
     Equal sets are one class throughout. Index entries move twice as integers: to be counted, and to meet the keys that
-    at least two records have, a small rest. Large groups of near copies are not joined all with all: first each record
-    that has anything to probe is compared with the best connected record that it shares many keys with, and only
-    records that this leaves in different components meet again by their probes, for hot keys in blocks that yield only
-    pairs with enough equal segments. So pairs are few and no link between components is lost.
+    at least two classes have, a small rest. Groups of near copies are not joined all with all. First each record that has
+    anything to probe is compared with the best connected record that it shares many keys with, which leaves components.
+    Records of different components that meet by a probe are compared by their parity words, in blocks, and only those
+    that these allow are pairs. Of the pairs of two components the nearest is verified first; what then still lies in
+    different components is verified too. So pairs are few and no link between components is lost.
     """
     spark = docs.sparkSession
     ready(spark)
     scratch = scratch or Scratch(spark, "jaccard")
-    sketches = scratch.save(sketch(docs, words, percent), "sketches")
+    sketches = scratch.save(sketch(docs, words, percent, row), "sketches")
     main = sketches.where("main").select("row", "doc_id", "n", "d1", "d2")
     classes = scratch.save(main.where("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(F.struct("row", "doc_id")).alias("first"), F.count("*").alias("rows"))
@@ -305,55 +340,57 @@ def jaccard_join(docs, scratch=None, words=WORDS, percent=PERCENT):
     copied = scratch.save(classes.where("rows > 1").select("d1", "d2", "rep"), "copied")
     members = scratch.save(main.join(copied, ["d1", "d2"], "left").select(
         "row", "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("rep", "row")).otherwise(F.col("row")).alias("rep")), "members")
-
-    counted = entries(sketches).groupBy("key").agg(F.count("*").alias("cnt")).where("cnt > 1").select("key")
-    shared = scratch.save(counted, "shared")
-    met = scratch.save(entries(sketches).join(shared, "key"), "met")
+    scratch.drop(copied)
+    spare = scratch.save(members.where("row <> rep").select("row"), "spare")
+    if spare.count() <= BROADCAST_IDS:
+        spare = F.broadcast(spare)
+    single = sketches.where("bits is not null").join(spare, "row", "left_anti")
+
+    shared = scratch.save(entries(single).groupBy("key").agg(F.count("*").alias("cnt")).where("cnt > 1"), "shared")
+    index = scratch.save(entries(single).join(shared, "key").select("key", "record", "slot", "cnt"), "index")
     scratch.drop(shared)
-    reps = classes.select(F.col("rep").alias("row"), "n")
-    met = met.withColumn("row", F.expr("record div 2")).join(reps, "row")
-    met = scratch.save(met, "met-reps")
-    counts = met.groupBy("key").agg(F.count_distinct("row").alias("cnt")).where("cnt > 1")
-    counts = scratch.save(counts, "counts")
-    index = scratch.save(met.join(counts, "key"), "index")
-    listed = scratch.save(index.groupBy("record").agg(
-        F.first("row").alias("row"), F.first("n").alias("n"), F.sum("cnt").alias("degree"),
-        F.collect_list(F.struct("cnt", "slot", "key")).alias("found")), "listed")
-    probes = scratch.save(choose_probes(listed.select("record", "n", "found"), percent), "probes")
-    hot = scratch.save(counts.where(F.col("cnt") > HOT).join(probes.select("key").distinct(), "key").select("key"), "hot")
-    signatures = signatures_of(sketches, index.join(hot, "key").select("record").distinct(), scratch)
-    scratch.drop(sketches, met)
-
-    degrees = listed.groupBy("row").agg(F.sum("degree").alias("degree"))
-    keyed = scratch.save(index.where("slot >= 0").select("key", "row").distinct(), "keyed")
-    centers = scratch.save(keyed.join(degrees, "row").groupBy("key").agg(
-        F.max(F.struct("degree", "row"))["row"].alias("center")), "centers")
-    probing = probes.select(F.expr("record div 2").alias("row")).distinct().join(reps, "row")
-    probing = scratch.save(probing.select("row", (shared_least(F.col("n"), percent) / 2).alias("least")), "probing")
-    tried = keyed.join(probing, "row").join(centers, "key").where("row <> center").groupBy("row", "center").agg(
-        F.count("*").alias("times"), F.first("least").alias("least")).where("times >= least")
-    favourite = tried.groupBy("row").agg(F.max(F.struct("times", "center"))["center"].alias("center"))
+    marks = single.select(record(), "n", "bits").join(index.select("record").distinct(), "record")
+    marks = scratch.save(marks, "marks")
+    scratch.drop(sketches)
+    row_of = F.shiftright("record", 1).alias("row")
+    listed = index.groupBy("record").agg(F.sum("cnt").alias("degree"), F.collect_list(F.struct("cnt", "slot", "key")).alias("found"))
+    listed = scratch.save(listed.join(marks.select("record", "n"), "record"), "listed")
+    probes = scratch.save(choose_probes(listed.select("record", "n", "found"), percent).distinct(), "probes")
+
+    degrees = listed.groupBy(row_of).agg(F.sum("degree").alias("degree"))
+    keyed = index.where("slot >= 0").select("key", row_of)
+    centers = keyed.join(degrees, "row").groupBy("key").agg(F.max(F.struct("degree", "row"))["row"].alias("center"))
+    centers = scratch.save(centers, "centers")
+    probing = probes.select("record").distinct().join(marks.select("record", "n"), "record").select(
+        row_of, (shared_least(F.col("n"), percent) / 2).alias("least")).distinct()
+    tried = keyed.join(scratch.save(probing, "probing"), "row").join(centers, "key").where("row <> center")
+    tried = tried.groupBy("row", "center").agg(F.count("*").alias("times"), F.first("least").alias("least"))
+    favourite = tried.where("times >= least").groupBy("row").agg(F.max(F.struct("times", "center"))["center"].alias("center"))
     near = scratch.save(favourite.select(F.least("row", "center").alias("a"), F.greatest("row", "center").alias("b"))
                         .distinct(), "near")
-    first_links = verify(docs, near, classes, scratch, words, percent)
-    grouped = components(scratch, first_links)
+    scratch.drop(listed, centers)
+    links = verify(docs, near, classes, scratch, words, percent)
+    grouped = components(scratch, links)
 
-    at = index.select("key", "record", "row").distinct().join(grouped.withColumnRenamed("node", "row"), "row", "left")
+    at = index.select("key", "record", row_of).distinct().join(grouped.withColumnRenamed("node", "row"), "row", "left")
     at = scratch.save(at.select("key", "record", "row", F.coalesce("component", "row").alias("part")), "parts")
+    scratch.drop(index)
     mixed = scratch.save(at.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y"))
                          .where("x <> y").select("key"), "mixed")
     inside = scratch.save(at.join(mixed, "key"), "inside")
-    asked = scratch.save(probes.distinct().join(inside, ["key", "record"]), "asked")
-    few, askers = (t.join(hot, "key", "left_anti") for t in (inside, asked))
-    askers = askers.select("key", F.col("row").alias("r"), F.col("part").alias("p"))
-    crossing = askers.join(few, (askers["key"] == few["key"]) & (askers["p"] != few["part"]))
-    rest = crossing.select(F.least("r", "row").alias("a"), F.greatest("r", "row").alias("b"))
-    rest = rest.union(compared(inside.join(hot, "key"), asked.join(hot, "key"), signatures, percent))
-    rest = scratch.save(rest.distinct(), "rest")
-    more_links = verify(docs, rest.join(near, ["a", "b"], "left_anti"), classes, scratch, words, percent)
-    final = components(scratch, first_links.union(more_links))
-
-    own = members.join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    asked = scratch.save(probes.join(inside, ["key", "record"]), "asked")
+    met = candidates(inside, asked, marks, percent).groupBy("a", "b").agg(
+        F.min("apart").alias("apart"), F.min("p").alias("p"), F.min("q").alias("q"))
+    rest = scratch.save(met.join(near, ["a", "b"], "left_anti"), "rest")
+    scratch.drop(at, mixed, inside, asked, probes, marks)
+    first = scratch.save(nearest_of_components(rest), "first")
+    links = scratch.save(links.union(verify(docs, first, classes, scratch, words, percent)), "links")
+    last = in_components(rest.join(first, ["a", "b"], "left_anti"), components(scratch, links))
+    last = scratch.save(last.select("a", "b"), "last")
+    grouped = components(scratch, links.union(verify(docs, last, classes, scratch, words, percent)))
+    scratch.drop(rest, first, last)
+
+    own = members.join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
     own = scratch.save(own.select("row", "doc_id", "n", F.coalesce("component", "rep").alias("root")), "roots")
     groups = own.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"),
                                      F.count("*").alias("rows"))

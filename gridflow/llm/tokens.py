@@ -138,3 +138,8 @@ def encoder(path, drops_space):
     if key not in _encoders:
         _encoders[key] = Encoder(path, drops_space)
     return _encoders[key]
+
+
+def forget():
+    """Drop the worker's encoders: an operator that needs its memory for something else leaves no more than its own behind."""
+    _encoders.clear()

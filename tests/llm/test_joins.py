@@ -58,12 +58,13 @@ def test_jaccard_join(spark, seed):
     assert Counter(r.component_id for r in found if r.kept) == Counter(set(wanted.values()))
 
 
-@pytest.mark.parametrize("hot", [64, 4])
-def test_jaccard_groups_of_near_copies(spark, hot, monkeypatch):
+@pytest.mark.parametrize("block", [512, 4])
+def test_jaccard_groups_of_near_copies(spark, block, monkeypatch):
     """Copies that link only through their base, copies at the limit, and a boilerplate that most texts are made of; with
-    few and with many keys that count as hot."""
-    monkeypatch.setattr(jaccard, "HOT", hot)
-    rng = random.Random(7 + hot)
+    keys that are compared in one and in many blocks."""
+    monkeypatch.setattr(jaccard, "ASKED", block)
+    monkeypatch.setattr(jaccard, "ASKING", block)
+    rng = random.Random(7 + block)
     word = lambda: "".join(rng.choices("abcdefghij", k=6))
     base = [word() for _ in range(203)]
     texts = [" ".join(base)]
@@ -81,6 +82,51 @@ def test_jaccard_groups_of_near_copies(spark, hot, monkeypatch):
     assert found == wanted
 
 
+@pytest.mark.parametrize("words, percent", [(5, 80), (4, 85), (1, 60)])
+def test_parity_words_never_differ_more_than_sets(words, percent):
+    rng = np.random.default_rng(words)
+    for n in (9, 17, 40, 200, 900):
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for kept in (n, n - 1, n // 2, 0):
+            y = np.unique(np.append(x[:kept], rng.integers(0, 1 << 63, n - kept, dtype=np.uint64)))
+            band = jaccard.bands(n, percent)[0]
+            p, q = (np.frombuffer(jaccard.parity(s, band, percent), np.uint64) for s in (x, y))
+            apart = int(np.bitwise_count(p ^ q).sum())
+            assert apart <= len(np.setxor1d(x, y)) and (apart == 0 or kept < n)
+
+
+def test_groups_that_differ_too_much_give_few_pairs(spark):
+    """300 texts that differ from one base in 3 to 6 of 200 words link with it or not, but hardly with each other."""
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    base = [word() for _ in range(200)]
+    texts = []
+    for _ in range(300):
+        own = list(base)
+        for at in rng.sample(range(200), rng.randint(3, 6)):
+            own[at] = word()
+        texts.append(" ".join(own))
+    made, save = [], Scratch.save
+
+    class Watched(Scratch):
+        def save(self, frame, name):
+            table = save(self, frame, name)
+            if name in ("near", "rest"):
+                made.append(table.count())
+            return table
+
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_join(frame_of(spark, texts), Watched(spark, "t")).collect()}
+    assert found == near(list(enumerate(texts)))[1]
+    assert sum(made) < 3000
+
+
+@pytest.mark.parametrize("words, percent", [(5, 80), (1, 60)])
+def test_jaccard_of_other_shingles(spark, words, percent):
+    texts = corpus(11, 300)
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_join(frame_of(spark, texts), None, words, percent).collect()}
+    assert found == near(list(enumerate(texts)), words, percent)[1]
+
+
 def test_pigeonhole_numbers():
     for n in range(1, 3000):
         for m in (n, 100 * n // 85):
