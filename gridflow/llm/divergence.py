@@ -14,6 +14,8 @@ LEAST_DOCS, TERM_RANKS = 10, 10
 SHARD_BYTES, SLICE = 16 << 20, 8
 #: Counts of a block of terms that one task compares, numbers it holds at once, and sources of a block of results.
 BLOCK_COUNTS, HELD, SOURCES = 1 << 16, 1 << 20, 64
+#: Parts into which a lang's terms are dealt to learn how many blocks it has.
+SALTS = 64
 #: Shares are counted in billionths, after two are added to each count.
 UNIT, ADDED = 10 ** 9, 2
 
@@ -156,7 +158,9 @@ def pair_values(kept, langs):
     one task, which holds few of its terms and a few of its sources at a time.
     """
     sizes = kept.groupBy("lang").agg(F.ceil(F.sum(F.size("counts")) / BLOCK_COUNTS).alias("blocks"))
-    blocks = kept.join(sizes, "lang").groupBy("lang", F.pmod(F.xxhash64("term"), "blocks").alias("block")).agg(
+    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    told = kept.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int")).join(salted, ["lang", "salt"])
+    blocks = told.groupBy("lang", F.pmod(F.xxhash64("term"), "blocks").alias("block")).agg(
         F.collect_list("counts").alias("terms"))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1)) - 1)).alias("block")
     dealt = langs.join(sizes, "lang", "left").select("lang", "v", "sources", each)
@@ -197,7 +201,9 @@ def pair_values(kept, langs):
 
 def term_values(kept, langs, groups):
     """(lang, source, item, value): the terms that a source uses more than its lang does, and their distances."""
-    told = kept.join(langs.select("lang", "v", "n"), "lang").select(
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    kept = kept.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int"))
+    told = kept.join(langs.select("lang", "v", "n", salt), ["lang", "salt"]).select(
         "lang", "v", "term", share("total", "n + 2 * v").alias("q"), F.explode("counts").alias("e"))
     told = told.select("lang", "v", F.col("term").alias("item"), "q", "e.source", "e.count").join(
         groups.withColumnRenamed("n", "own"), ["lang", "source"])
