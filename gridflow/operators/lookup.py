@@ -41,4 +41,5 @@ def lookup(facts, dim, key, max_broadcast_bytes=BROADCAST_BYTES, salts=STREAM_SA
 def _salted(facts, dim, key, salts):
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
     spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", salt).join(spread, [key, "_salt"], "left").drop("_salt")
+    # Spark's estimate of `spread` knows neither the copies nor what packed files unfold to, and would have it broadcast.
+    return facts.withColumn("_salt", salt).join(spread.hint("merge"), [key, "_salt"], "left").drop("_salt")

@@ -82,3 +82,12 @@ def test_salted_stream_lookup(spark, tmp_path):
     query = joined.writeStream.format("memory").queryName("salted").trigger(availableNow=True).start()
     query.awaitTermination()
     assert rows_of(spark.table("salted")) == rows_of(facts(spark).join(dimension(spark), "household_id", "left"))
+
+
+def test_stream_lookup_is_not_broadcast(spark, tmp_path, plan_of):
+    """Also where Spark's estimate of a dimension beyond the limit is small, as for well packed files."""
+    facts(spark, 300).write.parquet(str(tmp_path / "facts"))
+    dimension(spark).write.parquet(str(tmp_path / "dim"))
+    stream = spark.readStream.schema("household_id string, n bigint").parquet(str(tmp_path / "facts"))
+    plan = plan_of(lookup(stream, spark.read.parquet(str(tmp_path / "dim")), "household_id", max_broadcast_bytes=0))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
