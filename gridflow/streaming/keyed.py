@@ -1,6 +1,7 @@
 """The order flow with keyed state: totals by product that go on across restarts, and failing messages that wait for their
-retry in the state store. Both need the RocksDB state store, which `build_session` sets."""
+retry in the state store. Both need the RocksDB state store; they are started with it, whatever the session has."""
 
+from contextlib import contextmanager
 from decimal import Decimal
 
 from pyspark import cloudpickle
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 from .. import fixed_values as V
 from ..functions import average
 from ..operators.orders import PRICE_TYPE, classify, is_accepted, resolve, total_type, with_audit_trail
+from ..session import ROCKSDB
 from ..sinks.files import write_once
 from . import processors
 from .zones import trigger_of
@@ -77,21 +79,51 @@ class TotalsTable:
         return told.withColumn("avg_price", average(F.col("total"), F.col("orders")))
 
 
+@contextmanager
+def _rocksdb(spark):
+    """RocksDB state for the queries started meanwhile: a query takes the settings as they are when it starts."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def start_totals(totals, table, checkpoint, trigger=V.TRIGGER_INTERVAL):
-    return (totals.writeStream.foreachBatch(table.write).outputMode("update")
-            .option("checkpointLocation", checkpoint).trigger(**trigger_of(trigger)).start())
+    with _rocksdb(totals.sparkSession):
+        return (totals.writeStream.foreachBatch(table.write).outputMode("update")
+                .option("checkpointLocation", checkpoint).trigger(**trigger_of(trigger)).start())
 
 
 def parked_retries(orders, max_retries=V.MAX_RETRIES, backoff_s=V.BACKOFF_STEP_S, price_type=PRICE_TYPE):
     """A stream of orders to their outcomes, as `resolve` gives them, each when it is known: attempt n of a message that fails
     for a time comes n - 1 backoffs after the one before. `seq` must be unique; a message sent again while it waits is left out.
+
+    Only messages that have to wait go through the state; the others are settled at their first attempt, row by row.
     """
     checked = classify(orders, price_type).select(
         "seq", "orderId", "product", "price", F.coalesce("transient_failures", F.lit(0)).alias("failures"), "permanent_error",
         F.col("error_reason").alias("refused"))
-    return checked.groupBy("seq").transformWithStateInPandas(
+    waits = F.col("refused").isNull() & (F.col("failures") > 0) & F.lit(max_retries > 1)
+    parked = checked.where(waits).groupBy("seq").transformWithStateInPandas(
         processors.ParkedRetries(max_retries, int(backoff_s * 1000), (V.ACCEPTED, V.RECOVERED, V.QUARANTINED),
                                  V.REASON_EXHAUSTED % max_retries), processors.OUTCOME, "append", "processingTime")
+    return _settled(checked.where(~waits), max_retries).unionByName(parked)
+
+
+def _settled(checked, max_retries):
+    """The outcomes of the messages whose first attempt is the last: they need no state."""
+    refused, failures = F.col("refused").isNotNull(), F.greatest(F.col("failures"), F.lit(0))
+    fails = refused | (failures > 0)
+    return checked.select(
+        "seq", "orderId", "product", "price", F.when(refused, F.col("failures")).otherwise(failures).alias("transient_failures"),
+        F.when(refused, F.col("permanent_error")).alias("permanent_error"),
+        F.when(fails, V.QUARANTINED).otherwise(V.ACCEPTED).alias("status"), F.lit(1).alias("attempts"),
+        F.when(refused, 0).otherwise(F.least(failures, F.lit(max_retries))).alias("retries"),
+        F.when(refused, F.col("refused")).when(fails, V.REASON_EXHAUSTED % max_retries).alias("error_reason"),
+        F.lit(0).cast("long").alias("parked_ms"))
 
 
 class OutcomeTable:
@@ -115,5 +147,6 @@ class OutcomeTable:
 def start_parked(outcomes, table, checkpoint, trigger="0 seconds"):
     """Run `parked_retries` into a table. Timers fire between batches, so the query runs until it is stopped; what is still
     parked then goes on when it is started again."""
-    return (outcomes.writeStream.foreachBatch(table.write).outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(**trigger_of(trigger)).start())
+    with _rocksdb(outcomes.sparkSession):
+        return (outcomes.writeStream.foreachBatch(table.write).outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(**trigger_of(trigger)).start())

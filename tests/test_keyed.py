@@ -102,3 +102,26 @@ def test_waiting_messages_end_as_in_a_batch(spark, tmp_path, most):
         "seq", "status", "attempts", "retries", "error_reason", "audit_trail")
     key = lambda r: r.seq
     assert sorted(table.outcomes().select(*found.columns).collect(), key=key) == sorted(found.collect(), key=key)
+
+
+def test_both_run_in_a_session_with_another_state_store(spark, tmp_path):
+    """The session's own setting is left as it was; messages that need not wait never come to the state."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before, other = spark.conf.get(name), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    files, rows = Files(spark, tmp_path / "in"), list(some_orders(60))
+    files.add(rows)
+    totals, outcomes = K.TotalsTable(spark, str(tmp_path / "totals")), K.OutcomeTable(spark, str(tmp_path / "outcomes"))
+    spark.conf.set(name, other)
+    try:
+        K.start_totals(K.product_totals(files.stream(), price_type=PRICE), totals, str(tmp_path / "c1"), "available").awaitTermination()
+        query = K.start_parked(K.parked_retries(files.stream(), backoff_s=0.05, price_type=PRICE), outcomes, str(tmp_path / "c2"))
+        run_until(query, outcomes, 60)
+        assert spark.conf.get(name) == other
+    finally:
+        spark.conf.set(name, before)
+    assert outcomes.outcomes().count() == 60
+    states = [p.stateOperators[0].customMetrics for p in query.recentProgress if p.stateOperators]
+    wait = sum(1 for r in rows if r[3] is not None and r[4] and r[5] is None)
+    assert sum(m.get("numRegisteredTimers", 0) for m in states) >= wait > 0
+    found = {r.product: (r.orders, r.rejects, r.total) for r in totals.by_product().collect()}
+    assert found == by_product(resolve(orders(spark, rows), price_type=PRICE))
