@@ -4,7 +4,8 @@ the few tree nodes above it, and all totals behind it are right again.
 Rows lie in buckets of consecutive numbers, with totals inside the bucket only. A tree holds the totals of buckets, of groups of
 buckets, and so on; what precedes a bucket is the sum of its elder siblings on the way up, one small file a level. Buckets and nodes
 are never changed: a write makes new ones along its paths and commits a new root in the manifest, so a reader sees the log
-before it or after it.
+before it or after it. The nodes that a write makes lie beside each other in pack files of bounded size, as many buckets may mean
+many nodes; a pack goes when the last of its nodes is replaced.
 """
 
 import json
@@ -23,6 +24,8 @@ from .manifest import Manifest
 
 #: Children of a node, as a power of two.
 FAN_BITS = 8
+#: Children in the nodes of one pack file, if it holds more than one node, and packs that are kept in memory.
+PACK_CHILDREN, PACKS_KEPT = 1024, 16
 #: Leaves up to which their offsets are broadcast.
 BROADCAST_LEAVES = 100_000
 MEASURES = ("orders", "rejects", "total")
@@ -39,6 +42,7 @@ class PrefixLog:
     def __init__(self, spark, root, bits=BUCKET_BITS, fan=FAN_BITS):
         self.spark, self.root, self.bits, self.fan = spark, root, bits, fan
         self.manifest = Manifest(spark, root)
+        self._pack, self._packs = None, {}
 
     # --- writing ---------------------------------------------------------------------------
 
@@ -73,7 +77,15 @@ class PrefixLog:
         leaves = {r[0]: {"name": f"{folder}/_bucket={r[0]}", "orders": r[1], "rejects": r[2], "total": str(r[3]),
                          "last": r[4], "rows": r[5]} for r in ends}
         garbage = [f"rows/{c['name']}" for c in old.values()]
-        fresh = self._grown(root, leaves, nodes, garbage)
+        self._pack = None  # of a write that failed
+        replaced, packs = [], dict(root.get("packs", {}) if root else {})
+        fresh = self._grown(root, leaves, nodes, replaced, packs)
+        for pack in (n.partition("#")[0] for n in replaced):
+            packs[pack] = packs.get(pack, 1) - 1
+            if not packs[pack]:
+                garbage.append(f"nodes/{pack}.json")
+                del packs[pack]
+        fresh |= {"packs": packs}
         fresh |= {"schema": json.loads(T.StructType([f for f in rows.schema.fields if f.name != "_bucket"]).json()), "garbage": garbage}
         self._commit(name, fresh)
         return touched
@@ -81,37 +93,53 @@ class PrefixLog:
     def _bucket(self):
         return F.shiftright(F.col("seq").cast("long"), self.bits).alias("_bucket")
 
-    def _grown(self, root, leaves, nodes, garbage):
-        """The new root above the new leaves; its level grows until one node covers all buckets."""
+    def _grown(self, root, leaves, nodes, replaced, packs):
+        """The new root above the new leaves; its level grows until one node covers all buckets. Names the nodes that it replaced
+        and counts the new ones of each pack."""
         level, top = (root["level"], root["top"]) if root else (0, None)
         changed, height = leaves, 0
         while True:
-            known = {}
-            for index in {i >> self.fan for i in changed}:
+            known, below = {}, {}
+            for i in sorted(changed):
+                below.setdefault(i >> self.fan, {})[str(i)] = changed[i]
+            for index, fresh in below.items():
                 before = nodes.get((height, index)) if height <= level else None
                 if before is None and root and height <= level:
                     before = self._node_at(root, height, index, nodes)
                 children = dict(before["children"]) if before else {}
-                children |= {str(i): c for i, c in changed.items() if i >> self.fan == index}
+                children |= fresh
                 if before:
-                    garbage.append(f"nodes/{before['name']}.json")
+                    replaced.append(before["name"])
                 known[index] = self._make(height, index, children)
+                pack = known[index]["name"].partition("#")[0]
+                packs[pack] = packs.get(pack, 0) + 1
             covers = set(known) | ({int(top["index"])} if root and height == level else set())
             if height >= level and len(covers) == 1:
+                self._store()
                 return {"level": height, "top": known[next(iter(known))]}
             if root and height == level and int(top["index"]) not in known:
                 known[int(top["index"])] = top  # the old tree becomes a part of the new one
             changed, height = known, height + 1
 
     def _make(self, level, index, children):
-        """Store a node and return what its parent keeps of it."""
-        name = uuid.uuid4().hex
-        storage.create_once(self.spark, f"{self.root}/nodes/{name}.json", json.dumps({"level": level, "children": children}))
+        """Put a node into the pack at hand and return what its parent keeps of it."""
+        if self._pack and sum(len(n["children"]) for n in self._pack[1]) + len(children) > PACK_CHILDREN:
+            self._store()
+        pack, held = self._pack = self._pack or (uuid.uuid4().hex, [])
+        held.append({"level": level, "children": children})
+        name = f"{pack}#{len(held) - 1}"
         own = children.values()
         orders, rejects, total = _sums(own)
         return {"name": name, "index": index, "orders": orders, "rejects": rejects, "total": str(total),
                 "last": max(c["last"] for c in own), "rows": sum(c["rows"] for c in own)}
 
+    def _store(self):
+        """Write the pack at hand; nothing names it before the root that is committed after it."""
+        if self._pack:
+            pack, held = self._pack
+            storage.create_once(self.spark, f"{self.root}/nodes/{pack}.json", json.dumps(held))
+        self._pack = None
+
     def _commit(self, old, root):
         name = f"root-{uuid.uuid4().hex}"
         storage.create_once(self.spark, f"{self.root}/nodes/{name}.json", json.dumps(root))
@@ -136,7 +164,12 @@ class PrefixLog:
         return (live[-1], json.loads(storage.read_file(self.spark, f"{self.root}/nodes/{live[-1]}.json"))) if live else (None, None)
 
     def _load(self, summary):
-        node = json.loads(storage.read_file(self.spark, f"{self.root}/nodes/{summary['name']}.json"))
+        pack, _, place = summary["name"].partition("#")
+        held = self._packs.pop(pack, None) or json.loads(storage.read_file(self.spark, f"{self.root}/nodes/{pack}.json"))
+        self._packs[pack] = held  # the last ones used stay; a pack never changes
+        if len(self._packs) > PACKS_KEPT:
+            del self._packs[next(iter(self._packs))]
+        node = held[int(place)] if place else held  # without a place, a log from before there were packs
         return {**node, "name": summary["name"]}
 
     def _path(self, root, bucket, nodes):

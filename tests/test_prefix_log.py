@@ -1,5 +1,6 @@
 """The prefix log against a plain running average, and what its writes and reads touch."""
 
+import json
 import random
 from decimal import Decimal
 
@@ -99,3 +100,45 @@ def test_totals_are_exact(spark, tmp_path):
     with pytest.raises(ValueError, match="below zero"):
         log.write(resolve(orders(spark, [(-1, "O", "p", "1", 0, None)]), price_type=price))
     assert prefix_log.EXACT.prec >= 38 * 2
+
+
+def test_many_buckets_are_few_node_files(spark, tmp_path, monkeypatch):
+    """What the driver writes does not grow by a file per node, packs go with their last node, and a log from before goes on."""
+    rng = random.Random(6)
+    log, files = PrefixLog(spark, str(tmp_path), bits=1, fan=1), lambda: len(list((tmp_path / "nodes").glob("*.json")))
+    rows = made(rng, range(256))
+    log.write(resolve(orders(spark, rows), price_type=PRICE))
+    assert files() == 2                                              # 127 nodes in one pack, and the root
+    monkeypatch.setattr(prefix_log, "PACK_CHILDREN", 64)
+    again = made(rng, range(256))
+    log.write(resolve(orders(spark, again), price_type=PRICE))
+    log.sweep()
+    assert files() == 1 + 4 and log.read().count() == 256            # 254 children; the first pack is gone
+    assert shown(log.read()) == shown(with_running_average(resolve(orders(spark, again), price_type=PRICE)))
+    late = made(rng, [7])
+    log.write(resolve(orders(spark, late), price_type=PRICE))
+    log.sweep()
+    wanted = [r for r in again if r[0] != 7] + late
+    assert shown(PrefixLog(spark, str(tmp_path), bits=1, fan=1).read()) == shown(with_running_average(resolve(orders(spark, wanted), price_type=PRICE)))
+
+
+def test_a_log_with_a_file_per_node_goes_on(spark, tmp_path):
+    rng = random.Random(7)
+    log = PrefixLog(spark, str(tmp_path), bits=2, fan=1)
+    log.write(resolve(orders(spark, made(rng, range(32))), price_type=PRICE))
+    name, root = log._root()
+    split = lambda s: {**s, "name": unpacked(s)}
+
+    def unpacked(summary):
+        node = log._load(summary)
+        children = {i: split(c) if node["level"] else c for i, c in node["children"].items()}
+        old = summary["name"].replace("#", "-")
+        (tmp_path / "nodes" / f"{old}.json").write_text(json.dumps({"level": node["level"], "children": children}))
+        return old
+
+    old = {k: v for k, v in {**root, "top": split(root["top"])}.items() if k != "packs"}
+    (tmp_path / "nodes" / f".{name}.json.crc").unlink()
+    (tmp_path / "nodes" / f"{name}.json").write_text(json.dumps(old))
+    before = PrefixLog(spark, str(tmp_path), bits=2, fan=1)
+    before.write(resolve(orders(spark, made(rng, [40])), price_type=PRICE))
+    assert before.read().count() == 33 and before.end()["seq"] == 40
