@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import MAX_RETRIES
 from ..functions import padded_key, try_number
+from ..session import shared_dir
 from .orders import PRICE_TYPE, rejected, resolve, with_audit_trail
 from .running import running_totals
 
@@ -76,10 +77,13 @@ def replay(letters, requests, last_seq, max_retries=MAX_RETRIES, request_order="
 
     Returns (outcomes of the replayed messages, the letters with `replayed` updated, the
     requests that matched nothing). Replayed messages arrive right after `last_seq`, in the
-    order of their letters; one that fails again is a new dead letter.
+    order of their letters; one that fails again is a new dead letter. Letters and requests are matched once, and the matched
+    messages checkpointed: numbering and running totals read them several times.
     """
     wanted = first_requests(requests, request_order)
-    counted = running_totals(repair(match_requests(letters, wanted)), "seq", {"_place": F.lit(1).cast("long")})
+    shared_dir(letters.sparkSession)  # where the checkpoint goes
+    messages = repair(match_requests(letters, wanted)).checkpoint()
+    counted = running_totals(messages, "seq", {"_place": F.lit(1).cast("long")})
     arrivals = counted.withColumn("seq", F.col("_place") + F.lit(last_seq)).drop("_place")
     asked = wanted.select("dlq_id", F.lit(True).alias("_asked"))
     updated = letters.join(asked, "dlq_id", "left").withColumn(

@@ -59,3 +59,8 @@ def test_replayed_orders_join_the_average(spark):
     outcomes, _, _ = D.replay(D.dead_letters(log, AT), requests(spark, ("DLQ-0001", None)), last_seq=2)
     both = with_running_average(log.unionByName(outcomes.drop("dlq_id"))).orderBy("seq").collect()
     assert [r.running_avg for r in both] == [10.0, 10.0, 15.0]
+
+
+def test_letters_and_requests_are_matched_once(spark, plan_of):
+    outcomes, _, _ = D.replay(letters(spark), requests(spark, ("DLQ-0001", 45.0)), last_seq=5)
+    assert "min_by" not in plan_of(outcomes).lower()
