@@ -27,38 +27,41 @@ WORDS, PERCENT = 4, 85
 SPARE, MORE = 1.15, 2
 #: The first segments, which are also indexed by one-deletion neighbourhoods.
 WIDE = 2
-#: Words whose hashes a worker remembers, and candidates up to which their ids are broadcast.
-KNOWN_WORDS, BROADCAST_IDS = 150_000, 1_000_000
+#: Candidates up to which their ids are broadcast.
+BROADCAST_IDS = 1_000_000
 #: The records of a key are compared in blocks: so many that ask and that are asked.
 ASKING, ASKED = 256, 512
+#: Records of a group of candidates that one block of the exact comparison holds, and their shingles.
+HOT, HOT_SHINGLES = 512, 1 << 19
 #: Bits of a record's parity word, in all and per shingle in which linked sets may differ. Counts of few shingles scatter more, so
 #: their words are longer for it.
 PARITY_BITS, PARITY_EACH = 256, 4
 U = np.uint64
 
 
+S27, S30, S31, M1, M2 = U(27), U(30), U(31), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
+
+
 def mix(x):
     """A 64-bit finaliser (xor-shift and multiply)."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x = x ^ (x >> S30)
+    x *= M1
+    x ^= x >> S27
+    x *= M2
+    x ^= x >> S31
+    return x
 
 
 class Shingler:
     """Texts to sorted distinct shingle hashes."""
 
     def __init__(self, words=WORDS):
-        self.known, self.words = {}, words
+        self.words = words
 
     def hashes(self, text):
         """A-Z are lower-cased and white space is ASCII; with too few words the whole sequence is one shingle."""
         words = text.encode().lower().split()
-        known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        w = np.fromiter(map(known.__getitem__, words), U, len(words))
+        w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U, len(words))
         size = min(self.words, len(w))
         if not size:
             return w
@@ -66,7 +69,11 @@ class Shingler:
         for i in range(size):
             total += w[i:len(w) - size + 1 + i] * U(factor)
             factor = factor * 0xD1342543DE82EF95 % (1 << 64)
-        return np.unique(mix(total))
+        total = mix(total)
+        total.sort()
+        fresh = np.ones(len(total), bool)
+        np.not_equal(total[1:], total[:-1], out=fresh[1:])
+        return total[fresh]
 
 
 def digest(shingles):
@@ -220,10 +227,9 @@ def choose_probes(listed, percent):
     return listed.mapInArrow(chosen, "record long, key long")
 
 
-def verify(docs, pairs, classes, scratch, words, percent):
-    """Those of the pairs (a, b) of classes whose sets link. Only the candidates' texts are shingled again."""
-    ids = scratch.save(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-                       .join(classes, "rep").select("rep", "doc_id", "d1", "d2"), "candidates")
+def sets_of(docs, reps, classes, scratch, words):
+    """(rep, shingles) of the classes that a table names in its column rep. Only their texts are shingled again."""
+    ids = scratch.save(reps.distinct().join(classes, "rep").select("rep", "doc_id", "d1", "d2"), "candidates")
     wanted = ids.select(F.col("doc_id").alias("wanted")).distinct()
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -237,6 +243,16 @@ def verify(docs, pairs, classes, scratch, words, percent):
                 [pa.array([d[0] for d in both], pa.int64()), pa.array([d[1] for d in both], pa.int64()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["d1", "d2", "shingles"])
 
+    texts = texts_of(docs, "doc_id").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    sets = texts.select("text").mapInArrow(shingled, "d1 long, d2 long, shingles binary")
+    found = sets.join(ids, ["d1", "d2"]).select("rep", "shingles").dropDuplicates(["rep"])
+    return scratch.save(found, "sets")
+
+
+def verify(docs, pairs, classes, scratch, words, percent):
+    """Those of the pairs (a, b) of classes whose sets link."""
+    sets = sets_of(docs, pairs.select(F.col("a").alias("rep")).union(pairs.select("b")), classes, scratch, words)
+
     def linked(batches):
         for batch in batches:
             good = []
@@ -246,9 +262,6 @@ def verify(docs, pairs, classes, scratch, words, percent):
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    texts = texts_of(docs, "doc_id").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = texts.select("text").mapInArrow(shingled, "d1 long, d2 long, shingles binary")
-    sets = scratch.save(sets.join(ids, ["d1", "d2"]).select("rep", "shingles"), "sets")
     lefts = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("left"))
     rights = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("right"))
     links = pairs.join(lefts, "a").join(rights, "b").select("a", "b", "left", "right").mapInArrow(linked, "a long, b long")
@@ -257,12 +270,32 @@ def verify(docs, pairs, classes, scratch, words, percent):
     return links
 
 
+def nearest_forest(x, y, apart):
+    """Which of the candidate pairs (x, y) a minimum spanning forest holds: every record with its nearest, and all that hang
+    together by candidates still do."""
+    names, ends = np.unique(np.concatenate([x, y]), return_inverse=True)
+    above, kept = list(range(len(names))), []
+
+    def root(node):
+        while above[node] != node:
+            above[node] = node = above[above[node]]
+        return node
+
+    ends = ends.reshape(2, -1).tolist()
+    for k in np.argsort(apart, kind="stable").tolist():
+        p, q = root(ends[0][k]), root(ends[1][k])
+        if p != q:
+            above[p] = q
+            kept.append(k)
+    return kept
+
+
 def candidates(members, askers, marks, percent):
-    """(a, b, apart, p, q): rows of different components p and q that share a key and whose parity words differ in no more
-    places, `apart`, than linked sets may differ in shingles.
+    """(a, b): of the rows of different components that share a key and whose parity words differ in no more places than
+    linked sets may differ in shingles, so many pairs that every two of them hang together.
 
     Askers and members of a key are cut into blocks, and each pair of blocks is compared in one task, so that no key is too
-    large for it, and a key with very many records yields only pairs that may well link.
+    large for it. A block yields a spanning forest of its pairs, the nearest first, so fewer pairs than it has records.
     """
     count = lambda t, n: t.groupBy("key").agg(F.ceil(F.count("*") / n))
     sizes = count(members, ASKED).toDF("key", "to").join(count(askers, ASKING).toDF("key", "of"), "key")
@@ -273,43 +306,78 @@ def candidates(members, askers, marks, percent):
     asking = told(askers).select("key", *item, F.lit(True).alias("asks"), number("of").alias("x"), every("to").alias("y"))
     asked = told(members).select("key", *item, F.lit(False).alias("asks"), number("to").alias("y"), every("of").alias("x"))
     blocks = asking.unionByName(asked).groupBy("key", "x", "y").agg(F.collect_list(F.struct("asks", *item)).alias("members"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int32()), ("p", pa.int64()), ("q", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def paired(batches):
         for batch in batches:
-            out = [np.zeros((5, 0), np.int64)]
+            out = [np.zeros((2, 0), np.int64)]
             for own in batch["members"]:
                 own = own.values
                 asks, row, part, n = (own.field(c).to_numpy(zero_copy_only=False) for c in ("asks", "row", "part", "n"))
                 asks, n = asks.astype(bool), n.astype(np.int64)
                 words = np.frombuffer(b"".join(own.field("bits").to_pylist()), U).reshape(len(own), -1)
-                others = np.flatnonzero(~asks)
+                others, met = np.flatnonzero(~asks), [np.zeros((3, 0), np.int64)]
                 for i in np.flatnonzero(asks):
                     at = others[part[others] != part[i]]
                     apart = np.bitwise_count(words[at] ^ words[i]).sum(1, dtype=np.int64)
                     near = apart <= (100 - percent) * (n[at] + n[i]) // (100 + percent)
-                    at, apart = at[near], apart[near]
-                    first = row[at] < row[i]
-                    out.append(np.stack([np.minimum(row[at], row[i]), np.maximum(row[at], row[i]), apart,
-                                         np.where(first, part[at], part[i]), np.where(first, part[i], part[at])]))
-            yield rows_out(schema, [c.astype(f.type.to_pandas_dtype()) for c, f in zip(np.concatenate(out, axis=1), schema)])
-
-    return blocks.select("members").mapInArrow(paired, "a long, b long, apart int, p long, q long")
+                    if near.any():
+                        at = at[near]
+                        met.append(np.stack([np.minimum(row[at], row[i]), np.maximum(row[at], row[i]), apart[near]]))
+                met = np.concatenate(met, axis=1)
+                out.append(met[:2, nearest_forest(*met)])
+            yield rows_out(schema, list(np.concatenate(out, axis=1)))
 
+    return blocks.select("members").mapInArrow(paired, "a long, b long")
 
-def in_components(pairs, grouped):
-    """Pairs (a, b) with the components p and q that they lie in now, where these differ."""
-    at = lambda end, name: grouped.select(F.col("node").alias(end), F.col("component").alias(name))
-    told = pairs.select("a", "b", "apart").join(at("a", "p"), "a", "left").join(at("b", "q"), "b", "left")
-    told = told.withColumns({"p": F.coalesce("p", "a"), "q": F.coalesce("q", "b")})
-    return told.where("p <> q")
 
+def links_of_groups(docs, met, grouped, classes, scratch, words, percent):
+    """Links (a, b) that join all components (`grouped`: node, component) between which there are links, of the rows that hang
+    together by candidates `met`: such a group of several components is compared whole, by its sets.
 
-def nearest_of_components(pairs):
-    """Of all pairs between two components the one with the fewest differences."""
-    ends = [F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")]
-    best = pairs.groupBy(*ends).agg(F.min(F.struct("apart", "a", "b")).alias("best"))
-    return best.select("best.a", "best.b")
+    A group is cut into blocks of bounded size, and each pair of blocks is compared in one task, which yields only links
+    that join two components, fewer than it has records.
+    """
+    group = components(scratch, met).select(F.col("node").alias("rep"), F.col("component").alias("group"))
+    at = group.join(grouped.withColumnRenamed("node", "rep"), "rep", "left").join(classes.select("rep", "n"), "rep")
+    at = scratch.save(at.select("rep", "group", "n", F.coalesce("component", "rep").alias("part")), "grouped")
+    sizes = at.groupBy("group").agg(
+        F.min("part").alias("p"), F.max("part").alias("q"),
+        F.greatest(F.ceil(F.count("*") / HOT), F.ceil(F.sum("n") / HOT_SHINGLES)).alias("blocks")).where("p <> q")
+    apart = scratch.save(at.join(sizes.select("group", "blocks"), "group"), "open")
+    sets = sets_of(docs, apart.select("rep"), classes, scratch, words)
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("own")
+    placed = apart.select("rep", "group", "part", own, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("to"))
+    blocks = placed.join(sets, "rep").groupBy("group", F.least("own", "to").alias("x"), F.greatest("own", "to").alias("y")).agg(
+        F.collect_list(F.struct("rep", "part", (F.col("own") < F.col("to")).alias("left"),
+                                (F.col("own") > F.col("to")).alias("right"), "shingles")).alias("members"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compared(batches):
+        for batch in batches:
+            out = []
+            for own in batch["members"]:
+                own = own.values
+                row, part, left, right = (own.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "part", "left", "right"))
+                part, sets = part.copy(), [np.frombuffer(v.as_buffer(), U) for v in own.field("shingles")]
+                n = np.array([len(s) for s in sets])
+                starts = np.cumsum(n) - n
+                names, which = np.unique(np.concatenate(sets), return_inverse=True)
+                for i in np.flatnonzero(~right.astype(bool)):
+                    others = right.astype(bool) if left[i] else np.arange(len(row)) > i
+                    if not (others & (part != part[i])).any():
+                        continue
+                    own_names = np.zeros(len(names), np.int32)
+                    own_names[which[starts[i]:starts[i] + n[i]]] = 1
+                    both = np.add.reduceat(own_names[which], starts)
+                    linked = others & (100 * both >= percent * (n + n[i] - both))
+                    for j in np.flatnonzero(linked).tolist():
+                        if part[j] != part[i]:
+                            out.append((row[i], row[j]))
+                            part[part == part[j]] = part[i]
+            yield rows_out(schema, list(np.array(out, np.int64).reshape(-1, 2).T))
+
+    return scratch.save(blocks.select("members").mapInArrow(compared, "a long, b long"), "links")
 
 
 def jaccard_join(docs, scratch=None, words=WORDS, percent=PERCENT, row=None):
@@ -325,9 +393,10 @@ def jaccard_join(docs, scratch=None, words=WORDS, percent=PERCENT, row=None):
     Equal sets are one class throughout. Index entries move twice as integers: to be counted, and to meet the keys that
     at least two classes have, a small rest. Groups of near copies are not joined all with all. First each record that has
     anything to probe is compared with the best connected record that it shares many keys with, which leaves components.
-    Records of different components that meet by a probe are compared by their parity words, in blocks, and only those
-    that these allow are pairs. Of the pairs of two components the nearest is verified first; what then still lies in
-    different components is verified too. So pairs are few and no link between components is lost.
+    Records of different components that meet by a probe are compared by their parity words, in blocks, and of those pairs
+    that these allow a spanning forest per block is verified. Records that hang together by such pairs and still lie in
+    different components are compared by their sets, in blocks. So pairs are no more than records of blocks and no link
+    between components is lost.
     """
     spark = docs.sparkSession
     ready(spark)
@@ -379,16 +448,13 @@ def jaccard_join(docs, scratch=None, words=WORDS, percent=PERCENT, row=None):
                          .where("x <> y").select("key"), "mixed")
     inside = scratch.save(at.join(mixed, "key"), "inside")
     asked = scratch.save(probes.join(inside, ["key", "record"]), "asked")
-    met = candidates(inside, asked, marks, percent).groupBy("a", "b").agg(
-        F.min("apart").alias("apart"), F.min("p").alias("p"), F.min("q").alias("q"))
-    rest = scratch.save(met.join(near, ["a", "b"], "left_anti"), "rest")
+    met = scratch.save(candidates(inside, asked, marks, percent).distinct(), "met")
     scratch.drop(at, mixed, inside, asked, probes, marks)
-    first = scratch.save(nearest_of_components(rest), "first")
-    links = scratch.save(links.union(verify(docs, first, classes, scratch, words, percent)), "links")
-    last = in_components(rest.join(first, ["a", "b"], "left_anti"), components(scratch, links))
-    last = scratch.save(last.select("a", "b"), "last")
-    grouped = components(scratch, links.union(verify(docs, last, classes, scratch, words, percent)))
-    scratch.drop(rest, first, last)
+    rest = scratch.save(met.join(near, ["a", "b"], "left_anti"), "rest")
+    links = scratch.save(links.union(verify(docs, rest, classes, scratch, words, percent)), "links")
+    last = links_of_groups(docs, met, components(scratch, links), classes, scratch, words, percent)
+    grouped = components(scratch, links.union(last))
+    scratch.drop(met, rest)
 
     own = members.join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
     own = scratch.save(own.select("row", "doc_id", "n", F.coalesce("component", "rep").alias("root")), "roots")

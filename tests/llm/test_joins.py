@@ -120,6 +120,22 @@ def test_groups_that_differ_too_much_give_few_pairs(spark):
     assert sum(made) < 3000
 
 
+@pytest.mark.parametrize("block", [512, 16])
+def test_candidates_of_a_key_are_fewer_than_its_records(spark, block, monkeypatch):
+    """60 records that all may link and share three keys: a forest per pair of blocks, not all 1,770 pairs of each key."""
+    monkeypatch.setattr(jaccard, "ASKED", block)
+    monkeypatch.setattr(jaccard, "ASKING", block)
+    rows, blocks = range(60), -(-60 // block)
+    marks = spark.createDataFrame([(2 * r + 1, 100, bytes(32)) for r in rows], "record long, n int, bits binary")
+    members = spark.createDataFrame([(k, 2 * r + 1, r, r) for k in (7, 8, 9) for r in rows],
+                                    "key long, record long, row long, part long")
+    found = [(r.a, r.b) for r in jaccard.candidates(members, members, marks, 80).collect()]
+    assert len(found) < 3 * blocks * 2 * 60
+    assert set(joined(found, rows).values()) == {0}
+    if blocks == 1:
+        assert len(found) == 3 * 59
+
+
 @pytest.mark.parametrize("words, percent", [(5, 80), (1, 60)])
 def test_jaccard_of_other_shingles(spark, words, percent):
     texts = corpus(11, 300)
