@@ -3,8 +3,12 @@
 All go through the Hadoop file system of the path, so they work on whatever store the
 cluster uses. On a store whose rename is not atomic a reader may see a folder before it is
 whole; writers never take such a folder for a published one.
+
+On a local disk Hadoop's rename is a look and then a move, in two steps for a file and its checksum, so there the small
+files are claimed by a link and replaced by a move of the system's own, and carry no checksum.
 """
 
+import os
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -70,11 +74,21 @@ def make_folder(spark, path):
 def create_once(spark, path, text):
     """Write a small file unless one of that name is there, and say whether it was written.
 
-    The text is written aside and takes its name by a rename that replaces nothing, so of several writers one succeeds,
+    The text is written aside and takes its name by a step that replaces nothing, so of several writers one succeeds,
     and a reader finds the whole text or none.
     """
-    jvm = spark.sparkContext._jvm
     fs, target = _open(spark, path)
+    local = _local(fs, target)
+    if local:
+        aside = _aside(local, text)
+        try:
+            os.link(aside, local)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(aside)
+    jvm = spark.sparkContext._jvm
     aside = f"{target.getParent()}/_{uuid.uuid4().hex}"
     _write(fs, jvm.org.apache.hadoop.fs.Path(aside), text)
     try:
@@ -88,8 +102,12 @@ def create_once(spark, path, text):
 
 
 def replace_file(spark, path, text):
-    """Write a small file in place of one of that name, by a rename."""
+    """Write a small file in place of one of that name, by a rename; a reader finds the old text or the new one."""
     fs, target = _open(spark, path)
+    local = _local(fs, target)
+    if local:
+        os.replace(_aside(local, text), local)
+        return
     aside = f"{target.getParent()}/_{uuid.uuid4().hex}"
     _write(fs, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside), text)
     _rename(spark, aside, path, "OVERWRITE")
@@ -98,6 +116,13 @@ def replace_file(spark, path, text):
 def read_file(spark, path):
     """The text of a small file; None if it is not there."""
     fs, target = _open(spark, path)
+    local = _local(fs, target)
+    if local:
+        try:
+            with open(local, encoding="utf-8") as file:
+                return file.read()
+        except FileNotFoundError:
+            return None
     try:
         stream = fs.open(target)
     except Py4JJavaError as error:
@@ -110,6 +135,23 @@ def read_file(spark, path):
         stream.close()
 
 
+def _local(fs, target):
+    """The path of a file on the driver's own disk; None on any other store."""
+    return target.toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def _aside(path, text):
+    """The text in a file of its own beside `path`."""
+    folder = os.path.dirname(path)
+    os.makedirs(folder, exist_ok=True)
+    aside = f"{folder}/_{uuid.uuid4().hex}"
+    with open(aside, "x", encoding="utf-8") as file:
+        file.write(text)
+        file.flush()
+        os.fsync(file.fileno())
+    return aside
+
+
 def _write(fs, target, text):
     stream = fs.create(target, False)
     try:

@@ -26,6 +26,43 @@ def test_a_file_is_created_once(spark, tmp_path):
     assert [p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith(".")] == ["one"]
 
 
+def test_a_file_is_whole_while_it_is_replaced(spark, tmp_path):
+    path, found, done = f"{tmp_path}/newest", [], threading.Event()
+    storage.replace_file(spark, path, "0")
+
+    def look():
+        while not done.is_set():
+            try:
+                found.append(storage.read_file(spark, path))
+            except Exception as error:
+                found.append(error)
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    for n in range(300):
+        storage.replace_file(spark, path, str(n) * (1 + n % 7))
+    done.set()
+    reader.join()
+    assert found and not [f for f in found if not isinstance(f, str)]
+
+
+def test_a_file_is_created_by_one_of_many(spark, tmp_path):
+    made, together = [], threading.Barrier(6)
+
+    def work(own):
+        for n in range(60):
+            together.wait()
+            if storage.create_once(spark, f"{tmp_path}/{n}", str(own)):
+                made.append((str(n), str(own)))
+
+    threads = [threading.Thread(target=work, args=(own,)) for own in range(6)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(made) == sorted((str(n), storage.read_file(spark, f"{tmp_path}/{n}")) for n in range(60))
+
+
 def test_folders_come_and_go(spark, tmp_path):
     one, other = (Manifest(spark, str(tmp_path), every=3) for _ in range(2))
     assert one.live() == []
