@@ -62,5 +62,10 @@ def good_readings(decoded):
     return decoded.where("error_reason IS NULL").drop("raw_value", "error_reason", "timestamp")
 
 
+def text_of_bad(decoded):
+    """The same rows with the text of those only that go to quarantine, for a batch that is kept while it is written."""
+    return decoded.withColumn("raw_value", F.when(F.col("error_reason").isNotNull(), F.col("raw_value")))
+
+
 def quarantined_readings(decoded):
     return decoded.where("error_reason IS NOT NULL").select("raw_value", "error_reason")

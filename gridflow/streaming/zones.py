@@ -2,7 +2,7 @@
 
 from .. import fixed_values as V
 from .. import storage
-from ..operators.decode import decode_telemetry, good_readings, quarantined_readings
+from ..operators.decode import decode_telemetry, good_readings, quarantined_readings, text_of_bad
 from ..operators.enrich import enrich
 from ..operators.zones import zone_window_metrics
 from ..schemas import TELEMETRY
@@ -68,19 +68,20 @@ def start_enrichment(raw, current_tariffs, root, checkpoint, trigger=V.TRIGGER_I
     def write_batch(batch_df, batch_id):
         if batch_id % RETIRE_EVERY == 0:
             retire_readings(batch_df.sparkSession, root, manifest)
-        decoded = decode_telemetry(batch_df, schema).persist()
+        decoded = text_of_bad(decode_telemetry(batch_df, schema)).persist()
         try:
             tariffs = current_tariffs.frame()
             known = {"dim_bytes": current_tariffs.bytes, **lookup_options}
             good = good_readings(decoded)
             if late_rows:
                 marked = late_rows.mark(good, batch_id)
-                publish(late(marked), batch_id, "late")
+                publish(late(marked), batch_id, "late")      # the whole batch is computed and kept by now
                 good = in_time(marked)
-            publish(enrich(good, tariffs, **known), batch_id, "readings")
+            if not late_rows or not decoded.isEmpty():       # a batch that only moves the watermark meets no tariffs
+                publish(enrich(good, tariffs, **known), batch_id, "readings")
+                publish(quarantined_readings(decoded), batch_id, "quarantine")
             if late_rows:
                 late_rows.advance(marked, batch_id)
-            publish(quarantined_readings(decoded), batch_id, "quarantine")
         finally:
             decoded.unpersist()
 
