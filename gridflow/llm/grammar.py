@@ -15,6 +15,8 @@ from .tokens import encoder
 
 #: Tokens of a shard, at which it is closed; a pair becomes a rule if it is found this often.
 SHARD_TOKENS, LEAST_COUNT = 2_000_000, 32
+#: Pairs are counted in so many bins, as a power of two, before those of the full bins are counted one by one.
+BIN_BITS = 18
 MAGIC = b"REPAIR01"
 HEAD = struct.Struct("<8s5Q")
 SHARDS = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()),
@@ -23,6 +25,20 @@ READ = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("in_shard", pa
                   ("ids_crc32", pa.int64())])
 
 
+def distinct(values, bins, place_of):
+    """What np.unique gives with inverse and counts, by a sort of the values alone: a value's bin tells which it is, but for
+    those that share one with another."""
+    ordered = np.sort(values)
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    found, counts = ordered[first], np.diff(np.append(first, len(ordered)))
+    owner = np.zeros((1 << BIN_BITS) + 1, np.int64)
+    owner[place_of(found)] = np.arange(len(found))
+    which = owner[bins]
+    others = np.flatnonzero(found[which] != values)
+    which[others] = np.searchsorted(found, values[others])
+    return found, which, counts
+
+
 def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=0):
     """Re-Pair of a sequence of ids below `base`; `starts` marks the first id of each document, which no pair crosses.
 
@@ -33,20 +49,24 @@ def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=0):
     Returns the remaining symbols, their marks, and the rules' left and right sides; rule i is symbol base + i.
     """
     symbols, starts = symbols.astype(np.uint64), starts.copy()
-    left, right, bits, barred = [], [], 18, np.zeros(0, np.uint64)
+    left, right, shift, barred = [], [], np.uint64(64 - BIN_BITS), np.zeros(0, np.uint64)
+    place_of = lambda pairs: ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int32)
+    fresh = True
     while len(symbols) > 1:
-        pairs = (symbols[:-1] << np.uint64(32)) | symbols[1:]
-        bins = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
-        bins[starts[1:]] = 1 << bits
-        if len(barred):
-            bins[np.isin(pairs, barred)] = 1 << bits
-        sums = np.bincount(bins, minlength=(1 << bits) + 1)
-        sums[-1] = 0
+        if fresh:
+            pairs = symbols[:-1] << np.uint64(32)
+            pairs |= symbols[1:]
+            bins = place_of(pairs)
+            bins[starts[1:]] = 1 << BIN_BITS
+            sums = np.bincount(bins, minlength=(1 << BIN_BITS) + 1)
+            sums[-1], fresh = 0, False
         least_now = max(least, int(sums.max()) // 16)
-        at = np.flatnonzero(sums[bins] >= least_now)
+        at = np.flatnonzero((sums >= least_now)[bins])
+        if len(barred):
+            at = at[~np.isin(pairs[at], barred)]
         if not len(at):
             break
-        found, which, counts = np.unique(pairs[at], return_inverse=True, return_counts=True)
+        found, which, counts = distinct(pairs[at], bins[at], place_of)
         if counts.max() < least_now and least_now > least:
             least_now = max(least, int(counts.max()) // 2)
         weight = np.zeros(len(symbols) + 1, np.int64)
@@ -60,9 +80,11 @@ def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=0):
         rules = np.flatnonzero(made >= max(2, least // 2))
         if not len(rules):
             tried = counts >= least_now
-            barred = np.append(barred, found[tried] if tried.any() else found)
+            tried = tried if tried.any() else np.ones(len(found), bool)
+            barred = np.append(barred, found[tried])
+            np.subtract.at(sums, place_of(found[tried]), counts[tried])
             continue
-        barred = barred[:0]
+        barred, fresh = barred[:0], True
         name = np.zeros(len(found), np.uint64)
         name[rules] = base + sum(map(len, left)) + np.arange(len(rules), dtype=np.uint64)
         keep &= name[which] > 0
