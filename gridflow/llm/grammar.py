@@ -17,6 +17,8 @@ from .tokens import encoder
 SHARD_TOKENS, LEAST_COUNT = 2_000_000, 32
 #: Pairs are counted in so many bins, as a power of two, before those of the full bins are counted one by one.
 BIN_BITS = 18
+#: Pieces that a worker remembers, some 170 bytes each: tasks that run one after the other share most of their words.
+PIECES = 1_600_000
 MAGIC = b"REPAIR01"
 HEAD = struct.Struct("<8s5Q")
 SHARDS = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()),
@@ -48,56 +50,75 @@ def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=0):
     or, if asked to, when a round saves less than the share `saved` of the symbols.
     Returns the remaining symbols, their marks, and the rules' left and right sides; rule i is symbol base + i.
     """
-    symbols, starts = symbols.astype(np.uint64), starts.copy()
-    left, right, shift, barred = [], [], np.uint64(64 - BIN_BITS), np.zeros(0, np.uint64)
+    symbols, starts, bin_count = symbols.astype(np.uint32), starts.copy(), (1 << BIN_BITS) + 1
+    left, right, shift = [], [], np.uint64(64 - BIN_BITS)
+    barred, held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     place_of = lambda pairs: ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int32)
-    fresh = True
+    pairs_at = lambda at: (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
+
+    def bins_at(at):
+        """The bins of the pairs that begin at these places; the last bin is for those that a document's start parts."""
+        bins = place_of(pairs_at(at))
+        bins[starts[at + 1]] = bin_count - 1
+        return bins
+
+    bins = bins_at(np.arange(len(symbols) - 1))
+    sums = np.bincount(bins, minlength=bin_count)
+    sums[-1] = 0
     while len(symbols) > 1:
-        if fresh:
-            pairs = symbols[:-1] << np.uint64(32)
-            pairs |= symbols[1:]
-            bins = place_of(pairs)
-            bins[starts[1:]] = 1 << BIN_BITS
-            sums = np.bincount(bins, minlength=(1 << BIN_BITS) + 1)
-            sums[-1], fresh = 0, False
         least_now = max(least, int(sums.max()) // 16)
-        at = np.flatnonzero((sums >= least_now)[bins])
+        at = np.flatnonzero((sums >= least_now).take(bins))
+        pairs = pairs_at(at)
         if len(barred):
-            at = at[~np.isin(pairs[at], barred)]
+            others = ~np.isin(pairs, barred)
+            at, pairs = at[others], pairs[others]
         if not len(at):
             break
-        found, which, counts = distinct(pairs[at], bins[at], place_of)
+        found, which, counts = distinct(pairs, bins[at], place_of)
         if counts.max() < least_now and least_now > least:
             least_now = max(least, int(counts.max()) // 2)
-        weight = np.zeros(len(symbols) + 1, np.int64)
-        weight[at + 1] = np.where(counts[which] >= least_now, counts[which] * len(found) + which, 0)
-        own, before = weight[at + 1], weight[at]
+        own = np.where(counts >= least_now, counts * len(found) + np.arange(len(found)), 0)[which]
+        beside = np.diff(at) == 1
+        before, behind = np.append(0, np.where(beside, own[:-1], 0)), np.append(np.where(beside, own[1:], 0), 0)
         place = np.arange(len(at))
         first = np.maximum.accumulate(np.where(own != before, place, 0))
         even = (place - first + (before[first] > own)) % 2 == 0
-        keep = (own > 0) & even & (own >= np.append(weight, 0)[at + 2])
+        keep = (own > 0) & even & (own >= behind)
         made = np.bincount(which[keep], minlength=len(found))
         rules = np.flatnonzero(made >= max(2, least // 2))
         if not len(rules):
             tried = counts >= least_now
             tried = tried if tried.any() else np.ones(len(found), bool)
-            barred = np.append(barred, found[tried])
+            barred, held = np.append(barred, found[tried]), np.append(held, counts[tried])
             np.subtract.at(sums, place_of(found[tried]), counts[tried])
             continue
-        barred, fresh = barred[:0], True
-        name = np.zeros(len(found), np.uint64)
-        name[rules] = base + sum(map(len, left)) + np.arange(len(rules), dtype=np.uint64)
+        np.add.at(sums, place_of(barred), held)
+        barred, held = barred[:0], held[:0]
+        name = np.zeros(len(found), np.uint32)
+        name[rules] = base + sum(map(len, left)) + np.arange(len(rules))
         keep &= name[which] > 0
-        symbols[at[keep]] = name[which[keep]]
-        stays = np.ones(len(symbols), bool)
-        stays[at[keep] + 1] = False
-        size, symbols, starts = len(symbols), symbols[stays], starts[stays]
+        at, size = at[keep], len(symbols)
+        # Only the pairs around replaced places change, so only they are taken from the counts and counted again.
+        around = np.zeros(len(bins), bool)
+        around[at] = around[np.maximum(at - 1, 0)] = around[np.minimum(at + 1, len(bins) - 1)] = True
+        sums -= np.bincount(bins[around], minlength=bin_count)
+        symbols[at] = name[which[keep]]
+        stays = np.ones(size, bool)
+        stays[at + 1] = False
+        symbols, starts, bins = symbols[stays], starts[stays], bins[stays[:-1]]
+        bins, at = bins[:len(symbols) - 1], at - np.arange(len(at))
+        around = np.zeros(len(symbols), bool)
+        around[at] = around[np.maximum(at - 1, 0)] = True
+        at = np.flatnonzero(around[:-1])
+        bins[at] = bins_at(at)
+        sums += np.bincount(bins[at], minlength=bin_count)
+        sums[-1] = 0
         left.append((found[rules] >> np.uint64(32)).astype(np.uint32))
         right.append((found[rules] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
         if size - len(symbols) < saved * size:
             break
     join = lambda x: np.concatenate(x) if x else np.zeros(0, np.uint32)
-    return symbols.astype(np.uint32), starts, join(left), join(right)
+    return symbols, starts, join(left), join(right)
 
 
 def expansions(left, right, base):
@@ -194,7 +215,7 @@ def encode_shards(docs, tokenizer, end_id, base):
     end = end_id.to_bytes(4, "little")
 
     def shards(batches):
-        codes, part, made = encoder(tokenizer, drops_space=False), TaskContext.get().partitionId(), 0
+        codes, part, made = encoder(tokenizer, drops_space=False, limit=PIECES), TaskContext.get().partitionId(), 0
         doc_ids, ids, tokens = [], [], 0
 
         def closed():

@@ -8,6 +8,7 @@ that holds a special token or unusual white space goes through the library whole
 import os
 import re
 from array import array
+from operator import attrgetter
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -17,6 +18,10 @@ PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 UNUSUAL = re.compile("[^\\S \n]")
 #: Letters that every Unicode version calls letters, with the blank before and the marks behind: two splits at most.
 PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?&$%#*]*)")
+#: Those marks, and the id of a token that the merges give.
+MARKS, ID = ".,;:!?&$%#*", attrgetter("id")
+#: Pieces that an encoder remembers, unless told otherwise.
+LIMIT = 800_000
 
 
 def default_path(name):
@@ -26,6 +31,18 @@ def default_path(name):
     return public_tokenizers.path(name)
 
 
+class Known(dict):
+    """The ids of pieces; those of a piece asked for the first time are learnt, so pieces are looked up only once."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key):
+        ids = self[key] = self.learn(key)
+        return ids
+
+
 class Encoder:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit integers.
 
@@ -33,16 +50,16 @@ class Encoder:
     space before it. At most about `limit` pieces are remembered; beyond, the memory starts afresh.
     """
 
-    def __init__(self, path, drops_space, limit=800_000):
+    def __init__(self, path, drops_space, limit=LIMIT):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.drops_space, self.limit, self.known = drops_space, limit, {}
+        self.drops_space, self.limit, self.known = drops_space, limit, Known(self.learn)
         self.merge = self.tokenizer.model.tokenize
-        self.shown = str.maketrans(dict(enumerate(byte_alphabet())))
+        self.shown, self.blank = str.maketrans(dict(enumerate(byte_alphabet()))), byte_alphabet()[32]
 
     def pieces(self, text):
         """The keys of a text's pieces, or the text alone where it must be encoded whole.
@@ -68,34 +85,30 @@ class Encoder:
         """The ids of one plain word: nothing to normalise but its case, nothing to split."""
         if self.drops_space:
             stem = stem.lower()
-        shown = stem.encode().decode("latin-1").translate(self.shown)
-        return array("I", [t.id for t in self.merge(shown)]).tobytes()
-
-    def learn(self, keys):
-        """Remember the ids of pieces: plain words by the merges alone, others through the whole library."""
-        known, others, texts = self.known, [], []
-        for key in keys:
-            if self.drops_space or key[:1] == "\n":
-                piece = key
-            else:
-                piece = key[1:] if key[:1] == "\r" else " " + key
-            plain = PLAIN.fullmatch(piece)
-            if not plain:
-                others.append(key)
-                texts.append(piece)
-                continue
-            stem, marks = plain.groups()
-            at = stem if self.drops_space else stem[1:] if stem[0] == " " else "\r" + stem
-            if at not in known:
-                known[at] = self.word(stem)
-            ids = known[at]
-            if marks:
-                behind = marks if self.drops_space else "\r" + marks
-                if behind not in known:
-                    known[behind] = self.library([marks])[0]
-                ids += known[behind]
-            known[key] = ids
-        known.update(zip(others, self.library(texts)))
+        shown = stem.replace(" ", self.blank) if stem.isascii() else stem.encode().decode("latin-1").translate(self.shown)
+        return array("I", list(map(ID, self.merge(shown)))).tobytes()
+
+    def learn(self, key):
+        """The ids of a piece: those of plain words by the merges alone, with those of the marks behind, others through the
+        whole library."""
+        stem = key.rstrip(MARKS)
+        if stem.isascii() and stem.isalpha():
+            if stem == key:
+                return self.word(key if self.drops_space else " " + key)
+            behind = key[len(stem):]
+            return self.known[stem] + self.known[behind if self.drops_space else "\r" + behind]
+        if self.drops_space or key[:1] == "\n":
+            piece = key
+        else:
+            piece = key[1:] if key[:1] == "\r" else " " + key
+        plain = PLAIN.fullmatch(piece)
+        if not plain:
+            return self.library([piece])[0]
+        stem, marks = plain.groups()
+        if not marks:
+            return self.word(stem)
+        at = stem if self.drops_space else stem[1:] if stem[0] == " " else "\r" + stem
+        return self.known[at] + self.known[marks if self.drops_space else "\r" + marks]
 
     def encode(self, texts):
         if len(self.known) > self.limit:
@@ -103,7 +116,6 @@ class Encoder:
         cut = [self.pieces(t) for t in texts]
         whole = [i for i, (p, t) in enumerate(zip(cut, texts)) if len(p) == 1 and p[0] is t]
         of_whole = dict(zip(whole, self.library([texts[i] for i in whole])))
-        self.learn(set().union(*(p for i, p in enumerate(cut) if i not in of_whole)).difference(self.known))
         known = self.known.__getitem__
         return [of_whole[i] if i in of_whole else b"".join(map(known, p)) for i, p in enumerate(cut)]
 
@@ -132,14 +144,17 @@ def byte_strings(path):
 _encoders = {}
 
 
-def encoder(path, drops_space):
+def encoder(path, drops_space, limit=LIMIT):
     """The worker's encoder of a file; later tasks of the same worker find it warm."""
     key = (path, drops_space)
     if key not in _encoders:
         _encoders[key] = Encoder(path, drops_space)
+    _encoders[key].limit = limit
     return _encoders[key]
 
 
 def forget():
     """Drop the worker's encoders: an operator that needs its memory for something else leaves no more than its own behind."""
+    for codes in _encoders.values():
+        codes.known.clear()
     _encoders.clear()

@@ -39,3 +39,16 @@ def test_pairs_left_out_do_not_have_all_others_looked_through(monkeypatch):
     symbols, _, left, right = grammar.replace_pairs(np.array(ids, np.uint32), starts, 1_000_000)
     assert (left.tolist(), right.tolist()) == ([2001], [2002]) and len(symbols) == len(ids) - 33
     assert looked and max(looked) < 100
+
+
+def test_only_pairs_around_replaced_places_are_counted_again(monkeypatch):
+    """Many rounds of few replacements in a long sequence: all pairs are counted once, then a few each round."""
+    counted, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *more, **named: (counted.append(len(x)), bincount(x, *more, **named))[1])
+    rare = np.random.default_rng(5).permutation(np.arange(100, 60_100, dtype=np.uint32))
+    ids = np.concatenate([np.tile(np.arange(40, dtype=np.uint32), 40), rare])
+    starts = np.zeros(len(ids), bool)
+    starts[0] = True
+    symbols, _, left, right = grammar.replace_pairs(ids, starts, 100_000)
+    assert np.array_equal(grammar.expand(symbols, grammar.expansions(left, right, 100_000), 100_000), ids)
+    assert len(left) == 40 and max(counted[1:]) < 6000

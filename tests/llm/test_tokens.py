@@ -32,6 +32,16 @@ def test_special_tokens_and_words():
         assert codes.encode(texts) == codes.library(texts)
 
 
+def test_each_piece_is_learnt_once_when_first_looked_up():
+    texts = [*corpus(5, 60), "Été, été: ÉTÉ? word word. word.. (word) \nword", "été word.", "\nword  word"]
+    for path, drops_space in ((BYTES, False), (WORDS, True)):
+        codes, asked = Encoder(path, drops_space), []
+        learn = codes.known.learn
+        codes.known.learn = lambda key: (asked.append(key), learn(key))[1]
+        assert codes.encode(texts) == codes.encode(texts) == codes.library(texts)
+        assert len(asked) == len(set(asked)) == len(codes.known)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=5), st.integers(0, 3))
 def test_chunks_equal_whole_texts(texts, repeat):
