@@ -64,10 +64,13 @@ def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=0):
 
     bins = bins_at(np.arange(len(symbols) - 1))
     sums = np.bincount(bins, minlength=bin_count)
-    sums[-1] = 0
+    sums[-1], near = 0, None
     while len(symbols) > 1:
         least_now = max(least, int(sums.max()) // 16)
-        at = np.flatnonzero((sums >= least_now).take(bins))
+        full = sums >= least_now
+        at = np.flatnonzero(full.take(bins)) if near is None else near[full.take(bins.take(near))]
+        if least_now == least and not len(barred):
+            near = at
         pairs = pairs_at(at)
         if len(barred):
             others = ~np.isin(pairs, barred)
@@ -105,6 +108,9 @@ def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=0):
         symbols[at] = name[which[keep]]
         stays = np.ones(size, bool)
         stays[at + 1] = False
+        if near is not None:
+            near = near[stays[near]]
+            near = near - np.searchsorted(at, near)
         symbols, starts, bins = symbols[stays], starts[stays], bins[stays[:-1]]
         bins, at = bins[:len(symbols) - 1], at - np.arange(len(at))
         around = np.zeros(len(symbols), bool)
@@ -113,6 +119,10 @@ def replace_pairs(symbols, starts, base, least=LEAST_COUNT, saved=0):
         bins[at] = bins_at(at)
         sums += np.bincount(bins[at], minlength=bin_count)
         sums[-1] = 0
+        if near is not None:
+            # Other pairs only become fewer, so those found often enough are where they were before, or around a new symbol.
+            near = np.sort(np.append(near[near < len(bins)], at), kind="stable")
+            near = near[np.append(True, near[1:] != near[:-1])[:len(near)]]
         left.append((found[rules] >> np.uint64(32)).astype(np.uint32))
         right.append((found[rules] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
         if size - len(symbols) < saved * size:
