@@ -1,19 +1,17 @@
-"""Nearest vectors by inner product: NN-descent builds a neighbour graph through joins of neighbours of neighbours, and
-queries walk it greedily, all of them one step per job. Recall is measured by brute force, and the walk widened until it
-is reached."""
+"""Nearest vectors by inner product: nodes are dealt to shards of bounded size, NN-descent builds a neighbour graph of each,
+and every query walks all shards greedily. A shard is built, and walked by a bounded number of queries, inside one task, so
+neither candidates nor steps move between tasks. Recall is measured by brute force, and the walk widened until it is
+reached."""
 
 import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, ready, rows_out
-from .nndescent import dealt
 
 #: Neighbours kept of each vector, the best of them that queries follow, and rounds of refinement.
 NEIGHBOURS, FOLLOWED, ROUNDS = 32, 24, 2
@@ -23,6 +21,10 @@ PROJECTIONS, BUCKET, BITS = 12, 256, 24
 LIST, OFFERS = 64, 6
 #: Places that a query remembers, those it expands per step, sampled entries to the graph, and the best it starts from.
 BEAM, EXPANDED, ENTRIES, STARTS = 240, 64, 256, 8
+#: Nodes of a shard and bytes of their codes, at most, and queries that walk a shard in one task.
+SHARD, SHARD_BYTES, QUERIES = 32_768, 8 << 20, 4096
+#: Products of lists that are held at once, and edges that go into a graph at once; partitions per shard to be built or walked.
+PRODUCTS, MERGED, SPREAD = 1 << 18, 1 << 20, 4
 #: Nodes of a query whose exact product is computed, at least.
 RESCORED = 64
 #: Queries audited, the recall asked for, and how often the beam may double before all vectors are compared.
@@ -35,7 +37,7 @@ CODED = "code binary, scale double"
 @dataclass
 class Index:
     """nodes (id, dim, embedding, copies, vec_id, code, scale): one per distinct vector; rows (vec_id, id): the rows that
-    hold them; links (a, part, members): of each node, the neighbours to follow and itself, in parts."""
+    hold them; links (dim, part, id, code, scale, near): of each node, its shard and the neighbours to follow there."""
 
     nodes: DataFrame
     rows: DataFrame
@@ -55,9 +57,9 @@ def matrix(column):
 
 
 def codes(column):
-    """The rows of bytes of an Arrow binary column of equal lengths, as numbers."""
+    """The rows of bytes of an Arrow binary column of equal lengths."""
     joined = b"".join(column.to_pylist())
-    return np.frombuffer(joined, np.int8).reshape(len(column), -1).astype(np.float64)
+    return np.frombuffer(joined, np.int8).reshape(len(column), -1)
 
 
 def quantised(x):
@@ -104,32 +106,6 @@ def nodes_of(vectors, scratch):
     return nodes, own
 
 
-def offers(blocks):
-    """Compare all vectors of each block (members: id, code, scale, floor): to each, its best others above its floor."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sim", pa.float64())])
-
-    def joined(batches):
-        for batch in batches:
-            out = [[np.zeros(0)], [np.zeros(0)], [np.zeros(0)]]
-            for i in range(len(batch)):
-                own = batch["members"][i].values
-                if len(own) < 2:
-                    continue
-                ids, scale, floor = (own.field(c).to_numpy() for c in ("id", "scale", "floor"))
-                x = codes(own.field("code"))
-                sims = x @ x.T * np.outer(scale, scale)
-                np.fill_diagonal(sims, -np.inf)
-                take = min(OFFERS, len(ids) - 1)
-                top = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-                sim = np.take_along_axis(sims, top, 1).ravel()
-                good = sim > np.repeat(floor, take)
-                for column, found in zip(out, (np.repeat(ids, take), ids[top.ravel()], sim)):
-                    column.append(found[good])
-            yield rows_out(schema, [np.concatenate(c).astype(t) for c, t in zip(out, (np.int64, np.int64, np.float64))])
-
-    return blocks.select("members").mapInArrow(joined, "a long, b long, sim double")
-
-
 def best(edges, key, other, most):
     """The best distinct others of each key: (key, found), found sorted by falling `sim`. What every task holds beyond them
     is dropped before the rest moves."""
@@ -138,178 +114,240 @@ def best(edges, key, other, most):
     return few.groupBy(key).agg(F.sort_array(F.collect_set(F.struct("sim", other)), asc=False).alias("found"))
 
 
-def started(nodes, scratch, seed=0):
-    """The first graph: neighbours among vectors that random projections, less the mean, put into the same bucket."""
-    double = F.col("embedding").cast("array<double>")
-    means = nodes.groupBy("dim").agg(F.count("*").alias("n"), Summarizer.mean(array_to_vector(double)).alias("mean"))
-    bits = F.least(F.lit(BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / BUCKET)))).cast("int")
-    means = scratch.save(means.select("dim", bits.alias("bits"), vector_to_array("mean").alias("mean")), "means")
-
-    def placed(batches):
-        for batch in batches:
-            out = np.zeros((len(batch), PROJECTIONS), np.int64)
-            bits = batch["bits"].to_numpy()
-            for dim, at in by_length(batch["embedding"]):
-                own = pa.array(at)
-                x = matrix(batch["embedding"].take(own)) - matrix(batch["mean"].take(own))
-                planes = np.random.default_rng([seed, dim]).normal(size=(dim, PROJECTIONS * BITS))
-                sides = (x @ planes > 0).reshape(len(at), PROJECTIONS, BITS)
-                out[at] = (sides @ (1 << np.arange(BITS))) & ((1 << bits[at]) - 1)[:, None]
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["dim"], pa.array(list(out), pa.list_(pa.int64()))],
-                                             names=["id", "dim", "buckets"])
-
-    told = nodes.join(means, "dim").select("id", "dim", "embedding", "bits", "mean")
-    keys = ["dim", "projection", "bucket"]
-    buckets = told.mapInArrow(placed, "id long, dim int, buckets array<long>").select(
-        "id", "dim", F.posexplode("buckets").alias("projection", "bucket"))
-    buckets = scratch.save(buckets, "buckets")
-    full = dealt(buckets, keys, BUCKET, ["id", "projection"]).join(nodes.select("id", "code", "scale"), "id")
-    member = F.struct("id", "code", "scale", F.lit(float("-inf")).alias("floor"))
-    blocks = full.groupBy(*keys, "part").agg(F.collect_list(member).alias("members"))
-    graph = scratch.save(best(offers(blocks), "a", "b", NEIGHBOURS), "graph")
-    scratch.drop(buckets)
-    return graph
-
-
-def edges_of(graph, most=NEIGHBOURS):
-    return graph.select("a", F.explode(F.slice("found", 1, most)).alias("e")).select("a", "e.b", "e.sim")
-
-
-def both_ways(graph, most):
-    edges = edges_of(graph, most)
-    return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-
-
-def refined(nodes, graph, scratch):
+def shards(nodes):
+    """Nodes with the shard (dim, part) that each is dealt to by a hash, and how many shards there are."""
+    most = F.greatest(F.lit(1), F.least(F.lit(SHARD), F.floor(F.lit(SHARD_BYTES) / F.col("dim"))))
+    parts = nodes.groupBy("dim").agg(F.count("*").alias("n")).select("dim", F.ceil(F.col("n") / most).alias("parts"))
+    count = parts.agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
+    dealt = nodes.join(F.broadcast(parts), "dim").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    return dealt.drop("parts"), count
+
+
+def cut(keys, most, rng):
+    """Places with equal keys, in lists of at most `most` however hot a key is: (places, where each list starts, and the end)."""
+    order = np.lexsort((rng.random(len(keys)), keys))
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    size = np.diff(np.append(first, len(keys)))
+    place = np.arange(len(keys)) - np.repeat(first, size)
+    piece = place * np.repeat(-(-size // most), size) // np.repeat(size, size)
+    new = np.append(True, (keys[1:] != keys[:-1]) | (piece[1:] != piece[:-1]))
+    return order, np.append(np.flatnonzero(new), len(keys))
+
+
+def offers(x, scale, floor, members, bounds):
+    """Compare all vectors of each list with each other: (a, b, sim) of each one's best others above its floor, block by block."""
+    sizes = np.diff(bounds)
+    lists, at = np.argsort(-sizes, kind="stable"), 0
+    lists = lists[:np.count_nonzero(sizes > 1)]
+    while at < len(lists):
+        longest = sizes[lists[at]]
+        some = lists[at:at + max(1, PRODUCTS // (longest * longest))]
+        at += len(some)
+        place = np.arange(longest)
+        there = place < sizes[some, None]
+        ids = members[np.where(there, bounds[some, None] + place, 0)]
+        own = x[ids]
+        weight = np.where(there, scale[ids], 0)
+        sims = (own @ own.transpose(0, 2, 1)) * weight[:, :, None] * weight[:, None, :]
+        sims[np.broadcast_to(~there[:, None, :], sims.shape)] = -np.inf
+        sims[:, place, place] = -np.inf
+        take = min(OFFERS, longest - 1)
+        top = np.argpartition(sims, longest - take, axis=2)[:, :, longest - take:]
+        sim = np.take_along_axis(sims, top, 2)
+        good = there[:, :, None] & (sim > floor[ids][:, :, None])
+        b = np.take_along_axis(np.broadcast_to(ids[:, None, :], sims.shape), top, 2)
+        yield np.broadcast_to(ids[:, :, None], top.shape)[good], b[good], sim[good]
+
+
+class Graph:
+    """The best distinct others of each vector of a shard, by falling similarity: near (-1 where there are fewer) and sims."""
+
+    def __init__(self, x, scale):
+        self.x, self.scale = x, scale
+        self.near = np.full((len(x), NEIGHBOURS), -1, np.int32)
+        self.sims = np.full((len(x), NEIGHBOURS), -np.inf)
+
+    def take(self, members, bounds):
+        """Compare all vectors of each list and keep the best; what is no better than a vector's last is dropped at once."""
+        held, count = [], 0
+        for found in offers(self.x, self.scale, self.sims[:, -1], members, bounds):
+            held.append(found)
+            count += len(found[0])
+            if count >= MERGED:
+                self._merge(*map(np.concatenate, zip(*held)))
+                held, count = [], 0
+        if count:
+            self._merge(*map(np.concatenate, zip(*held)))
+
+    def _merge(self, a, b, sim):
+        n = len(self.near)
+        touched = np.zeros(n, bool)
+        touched[a] = True
+        rows, places = np.nonzero((self.near >= 0) & touched[:, None])
+        key = np.append(a, rows) * np.int64(n) + np.append(b, self.near[rows, places])
+        key, first = np.unique(key, return_index=True)
+        a, b, sim = key // n, key % n, np.append(sim, self.sims[rows, places])[first]
+        order = np.lexsort((-sim, a))
+        a, b, sim = a[order], b[order], sim[order]
+        starts = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+        place = np.arange(len(a)) - np.repeat(starts, np.diff(np.append(starts, len(a))))
+        best = place < NEIGHBOURS
+        self.near[touched], self.sims[touched] = -1, -np.inf
+        self.near[a[best], place[best]], self.sims[a[best], place[best]] = b[best], sim[best]
+
+    def both_ways(self, most):
+        """(a, b), sorted, of the `most` best neighbours in both directions."""
+        n = len(self.near)
+        a, place = np.nonzero(self.near[:, :most] >= 0)
+        b = self.near[a, place].astype(np.int64)
+        key = np.unique(np.append(a * n + b, b * n + a))
+        return key // n, key % n
+
+
+def started(graph, bucket, rng):
+    """Neighbours among vectors that random projections, less the mean, put into the same bucket."""
+    x, dim = graph.x * graph.scale[:, None], graph.x.shape[1]
+    x -= x.mean(0)
+    bits = min(BITS, max(0, math.ceil(math.log2(len(x) / bucket))))
+    for _ in range(PROJECTIONS):
+        sides = x @ rng.normal(size=(dim, bits)) > 0
+        graph.take(*cut(sides @ (1 << np.arange(bits)), bucket, rng))
+
+
+def refined(graph, rng):
     """One round of NN-descent: the neighbours of each vector, in both directions, are compared with each other. Lists of
     hubs are cut into parts."""
-    floor = F.when(F.size("found") >= NEIGHBOURS, F.element_at("found", NEIGHBOURS)["sim"]).otherwise(F.lit(float("-inf")))
-    known = nodes.select("id", "code", "scale").join(graph.select(F.col("a").alias("id"), floor.alias("floor")), "id", "left")
-    known = known.withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-    both = scratch.save(both_ways(graph, NEIGHBOURS), "both")
-    lists = dealt(both, ["a"], LIST, ["b"]).join(known, F.col("b") == F.col("id"))
-    blocks = lists.groupBy("a", "part").agg(F.collect_list(F.struct("id", "code", "scale", "floor")).alias("members"))
-    better = scratch.save(best(offers(blocks).unionByName(edges_of(graph)), "a", "b", NEIGHBOURS), "graph")
-    scratch.drop(both, graph)
-    return better
+    a, b = graph.both_ways(NEIGHBOURS)
+    order, bounds = cut(a, LIST, rng)
+    graph.take(b[order], bounds)
+
+
+def linked(x, scale, bucket, seed=0):
+    """The neighbours that queries follow from each vector of a shard: (where those of each start, and the end, neighbours)."""
+    graph, rng = Graph(x, scale), np.random.default_rng([seed, *x.shape])
+    if len(x) > 1:
+        started(graph, bucket, rng)
+        for _ in range(ROUNDS):
+            refined(graph, rng)
+    a, b = graph.both_ways(FOLLOWED)
+    return np.searchsorted(a, np.arange(len(x) + 1)), b
 
 
 def build(vectors, scratch):
     """The index of all usable vectors (vec_id, embedding)."""
     nodes, rows = nodes_of(vectors, scratch)
-    graph = started(nodes, scratch)
-    for _ in range(ROUNDS):
-        graph = refined(nodes, graph, scratch)
-    coded = nodes.select("id", "code", "scale")
-    both = scratch.save(both_ways(graph, FOLLOWED).union(nodes.select("id", "id")), "followed")
-    lists = dealt(both, ["a"], LIST, ["b"]).join(coded, F.col("b") == F.col("id"))
-    links = lists.groupBy("a", "part").agg(F.collect_list(F.struct("id", "code", "scale")).alias("members"))
-    links = scratch.save(links, "links")
-    scratch.drop(graph, both)
-    return Index(nodes, rows, links)
-
-
-#: What a query has: its code, the best places found (falling), which of them were expanded, and those to expand next.
-STATE = pa.schema([("query", pa.int64()), ("code", pa.binary()), ("scale", pa.float64()), ("ids", pa.list_(pa.int64())),
-                   ("sims", pa.list_(pa.float64())), ("done", pa.list_(pa.bool_())), ("next", pa.list_(pa.int64()))])
-STATE_SQL = ("query long, code binary, scale double, ids array<long>, sims array<double>, done array<boolean>, "
-             "next array<long>")
-
-
-def stepped(ids, sims, done, beam):
-    """The best places of a query with those to expand next marked as done: (ids, sims, done, next)."""
-    order = np.lexsort((ids, -sims))[:beam]
-    ids, sims, done = ids[order], sims[order], done[order]
-    fresh = np.flatnonzero(~done)[:EXPANDED]
-    done[fresh] = True
-    return ids, sims, done, ids[fresh]
-
-
-def first_steps(asked, nodes, beam):
-    """The states of queries at their start: the node that has their own vector, if any, and the best of a sample."""
-    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(ENTRIES).select("id", "code", "scale").collect()
-    entries = {}
-    for row in sample:
-        entries.setdefault(len(row["code"]), []).append((row["id"], bytes(row["code"]), row["scale"]))
-
-    def begun(batches):
-        for batch in batches:
-            rows = []
-            for query, node, code, scale in zip(*(batch[c].to_pylist() for c in ("query", "node", "code", "scale"))):
-                x, own = np.frombuffer(code, np.int8).astype(np.float64), entries.get(len(code), [])
-                ids = np.array([e[0] for e in own], np.int64)
-                y = np.frombuffer(b"".join(e[1] for e in own), np.int8).reshape(len(own), -1).astype(np.float64)
-                sims = y.reshape(len(own), len(x)) @ x * scale * np.array([e[2] for e in own])
-                keep = np.lexsort((ids, -sims))[:STARTS]
-                ids, sims = ids[keep], sims[keep]
-                if node is not None and node not in ids:
-                    ids, sims = np.append(ids, node), np.append(sims, x @ x * scale * scale)
-                rows.append((query, code, scale, *stepped(ids, sims, np.zeros(len(ids), bool), beam)))
-            yield rows_out(STATE, list(zip(*rows)) if rows else [[] for _ in STATE])
-
-    return asked.select("query", "node", "code", "scale").mapInArrow(begun, STATE_SQL)
-
-
-def scored(asks):
-    """(query, id, sim) of the members of the lists that queries expand, as far as they beat the query's floor."""
-    schema = pa.schema([("query", pa.int64()), ("id", pa.int64()), ("sim", pa.float64())])
-
-    def products(batches):
-        for batch in batches:
-            for _, at in by_length(batch["code"]):
-                some = batch.take(pa.array(at))
-                members = some["members"].flatten()
-                owner = np.repeat(np.arange(len(some)), some["members"].value_lengths().to_numpy())
-                query, scale, floor = (some[c].to_numpy()[owner] for c in ("query", "scale", "floor"))
-                sims = np.einsum("ij,ij->i", codes(members.field("code")), codes(some["code"])[owner])
-                sims *= members.field("scale").to_numpy() * scale
-                good = sims > floor
-                yield rows_out(schema, [query[good], members.field("id").to_numpy()[good], sims[good]])
-
-    return asks.mapInArrow(products, "query long, id long, sim double")
-
-
-def widened(state, beam):
-    """States that go on with a wider beam: all their places are expanded once more, now that more of the others count."""
-
-    def more(batches):
-        for batch in batches:
-            rows = []
-            for query, code, scale, ids, sims in zip(*(batch[c].to_pylist() for c in STATE.names[:5])):
-                ids, sims = np.array(ids, np.int64), np.array(sims, np.float64)
-                rows.append((query, code, scale, *stepped(ids, sims, np.zeros(len(ids), bool), beam)))
-            yield rows_out(STATE, list(zip(*rows)) if rows else [[] for _ in STATE])
-
-    return state.mapInArrow(more, STATE_SQL)
-
-
-def walked(links, state, beam, scratch):
-    """Greedy search: all queries expand their best places that are not yet expanded, until none has any left. Only
-    whether that is so reaches the driver."""
-
-    def merged(batches):
-        for batch in batches:
-            rows = []
-            for query, code, scale, ids, sims, done, found in zip(*(batch[c].to_pylist() for c in (
-                    "query", "code", "scale", "ids", "sims", "done", "found"))):
-                ids, sims, done = np.array(ids, np.int64), np.array(sims, np.float64), np.array(done, bool)
-                new = np.array([f["id"] for f in found or []], np.int64)
-                fresh = ~np.isin(new, ids)
-                ids = np.append(ids, new[fresh])
-                sims = np.append(sims, np.array([f["sim"] for f in found or []], np.float64)[fresh])
-                done = np.append(done, np.zeros(int(fresh.sum()), bool))
-                rows.append((query, code, scale, *stepped(ids, sims, done, beam)))
-            yield rows_out(STATE, list(zip(*rows)) if rows else [[] for _ in STATE])
-
-    state = scratch.save(state, "state")
-    while not state.where(F.size("next") > 0).isEmpty():
-        floor = F.when(F.size("ids") >= beam, F.element_at("sims", beam)).otherwise(F.lit(float("-inf")))
-        asks = state.select("query", "code", "scale", floor.alias("floor"), F.explode("next").alias("a"))
-        found = best(scored(asks.join(links, "a").select("query", "code", "scale", "floor", "members")), "query", "id", beam)
-        after = scratch.save(state.join(found, "query", "left").mapInArrow(merged, STATE_SQL), "state")
-        scratch.drop(state)
-        state = after
-    return state
+    members, count = shards(nodes.select("dim", "id", "code", "scale"))
+
+    def built(table):
+        table = table.sort_by("id")
+        ids, scale = table["id"].to_numpy(), table["scale"].to_numpy()
+        starts, near = linked(codes(table["code"]).astype(np.float32), scale, BUCKET)
+        near = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids[near], pa.int64()))
+        return table.select(["dim", "part", "id", "code", "scale"]).append_column("near", near)
+
+    links = spread(members, count, "dim", "part").groupBy("dim", "part").applyInArrow(
+        built, "dim int, part long, id long, code binary, scale double, near array<long>")
+    return Index(nodes, rows, scratch.save(links, "links"))
+
+
+def spread(frame, groups, *keys):
+    """A frame dealt by keys that have so many groups, few of which meet in a task: each is long work on few bytes, which
+    adaptive execution would put together."""
+    return frame.repartition(max(1, SPREAD * groups), *keys)
+
+
+class Walk:
+    """Greedy search in a shard: a query expands its best places that are not yet expanded, until it has none left. Vectors stay
+    bytes, so that a shard fits in the caches."""
+
+    def __init__(self, x, scale, starts, near, beam, expanded):
+        self.x, self.scale, self.starts, self.ends, self.near = x, scale, starts[:-1], starts[1:], near
+        self.beam, self.expanded = beam, expanded
+        rng = np.random.default_rng([0, *x.shape])
+        self.entries = np.sort(rng.choice(len(x), min(ENTRIES, len(x)), replace=False))
+        self.seen, self.turn = np.zeros(len(x), bool), np.zeros(len(x), np.int32)
+
+    def products(self, ids, query):
+        return (self.x.take(ids, 0).astype(np.float32) @ query) * self.scale.take(ids)
+
+    def unseen(self, a):
+        """The neighbours of places that the query has not met yet, each once."""
+        first = self.starts.take(a)
+        count = self.ends.take(a) - first
+        ends = np.cumsum(count)
+        new = self.near.take(np.arange(ends[-1]) + np.repeat(first - ends + count, count))
+        new = new[~self.seen.take(new)]
+        number = np.arange(len(new), dtype=np.int32)
+        self.turn[new] = number
+        new = new[self.turn.take(new) == number]
+        self.seen[new] = True
+        return new
+
+    def best(self, query, own=None):
+        """(ids, sims) of the best places of a query, from the best of a sample and the node that has its own vector."""
+        sims = self.products(self.entries, query)
+        ids = self.entries[np.argsort(-sims, kind="stable")[:STARTS]]
+        if own is not None and own not in ids:
+            ids = np.append(ids, own)
+        sims = self.products(ids, query)
+        order = np.argsort(-sims, kind="stable")
+        ids, sims, done = ids[order], sims[order], np.zeros(len(ids), bool)
+        self.seen[:] = False
+        self.seen[ids] = True
+        while len(fresh := np.flatnonzero(~done)[:self.expanded]):
+            done[fresh] = True
+            new = self.unseen(ids[fresh])
+            found = self.products(new, query)
+            if len(ids) >= self.beam:
+                good = found > sims[-1]
+                new, found = new[good], found[good]
+            sims = np.append(sims, found)
+            order = np.argsort(-sims, kind="stable")[:self.beam]
+            ids, sims, done = np.append(ids, new)[order], sims[order], np.append(done, np.zeros(len(new), bool))[order]
+        return ids, sims
+
+
+def walked(index, asked, beam, most):
+    """(query, id): the best `most` nodes of those that the walks of a query through all shards of its length end with. A task
+    has one shard and a bounded number of queries."""
+    parts = index.links.groupBy("dim").agg((F.max("part") + 1).alias("parts"))
+    blocks = asked.groupBy("dim").agg(F.ceil(F.count("*") / QUERIES).alias("blocks"))
+    shape = parts.join(blocks, "dim")
+    count = shape.agg(F.coalesce(F.sum(F.col("parts") * F.col("blocks")), F.lit(0))).first()[0]
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    keys = ["dim", "part", "block"]
+    left = index.links.join(F.broadcast(shape), "dim").select("dim", "part", every("blocks").alias("block"), "id", "code",
+                                                             "scale", "near")
+    right = asked.join(F.broadcast(shape), "dim").select(
+        "dim", every("parts").alias("part"), F.pmod(F.xxhash64("query"), F.col("blocks")).alias("block"), "query", "code",
+        "scale", "node")
+
+    def found(shard, queries):
+        shard, names, offsets, ids, sims = shard.sort_by("id"), [], [0], [], []
+        if len(shard) and len(queries):
+            own, near = shard["id"].to_numpy(), shard["near"].combine_chunks()
+            starts = np.append(0, np.cumsum(near.value_lengths().to_numpy()))
+            walk = Walk(codes(shard["code"]), shard["scale"].to_numpy(), starts,
+                        np.searchsorted(own, near.flatten().to_numpy()).astype(np.int32), beam, EXPANDED)
+            asks = codes(queries["code"]).astype(np.float32)
+            for at, (name, scale, node) in enumerate(zip(*(queries[c].to_pylist() for c in ("query", "scale", "node")))):
+                place = None if node is None else int(np.searchsorted(own, node))
+                there = place is not None and place < len(own) and own[place] == node
+                few, products = walk.best(asks[at], place if there else None)
+                names.append(name)
+                ids.append(own[few[:most]])
+                sims.append(products[:most] * scale)
+                offsets.append(offsets[-1] + len(ids[-1]))
+        places = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0), *sims])),
+                                             pa.array(np.concatenate([np.zeros(0, np.int64), *ids]))], ["sim", "id"])
+        return pa.table({"query": pa.array(names, pa.int64()),
+                         "places": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)})
+
+    ends = spread(left, count, *keys).groupBy(*keys).cogroup(spread(right, count, *keys).groupBy(*keys)).applyInArrow(
+        found, "query long, places array<struct<sim: double, id: long>>")
+    ends = ends.groupBy("query").agg(F.flatten(F.collect_list("places")).alias("places"))
+    return ends.select("query", F.explode(F.slice(F.sort_array("places", asc=False), 1, most)).alias("e")).select("query", "e.id")
 
 
 def exact_products(pairs, asked, nodes):
@@ -432,19 +470,16 @@ def search(index, queries, k, scratch, others_only=False):
                          "asked")
     asked = with_codes(asked, "query", "embedding").join(index.nodes.select("embedding", F.col("id").alias("node")),
                                                          "embedding", "left")
-    asked = scratch.save(asked, "asked")
+    asked = scratch.save(asked.withColumn("dim", F.size("embedding")), "asked")
     rescored, beam = max(2 * (k + 1), RESCORED), BEAM
-    state = first_steps(asked, index.nodes, beam)
     for widening in range(WIDENINGS + 1):
-        state = walked(index.links, state, beam, scratch)
-        pairs = state.select("query", F.explode(F.slice("ids", 1, rescored)).alias("id"))
+        pairs = walked(index, asked, beam, rescored)
         nearest = scratch.save(nearest_rows(exact_products(pairs, asked, index.nodes), index, k), "nearest")
         recall = recall_of(nearest, asked, index, k)
         if recall >= LEAST_RECALL or widening == WIDENINGS:
             break
         scratch.drop(nearest)
         beam, rescored = 2 * beam, 2 * rescored
-        state = widened(state, beam)
     if recall < LEAST_RECALL:
         pairs = compared_all(asked, index.nodes, k)
         nearest = scratch.save(nearest_rows(exact_products(pairs, asked, index.nodes), index, k), "nearest")
@@ -466,7 +501,8 @@ def nearest(vectors, asking, k, scratch=None):
     their own, queries too, but never an answer to their own vec_id; other columns are ignored; an empty table gives no
     rows, and a query with fewer than k others has them all where the walk reaches them.
 
-    Equal vectors are one node, in the graph and as a query. Nodes are compared by vectors rounded to bytes; answers are scored by the vectors themselves. At most 128 queries are audited by brute force; where their
+    Equal vectors are one node, in the graph and as a query. Nodes are dealt to shards by a hash; each shard has its graph, and
+    a query walks all of them. Nodes are compared by vectors rounded to bytes; answers are scored by the vectors themselves. At most 128 queries are audited by brute force; where their
     recall stays below 0.93 with the widest beam, all queries are compared with all nodes in blocks, and nothing is lost.
     """
     ready(vectors.sparkSession)

@@ -95,3 +95,40 @@ def test_search_for_vectors_outside(spark):
     for r in found.collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert recall >= 0.9 and np.mean([len(got[i] & set(best[i].tolist())) / 7 for i in range(40)]) >= 0.9
+
+
+def test_shards_and_steps_make_no_jobs(spark, monkeypatch):
+    """A table of several shards is walked whole, and however many steps the walks take, they are the same few jobs."""
+    rows, jobs = clusters(11, 1500), []
+    monkeypatch.setattr(annsearch, "SHARD", 400, raising=False)
+    monkeypatch.setattr(annsearch, "LEAST_RECALL", 0.0)
+    for beam in (64, 960):
+        monkeypatch.setattr(annsearch, "BEAM", beam)
+        spark.sparkContext.setJobGroup(f"beam-{beam}", "")
+        try:
+            found, recall = annsearch.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, 20)
+            found = found.collect()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"beam-{beam}")))
+        assert recall >= 0.9
+        check(found, brute_force(rows, lambda i: i % 20 == 0, 20), 0.9)
+    assert 0 < jobs[1] <= jobs[0] + 3
+
+
+def test_lists_of_hubs_are_cut_and_offers_are_the_best():
+    rng = np.random.default_rng(2)
+    keys = np.array([5] * 130 + [7] * 3 + [9] * 64)
+    places, bounds = annsearch.cut(keys, 64, rng)
+    assert sorted(places.tolist()) == list(range(len(keys))) and max(np.diff(bounds)) <= 64
+    lists = [places[a:b] for a, b in zip(bounds, bounds[1:])]
+    assert all(len(set(keys[own].tolist())) == 1 for own in lists) and len(lists) == 5
+    x, scale = rng.integers(-127, 128, (200, 8)).astype(np.float32), rng.uniform(0.5, 2, 200)
+    graph = annsearch.Graph(x, scale)
+    graph.take(np.arange(200), np.array([0, 90, 91, 200]))
+    sims = (x @ x.T) * np.outer(scale, scale)
+    for own in (range(90), range(91, 200)):
+        for i in own:
+            best = sorted((j for j in own if j != i), key=lambda j: -sims[i, j])[:annsearch.OFFERS]
+            assert graph.near[i].tolist() == best + [-1] * (annsearch.NEIGHBOURS - len(best))
+    assert graph.near[90].tolist() == [-1] * annsearch.NEIGHBOURS
