@@ -21,6 +21,10 @@ cloudpickle.register_pickle_by_value(processors)
 
 #: State keys of one product, over which its orders are dealt: a product with most of the orders is no single task.
 SALTS = 16
+#: State keys over which waiting messages are dealt: each is one call per batch, however many messages it has.
+BUCKETS = 1024
+#: Where those without a number wait; they are one message to the state.
+NO_SEQ = -1
 NO_PRODUCT = ""
 
 
@@ -101,13 +105,16 @@ def parked_retries(orders, max_retries=V.MAX_RETRIES, backoff_s=V.BACKOFF_STEP_S
     """A stream of orders to their outcomes, as `resolve` gives them, each when it is known: attempt n of a message that fails
     for a time comes n - 1 backoffs after the one before. `seq` must be unique; a message sent again while it waits is left out.
 
-    Only messages that have to wait go through the state; the others are settled at their first attempt, row by row.
+    Only messages that have to wait go through the state, dealt over `BUCKETS` keys; the others are settled at their first
+    attempt, row by row.
     """
     checked = classify(orders, price_type).select(
         "seq", "orderId", "product", "price", F.coalesce("transient_failures", F.lit(0)).alias("failures"), "permanent_error",
         F.col("error_reason").alias("refused"))
     waits = F.col("refused").isNull() & (F.col("failures") > 0) & F.lit(max_retries > 1)
-    parked = checked.where(waits).groupBy("seq").transformWithStateInPandas(
+    bucket = F.when(F.col("seq").isNull(), NO_SEQ).otherwise(F.pmod(F.xxhash64("seq"), F.lit(BUCKETS))).cast("int")
+    waiting = checked.where(waits).select(bucket.alias("bucket"), "seq", "orderId", "product", "price", "failures")
+    parked = waiting.groupBy("bucket").transformWithStateInPandas(
         processors.ParkedRetries(max_retries, int(backoff_s * 1000), (V.ACCEPTED, V.RECOVERED, V.QUARANTINED),
                                  V.REASON_EXHAUSTED % max_retries), processors.OUTCOME, "append", "processingTime")
     return _settled(checked.where(~waits), max_retries).unionByName(parked)

@@ -125,3 +125,38 @@ def test_both_run_in_a_session_with_another_state_store(spark, tmp_path):
     assert sum(m.get("numRegisteredTimers", 0) for m in states) >= wait > 0
     found = {r.product: (r.orders, r.rejects, r.total) for r in totals.by_product().collect()}
     assert found == by_product(resolve(orders(spark, rows), price_type=PRICE))
+
+
+def test_many_waiting_messages_share_state_and_timers(spark, tmp_path, monkeypatch):
+    """Timers and state grow with the keys that messages are dealt over, not with the messages; some come twice in a batch, one
+    comes again while it waits, and those without a number are one."""
+    monkeypatch.setattr(K, "BUCKETS", 5, raising=False)
+    rows = [(None if n < 3 else n, f"ORD-{n}", None if n % 4 else "p", "5.00", 1 + n % 4, None) for n in range(1500)]
+    files, table = Files(spark, tmp_path / "in"), K.OutcomeTable(spark, str(tmp_path / "outcomes"))
+    files.add(rows + rows[100:200])
+
+    def start(backoff):
+        return K.start_parked(K.parked_retries(files.stream(), 3, backoff, PRICE), table, str(tmp_path / "checkpoint"))
+
+    def timers(query):
+        return [p.stateOperators[0].customMetrics.get("numRegisteredTimers", 0) for p in query.recentProgress if p.stateOperators]
+
+    query = start(60.0)
+    for _ in range(600):
+        if sum(timers(query)) or not query.isActive:
+            break
+        query.awaitTermination(0.2)
+    query.stop()
+    assert query.exception() is None and 0 < sum(timers(query)) <= 6
+    files.add(rows[700:701])
+    query = start(0.05)
+    spark.range(1).count()
+    run_until(query, table, 1498)
+    assert sum(timers(query)) <= 4 * 6
+    seqs, found = {n for n in range(3, 1500)}, table.outcomes().collect()
+    wanted = {r.seq: r for r in with_audit_trail(resolve(orders(spark, rows[3:]), 3, PRICE)).collect()}
+    assert sorted(r.seq for r in found if r.seq is not None) == sorted(seqs) and sum(r.seq is None for r in found) == 1
+    for r in found:
+        if r.seq is not None:
+            columns = ("orderId", "product", "price", "status", "attempts", "retries", "error_reason", "audit_trail")
+            assert [r[c] for c in columns] == [wanted[r.seq][c] for c in columns] and r.parked_ms > 0
