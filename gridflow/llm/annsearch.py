@@ -23,8 +23,10 @@ LIST, OFFERS = 64, 6
 BEAM, EXPANDED, ENTRIES, STARTS = 240, 64, 256, 8
 #: Nodes of a shard and bytes of their codes, at most, and queries that walk a shard in one task.
 SHARD, SHARD_BYTES, QUERIES = 32_768, 8 << 20, 4096
-#: Products of lists that are held at once, and edges that go into a graph at once; partitions per shard to be built or walked.
-PRODUCTS, MERGED, SPREAD = 1 << 18, 1 << 20, 4
+#: Products of lists that are held at once, and edges that go into a graph at once.
+PRODUCTS, MERGED = 1 << 18, 1 << 20
+#: Partitions over which shards to be built or walked are dealt: so many for each, and at least.
+SPREAD, LEAST_SPREAD = 8, 64
 #: Nodes of a query whose exact product is computed, at least.
 RESCORED = 64
 #: Queries audited, the recall asked for, and how often the beam may double before all vectors are compared.
@@ -254,7 +256,7 @@ def build(vectors, scratch):
 def spread(frame, groups, *keys):
     """A frame dealt by keys that have so many groups, few of which meet in a task: each is long work on few bytes, which
     adaptive execution would put together."""
-    return frame.repartition(max(1, SPREAD * groups), *keys)
+    return frame.repartition(max(LEAST_SPREAD, SPREAD * groups), *keys)
 
 
 class Walk:
