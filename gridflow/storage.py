@@ -5,11 +5,15 @@ cluster uses. On a store whose rename is not atomic a reader may see a folder be
 whole; writers never take such a folder for a published one.
 
 On a local disk Hadoop's rename is a look and then a move, in two steps for a file and its checksum, so there the small
-files are claimed by a link and replaced by a move of the system's own, and carry no checksum.
+files are claimed by a link and replaced by a move of the system's own. A claimed file gets its checksum afterwards, a
+replaced one carries none.
 """
 
+import contextlib
 import os
+import struct
 import uuid
+import zlib
 
 from py4j.protocol import Py4JJavaError
 
@@ -83,6 +87,7 @@ def create_once(spark, path, text):
         aside = _aside(local, text)
         try:
             os.link(aside, local)
+            _add_checksum(local, text.encode())
             return True
         except FileExistsError:
             return False
@@ -106,7 +111,10 @@ def replace_file(spark, path, text):
     fs, target = _open(spark, path)
     local = _local(fs, target)
     if local:
-        os.replace(_aside(local, text), local)
+        aside = _aside(local, text)
+        with contextlib.suppress(FileNotFoundError):
+            os.unlink(_checksum_of(local))
+        os.replace(aside, local)
         return
     aside = f"{target.getParent()}/_{uuid.uuid4().hex}"
     _write(fs, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside), text)
@@ -140,13 +148,24 @@ def _local(fs, target):
     return target.toUri().getPath() if fs.getUri().getScheme() == "file" else None
 
 
+def _checksum_of(path):
+    return f"{os.path.dirname(path)}/.{os.path.basename(path)}.crc"
+
+
+def _add_checksum(path, data, stretch=512):
+    """What Hadoop's readers of a local disk hold a file against; without it they read all the same."""
+    sums = (zlib.crc32(data[at:at + stretch]) for at in range(0, len(data), stretch))
+    os.replace(_aside(path, b"crc\0" + struct.pack(">i", stretch) + b"".join(struct.pack(">I", s) for s in sums)),
+               _checksum_of(path))
+
+
 def _aside(path, text):
     """The text in a file of its own beside `path`."""
     folder = os.path.dirname(path)
     os.makedirs(folder, exist_ok=True)
     aside = f"{folder}/_{uuid.uuid4().hex}"
-    with open(aside, "x", encoding="utf-8") as file:
-        file.write(text)
+    with open(aside, "xb") as file:
+        file.write(text.encode() if isinstance(text, str) else text)
         file.flush()
         os.fsync(file.fileno())
     return aside
